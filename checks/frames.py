@@ -6,6 +6,7 @@ The SQL side is a chain of CTEs, written apart from the Spark side on purpose.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from pricevault.plans.jobs import (
 )
 from pricevault.plans.staging import stage_bars, stage_company
 from pricevault.schemas import DAY, MINUTE, PRICE_COLUMNS, TableSpec
+from pricevault.sources.readers import read_source
 
 SOURCE = "historicals"
 LOADS = {1: "2024-01-01 00:00:00", 2: "2024-02-01 00:00:00", 3: "2024-03-01 00:00:00"}
@@ -37,15 +39,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Folder of a derived table, written once per application and test folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        path = shared_dir(spark, name)
+        write(path)
+        _written[key] = path
+    return _written[key]
+
+
 def hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars as a stored bronze table."""
+    path = _once(spark, sf_dir, "hist", lambda p: derive_hist(spark, sf_dir).write.parquet(p))
+    return read_source(spark, path=path)
+
+
+def minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minute bars as a stored bronze table."""
+    path = _once(spark, sf_dir, "minute", lambda p: derive_minute(spark, sf_dir).write.parquet(p))
+    return read_source(spark, path=path)
+
+
+def derive_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars: one per part and ship date."""
     line = F.struct("l_orderkey", "l_linenumber", "l_extendedprice")
     lines = table(spark, sf_dir, "lineitem")
     return (
-        lines.groupBy(
-            F.concat(F.lit("P"), "l_partkey").alias("Symbol"),
-            F.col("l_shipdate").cast("date").alias("Date"),
-        )
+        lines.groupBy("l_partkey", F.col("l_shipdate").cast("date").alias("Date"))
         .agg(
             F.min_by("l_extendedprice", line).alias("Open"),
             F.max("l_extendedprice").alias("High"),
@@ -55,11 +79,11 @@ def hist(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("l_discount").alias("Dividends"),
             F.max("l_tax").alias("Stock_Splits"),
         )
-        .select("Date", "Symbol", *PRICE_COLUMNS)
+        .select("Date", F.concat(F.lit("P"), "l_partkey").alias("Symbol"), *PRICE_COLUMNS)
     )
 
 
-def minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minute bars: one per user and minute of events."""
     events = table(spark, sf_dir, "events")
     minute_text = F.concat(F.substring(F.col("ts").cast("string"), 1, 16), F.lit(":00"))
@@ -204,24 +228,20 @@ def new_schema() -> str:
     return f"checks_{next(_serial)}"
 
 
-_vaults: dict[tuple[str, str], str] = {}
-
-
 def stored_vault(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """A loaded vault: bars, corrected bars and the minute bars back again, three company
     batches. It is written once per application and test folder, then only read."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _vaults:
-        base = shared_dir(spark, "vault")
-        days, minutes = hist(spark, sf_dir), minute(spark, sf_dir)
-        for k in LOADS:
-            batch = Batch(base, k, LOADS[k], SOURCE)
-            if k < 3:
-                run_vault_daily(restated(days) if k == 2 else days, batch)
-            run_vault_minute(restated(minutes) if k == 2 else minutes, batch)
-            run_vault_company(company(spark, sf_dir, k), batch)
-        _vaults[key] = base
-    return open_vault(spark, _vaults[key])
+    return open_vault(spark, _once(spark, sf_dir, "vault", lambda p: _load(spark, sf_dir, p)))
+
+
+def _load(spark: SparkSession, sf_dir: str, base: str) -> None:
+    days, minutes = hist(spark, sf_dir), minute(spark, sf_dir)
+    for k in LOADS:
+        batch = Batch(base, k, LOADS[k], SOURCE)
+        if k < 3:
+            run_vault_daily(restated(days) if k == 2 else days, batch)
+        run_vault_minute(restated(minutes) if k == 2 else minutes, batch)
+        run_vault_company(company(spark, sf_dir, k), batch)
 
 
 def bars_by_key(vault: dict[str, DataFrame]) -> DataFrame:
@@ -244,7 +264,7 @@ _PRICES = "Open, High, Low, Close, Volume, Dividends, Stock_Splits"
 
 
 def num(x: str) -> str:
-    return rf"coalesce(CAST(CAST({x} AS DECIMAL(38,6)) AS VARCHAR), '\N')"
+    return rf"coalesce(CAST(CAST(floor({x} * 1000000 + 0.5) AS BIGINT) AS VARCHAR), '\N')"
 
 
 def txt(x: str) -> str:

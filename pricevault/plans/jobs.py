@@ -6,9 +6,12 @@ batches, so running it again, after a failure or by mistake, gives the same tabl
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +38,7 @@ from pricevault.schemas import (
     SAT_COMPANY_INFO,
     SATELLITES,
     Grain,
+    HubSpec,
     SatSpec,
     TableSpec,
 )
@@ -109,15 +113,13 @@ def run_vault_company(source: DataFrame, batch: Batch, spec: SatSpec = SAT_COMPA
     """Company facts -> instrument hub, versioned company satellite."""
     spark = source.sparkSession
     staged = stage_company(source, batch.load_dts, batch.record_source, spec)
-    hub = HUB_INSTRUMENT
-    append_log(
-        load_hub(_earlier(spark, hub.table, batch), staged, hub),
-        hub.table.location(batch.base),
-        batch.batch_id,
-    )
     log = _earlier(spark, spec.table, batch, version_columns(spec))
-    append_log(load_sat_versions(log, staged, spec), spec.table.location(batch.base), batch.batch_id)
-    _register(spark, batch, [hub.table])
+    _write_all(
+        spark,
+        lambda: _write_hub(spark, batch, staged, HUB_INSTRUMENT),
+        lambda: _write(batch, spec.table, load_sat_versions(log, staged, spec)),
+    )
+    _register(spark, batch, [HUB_INSTRUMENT.table])
 
 
 def _run_vault_bars(source: DataFrame, grain: Grain, batch: Batch) -> None:
@@ -125,29 +127,53 @@ def _run_vault_bars(source: DataFrame, grain: Grain, batch: Batch) -> None:
     bars = ensure_symbol(source, batch.symbol)
     staged = stage_bars(bars, grain, batch.load_dts, batch.record_source)
     staged = staged.withColumn(PERIOD, period(grain))
-
-    for hub in (HUB_INSTRUMENT, grain.hub):
-        rows = load_hub(_earlier(spark, hub.table, batch), staged, hub)
-        append_log(rows, hub.table.location(batch.base), batch.batch_id)
-
     span = staged.agg(F.min(PERIOD), F.max(PERIOD)).first()
-    link, sat = grain.link, grain.sat
-    links = load_link(_touched(spark, link.table, batch, span), staged, link, (PERIOD,))
-    append_log(links, link.table.location(batch.base), batch.batch_id, [PERIOD])
-
-    if sat.versioned:
-        log = _touched(spark, sat.table, batch, span, version_columns(sat))
-        rows = load_sat_versions(log, staged, sat, (PERIOD,))
-    else:
-        rows = load_sat_insert_only(
-            _touched(spark, sat.table, batch, span), staged, sat, (PERIOD,)
-        )
-    append_log(rows, sat.table.location(batch.base), batch.batch_id, [PERIOD])
+    link, sat, extra = grain.link, grain.sat, (PERIOD,)
 
+    def write_link() -> None:
+        target = _touched(spark, link.table, batch, span)
+        _write(batch, link.table, load_link(target, staged, link, extra), extra)
+
+    def write_sat() -> None:
+        if sat.versioned:
+            target = _touched(spark, sat.table, batch, span, version_columns(sat))
+            rows = load_sat_versions(target, staged, sat, extra)
+        else:
+            target = _touched(spark, sat.table, batch, span)
+            rows = load_sat_insert_only(target, staged, sat, extra)
+        _write(batch, sat.table, rows, extra)
+
+    _write_all(
+        spark,
+        lambda: _write_hub(spark, batch, staged, HUB_INSTRUMENT),
+        lambda: _write_hub(spark, batch, staged, grain.hub),
+        write_link,
+        write_sat,
+    )
     tables = [HUB_INSTRUMENT.table, grain.hub.table, link.table]
     _register(spark, batch, tables if sat.versioned else [*tables, sat.table])
 
 
+def _write_all(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Run independent writes side by side, so that small hub loads fill idle executors.
+
+    All are waited for; the first failure is raised. Each write replaces its own batch, so
+    the run can simply be repeated.
+    """
+    with ThreadPoolExecutor(len(writes)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]
+    for write in started:
+        write.result()
+
+
+def _write(batch: Batch, spec: TableSpec, rows: DataFrame, partition_by=()) -> None:
+    append_log(rows, spec.location(batch.base), batch.batch_id, partition_by)
+
+
+def _write_hub(spark: SparkSession, batch: Batch, staged: DataFrame, hub: HubSpec) -> None:
+    _write(batch, hub.table, load_hub(_earlier(spark, hub.table, batch), staged, hub))
+
+
 def period(grain: Grain) -> Column:
     """Year of a daily bar, month of a minute bar."""
     return F.trunc(F.col(grain.time).cast("date"), "year" if grain is DAY else "month")

@@ -492,15 +492,13 @@ def mrg_idempotent_counts(spark, d):
     base, bars = shared_dir(spark, "vault-twice"), fr.hist(spark, d)
     run_vault_daily(bars, Batch(base, 1, LOADS[1]))
     run_vault_daily(bars, Batch(base, 2, LOADS[2]))
-    once, twice = open_vault(spark, base, upto=1), open_vault(spark, base)
+    states = {"n_once": open_vault(spark, base, upto=1), "n_twice": open_vault(spark, base)}
     counts = [
-        once[name]
-        .agg(F.count(F.lit(1)).alias("n_once"))
-        .withColumn("table_name", F.lit(name))
-        .join(
-            twice[name].agg(F.count(F.lit(1)).alias("n_twice")).withColumn("table_name", F.lit(name)),
-            "table_name",
+        vault[name].agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("table_name"), F.lit(state).alias("state"), "n"
         )
+        for state, vault in states.items()
         for name in COUNTED
     ]
-    return reduce(DataFrame.unionByName, counts).select("table_name", "n_once", "n_twice")
+    rows = reduce(DataFrame.unionByName, counts)
+    return rows.groupBy("table_name").pivot("state", list(states)).agg(F.sum("n"))

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricevault.operators.series import HOT_ROWS, with_neighbour
+from pricevault.operators.series import with_neighbour
+from pricevault.operators.skew import HOT_ROWS, spread_join
 
 
 # Filters
@@ -117,18 +118,19 @@ def price_change(df: DataFrame) -> DataFrame:
 
 
 # Bars against their symbol's statistics
-#
-# The statistics are one row per symbol after map-side aggregation. They are joined back
-# without a hint: Spark broadcasts them when their real size allows, and otherwise
-# sort-merges, where a symbol with very many bars is split by the adaptive skew join.
 
 
-def with_volume_stats(df: DataFrame) -> DataFrame:
-    stats = df.groupBy(F.col("Symbol").alias("_symbol")).agg(
+def with_volume_stats(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add mean and sample deviation of the symbol's volume.
+
+    The statistics are one row per symbol after map-side aggregation; joining them back
+    spreads a symbol with very many bars, where a window would gather it in one task.
+    """
+    stats = df.groupBy("Symbol").agg(
         F.avg("Volume").alias("avg_vol"), F.stddev_samp("Volume").alias("std_vol")
     )
     bars = df.select("Symbol", "Date", "Volume")
-    return bars.join(stats, F.col("Symbol").eqNullSafe(F.col("_symbol"))).drop("_symbol")
+    return spread_join(bars, stats, "Symbol", ["Date"], hot_rows=hot_rows)
 
 
 def volume_zscore(df: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricevault.operators.series import HOT_ROWS, PIECE, cut_series, neighbour, with_neighbour
+from pricevault.operators.series import PIECE, cut_series, neighbour, with_neighbour
+from pricevault.operators.skew import HOT_ROWS
 
 START, END, LOADED = "Effective_DTS", "End_DTS", "Load_DTS"
 

@@ -63,7 +63,7 @@ def absent_from(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> Data
 
     A NULL key matches nothing, so such a row counts as absent.
     """
-    return rows.join(target.select(*keys), list(keys), "left_anti")
+    return rows.join(target.select(*keys), list(keys), "left_anti").select(*rows.columns)
 
 
 def insert_new(

@@ -16,28 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Most keys that are cut. With the calendar pieces below this bounds the edge table:
-#: ``MAX_HOT`` keys times the number of months (dates) or days (times) in the data.
-MAX_HOT = 128
-#: A key with fewer rows than this stays whole.
-HOT_ROWS = 5_000_000
-#: Counters of the frequent-items sketch; any key above 1/SKETCH_ITEMS of all rows is seen.
-SKETCH_ITEMS = 8192
+from pricevault.operators.skew import HOT_ROWS, hot_keys, mark_hot
 
 PIECE = "_piece"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Hashes of the keys with at least ``hot_rows`` rows: at most ``MAX_HOT`` rows.
-
-    One pass over the key columns with a mergeable sketch, so no key is shuffled.
-    """
-    top = F.expr(f"approx_top_k(_key, {MAX_HOT}, {SKETCH_ITEMS})")
-    hashed = df.select(F.xxhash64(*keys).alias("_key"))
-    items = hashed.agg(top.alias("_top")).select(F.explode("_top").alias("_item"))
-    return items.filter(F.col("_item.count") >= hot_rows).select(F.col("_item.item").alias("_key"))
-
-
 def calendar_piece(name: str, dtype: T.DataType) -> Column:
     """Month of a date, day of a timestamp: an ordered cut of the calendar.
 
@@ -52,14 +35,9 @@ def cut_series(
     df: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Add ``_piece``: the calendar piece of a hot key's row, NULL for all other keys."""
-    hot = hot_keys(df, keys, hot_rows).withColumn("_hot", F.lit(True))
+    marked = mark_hot(df, keys, hot_keys(df, keys, hot_rows))
     piece = calendar_piece(order, df.schema[order].dataType)
-    return (
-        df.withColumn("_key", F.xxhash64(*keys))
-        .join(F.broadcast(hot), "_key", "left")
-        .withColumn(PIECE, F.when(F.col("_hot"), piece))
-        .drop("_key", "_hot")
-    )
+    return marked.withColumn(PIECE, F.when(F.col("_hot"), piece)).drop("_hot")
 
 
 def neighbour(
@@ -73,7 +51,8 @@ def neighbour(
     """Add ``out``: ``value`` of the previous row of the key (the next one if ``ahead``).
 
     ``cut`` comes from :func:`cut_series`. Calls in a row share one shuffle: each
-    leaves the rows partitioned by key and piece.
+    leaves the rows partitioned by key and piece. The edge table holds at most the cut
+    keys (``MAX_HOT``) times the months, for dates, or days of the data.
     """
     shift, edge = (F.lead, F.min_by) if ahead else (F.lag, F.max_by)
     window = Window.partitionBy(*keys, PIECE).orderBy(*order)

@@ -11,6 +11,7 @@ from pricevault.functions import movement, price_range
 from pricevault.operators.analytics import key_not_like, on_day
 from pricevault.operators.history import current
 from pricevault.operators.keyed import latest
+from pricevault.operators.skew import spread_join
 from pricevault.schemas import DAY, MINUTE, Grain
 
 Vault = Mapping[str, DataFrame]
@@ -40,7 +41,7 @@ def instrument_view(vault: Vault, grain: Grain, current_only: bool = True) -> Da
 
     Link and satellite meet on the link key (one shuffle each, none when both are bucketed
     by it). Instrument and company are joined with each other first, so the bars meet one
-    dimension and are split by the adaptive skew join if one instrument dominates.
+    dimension, and the bars of an instrument that dominates are spread over many tasks.
     """
     company = vault["sat_company_info"]
     if current_only:
@@ -52,10 +53,9 @@ def instrument_view(vault: Vault, grain: Grain, current_only: bool = True) -> Da
     links = vault[grain.link.table.name].select(key, "Instrument_HK", time_key)
     prices = _prices(vault, grain, current_only)
     prices = prices.select(key, "Open", "High", "Low", "Close", "Volume")
+    bars = links.join(prices, key).join(_times(vault, grain), time_key)
     return (
-        links.join(prices, key)
-        .join(_times(vault, grain), time_key)
-        .join(named, "Instrument_HK")
+        spread_join(bars, named, "Instrument_HK", [key], hot_from=links)
         .select(
             grain.time,
             "Symbol",
@@ -93,13 +93,11 @@ def intraday_volatility(vault: Vault, day: str) -> DataFrame:
         "Instrument_Minute_LK", "Open", "Close", "High", "Low"
     )
     instruments = vault["hub_instrument"].select("Instrument_HK", "Symbol")
-    return (
-        links.join(times, "Time_HK")
-        .join(prices, "Instrument_Minute_LK")
-        .join(instruments, "Instrument_HK")
-        .select(
-            "DateTime", "Symbol", "Open", "Close", price_range().alias("Intraday_Range")
-        )
+    bars = links.join(times, "Time_HK").join(prices, "Instrument_Minute_LK")
+    key = ["Instrument_Minute_LK"]
+    named = spread_join(bars, instruments, "Instrument_HK", key, hot_from=links)
+    return named.select(
+        "DateTime", "Symbol", "Open", "Close", price_range().alias("Intraday_Range")
     )
 
 
@@ -108,5 +106,6 @@ def company_minute_links(vault: Vault, without: str) -> DataFrame:
     links = vault["link_instrument_minute"].select(
         "Instrument_HK", "Instrument_Minute_LK", "Time_HK"
     )
-    joined = vault["sat_company_info"].join(links, "Instrument_HK")
-    return key_not_like(joined, "Instrument_HK", without)
+    links = key_not_like(links, "Instrument_HK", without)
+    company = key_not_like(vault["sat_company_info"], "Instrument_HK", without)
+    return spread_join(links, company, "Instrument_HK", ["Instrument_Minute_LK"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from pricevault.operators.keyed import absent_from
+from pricevault.operators.skew import spread_join
 from pricevault.sources.readers import read_or_empty
 from pricevault.sources.tablelog import by_partition
 
@@ -20,6 +20,7 @@ def landed_symbols(spark: SparkSession, base: str, fmt: str) -> DataFrame:
 def land_once(df: DataFrame, base: str, fmt: str = "csv") -> None:
     """Land rows of symbols not landed before, one folder per symbol."""
     spark = df.sparkSession
-    fresh = absent_from(landed_symbols(spark, base, fmt), df, ["Symbol"])
+    landed = landed_symbols(spark, base, fmt)
+    fresh = spread_join(df, landed, "Symbol", df.columns, how="left_anti")
     writer = by_partition(fresh, ["Symbol"]).write.mode("append").partitionBy("Symbol")
     (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(base)

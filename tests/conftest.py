@@ -23,6 +23,7 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

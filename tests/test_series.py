@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from pricevault.operators.analytics import with_volume_stats
 from pricevault.operators.history import intervals, scd2_history
-from pricevault.operators.series import hot_keys, with_neighbour
+from pricevault.operators.series import with_neighbour
+from pricevault.operators.skew import hot_keys, spread_join
 
 
 @pytest.fixture(scope="module")
@@ -71,3 +73,26 @@ def test_history_equals_brute_force(feed, hot_rows):
     log = got.drop("End_DTS")
     again = intervals(log, ["k"], hot_rows=hot_rows)
     assert again.select(got.columns).exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("hot_rows", [1, 500, 10**9])
+@pytest.mark.parametrize("how", ["inner", "left_anti"])
+def test_spread_join_equals_plain_join(spark, bars, hot_rows, how):
+    dim = spark.createDataFrame(
+        [("HOT", 1), ("HOT", 2), ("A", 3), (None, 4), ("unused", 5)], "Symbol string, v int"
+    )
+    renamed = dim.withColumnRenamed("Symbol", "s")
+    plain = bars.join(renamed, F.col("Symbol").eqNullSafe(F.col("s")), how).drop("s")
+    spread = spread_join(bars, dim, "Symbol", ["n"], how, hot_rows, parts=7)
+    assert spread.columns == plain.columns
+    assert spread.exceptAll(plain).count() == 0
+    assert plain.exceptAll(spread).count() == 0
+
+
+def test_volume_stats_equal_a_window(bars):
+    frame = bars.withColumn("Volume", F.col("n").cast("long"))
+    window = Window.partitionBy("Symbol")
+    plain = frame.select("Symbol", "Date", "Volume", F.avg("Volume").over(window).alias("avg_vol"))
+    spread = with_volume_stats(frame, hot_rows=100).drop("std_vol")
+    assert spread.exceptAll(plain).count() == 0
+    assert spread.count() == plain.count()

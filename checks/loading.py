@@ -298,6 +298,33 @@ DAY_VIEW = VIEW.format(time="Date", range="Intraday_Range")
 MINUTE_VIEW = VIEW.format(time="DateTime", range="Intra_Minute_Range")
 
 
+def first_load(spark, d) -> dict[str, DataFrame]:
+    """Daily vault tables after a first load, as one lazy plan: nothing is written."""
+    bars = fr.stage_daily(fr.derive_hist(spark, d), 1)
+    facts = fr.staged_company(spark, d, 1)
+    loads = [
+        (HUB_INSTRUMENT, load_hub),
+        (HUB_CALENDAR, load_hub),
+        (LINK_INSTRUMENT_DAY, load_link),
+        (SAT_DAY_PRICES, load_sat_insert_only),
+    ]
+    vault = {
+        spec.table.name: load(fr.empty(spark, spec.table), bars, spec) for spec, load in loads
+    }
+    company = fr.empty(spark, SAT_COMPANY_INFO.table)
+    vault["sat_company_info"] = scd2_apply(company, facts, ["Instrument_HK"], LOADS[1])
+    return vault
+
+
+@query(
+    "view_daily_first_load",
+    sql(f"SELECT {DAY_VIEW} FROM hist h JOIN raw1 c ON c.symbol = h.Symbol", "hist", "raw1"),
+)
+def view_daily_first_load(spark, d):
+    view = instrument_daily_view(first_load(spark, d))
+    return view.withColumn("Intraday_Range", F.round("Intraday_Range", 6))
+
+
 @query(
     "view_daily",
     sql(

@@ -24,7 +24,7 @@ from pricevault.schemas import (
     PRICE_COLUMNS,
     VAULT_TABLES,
 )
-from pricevault.sources.landing import land_once
+from pricevault.sources.landing import land_once, read_landed
 from pricevault.sources.readers import (
     SYMBOL_PARTITION,
     read_bars_csv,
@@ -34,6 +34,7 @@ from pricevault.sources.readers import (
 from pricevault.sources.tablelog import (
     append,
     append_log,
+    by_partition,
     ensure_table,
     history,
     overwrite,
@@ -60,9 +61,9 @@ EVEN = "CAST(substr(Symbol, 2) AS BIGINT) % 2 = 0"
     ),
 )
 def src_csv_daily(spark, d):
-    base = shared_dir(spark, "landing-daily")
-    land_once(fr.raw_daily(fr.hist(spark, d)), base, "csv")
-    return read_bars_csv(spark, base, DAY, "Symbol=*/*.csv", SYMBOL_PARTITION)
+    base, raw = shared_dir(spark, "landing-daily"), fr.raw_daily(fr.hist(spark, d))
+    land_once(raw, base, 1, "csv")
+    return read_landed(spark, base, raw.schema, "csv")
 
 
 @query(
@@ -76,8 +77,10 @@ def src_csv_daily(spark, d):
     ),
 )
 def src_csv_minute(spark, d):
-    base = shared_dir(spark, "landing-minute")
-    land_once(fr.raw_minute(fr.minute(spark, d)), base, "csv")
+    """One folder per symbol, as raw zones of single fetches have it: symbol from the path."""
+    base, raw = shared_dir(spark, "landing-minute"), fr.raw_minute(fr.minute(spark, d))
+    files = by_partition(raw, ["Symbol"]).write.partitionBy("Symbol")
+    files.option("header", True).csv(base)
     return read_bars_csv(spark, base, MINUTE, "Symbol=*/*.csv", SYMBOL_PARTITION)
 
 
@@ -199,9 +202,9 @@ def snk_ensure_empty(spark, d):
 )
 def snk_land_once(spark, d):
     base, bars = shared_dir(spark, "land-once"), fr.hist(spark, d)
-    land_once(bars.filter(F.col("Date") < F.lit("1992-06-01").cast("date")), base, "json")
-    land_once(bars, base, "json")
-    return spark.read.schema(bars.schema).json(base)
+    land_once(bars.filter(F.col("Date") < F.lit("1992-06-01").cast("date")), base, 1, "json")
+    land_once(bars, base, 2, "json")
+    return read_landed(spark, base, bars.schema, "json")
 
 
 # Registry

@@ -45,17 +45,22 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 
 def append_log(
-    df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    batch_id: int,
+    partition_by: Sequence[str] = (),
+    fmt: str = "parquet",
 ) -> None:
     """Write ``df`` as batch ``batch_id`` of the log, replacing that batch only."""
-    (
+    writer = (
         by_partition(df, partition_by)
         .withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH, *partition_by)
-        .parquet(path)
+        .format(fmt)
     )
+    (writer.option("header", True) if fmt == "csv" else writer).save(path)
 
 
 def read_log(

@@ -23,7 +23,7 @@ from pricevault.plans.jobs import (
 )
 from pricevault.operators.views import instrument_daily_view
 from pricevault.schemas import BRONZE_TABLES, COMPANY, DAY, HISTORICALS, MINUTE, VAULT_TABLES
-from pricevault.sources.landing import land_once
+from pricevault.sources.landing import land_once, landed_symbols, read_landed
 from pricevault.sources.readers import read_bars_csv, read_company_json, read_source
 from pricevault.sources.tablelog import append_log, ensure_table, read_as_of, read_log
 
@@ -104,13 +104,18 @@ def test_earlier_versions_stay_readable(spark):
     }
 
 
-def test_first_landing_wins(spark):
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_first_landing_wins(spark, fmt):
     base = shared_dir(spark, "land")
-    schema = "Symbol string, v int"
-    land_once(spark.createDataFrame([("a/b", 1), ("c", 1)], schema), base, "json")
-    land_once(spark.createDataFrame([("c", 2), ("d", 2)], schema), base, "json")
-    rows = spark.read.schema(schema).json(base).select("Symbol", "v").collect()
-    assert sorted(map(tuple, rows)) == [("a/b", 1), ("c", 1), ("d", 2)]
+    schema = spark.createDataFrame([], "Symbol string, v int").schema
+    first = spark.createDataFrame([("a/b", 1), ("c", 1)], schema)
+    second = spark.createDataFrame([("c", 2), ("d", 2), ("d", 3)], schema)
+    land_once(first, base, 1, fmt)
+    for _ in range(2):  # the second batch is run twice
+        land_once(second, base, 2, fmt)
+    rows = read_landed(spark, base, schema, fmt).collect()
+    assert sorted(map(tuple, rows)) == [("a/b", 1), ("c", 1), ("d", 2), ("d", 3)]
+    assert landed_symbols(spark, base).count() == 3
 
 
 def test_ensured_table_is_empty_and_typed(spark):

@@ -228,10 +228,13 @@ def new_schema() -> str:
     return f"checks_{next(_serial)}"
 
 
-def stored_vault(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def stored_vault(
+    spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None
+) -> dict[str, DataFrame]:
     """A loaded vault: bars, corrected bars and the minute bars back again, three company
     batches. It is written once per application and test folder, then only read."""
-    return open_vault(spark, _once(spark, sf_dir, "vault", lambda p: _load(spark, sf_dir, p)))
+    base = _once(spark, sf_dir, "vault", lambda p: _load(spark, sf_dir, p))
+    return open_vault(spark, base, days=days)
 
 
 def _load(spark: SparkSession, sf_dir: str, base: str) -> None:

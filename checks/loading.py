@@ -362,7 +362,7 @@ def view_daily_all_versions(spark, d):
     ),
 )
 def view_daily_sorted(spark, d):
-    view = instrument_daily_view(fr.stored_vault(spark, d))
+    view = instrument_daily_view(fr.stored_vault(spark, d, days=("1997-06-01", "9999-12-31")))
     recent = view.filter(F.col("Date") > F.lit("1997-06-01").cast("date"))
     size = F.round("Intraday_Range", 6)
     return recent.withColumn("Intraday_Range", size).orderBy(F.desc("Date"), "Symbol")
@@ -404,7 +404,8 @@ def view_minute_all_versions(spark, d):
     ),
 )
 def join_intraday_volatility(spark, d):
-    bars = intraday_volatility(fr.stored_vault(spark, d), "2024-01-10")
+    day = "2024-01-10"
+    bars = intraday_volatility(fr.stored_vault(spark, d, days=(day, day)), day)
     size = F.round("Intraday_Range", 6)
     return bars.withColumn("Intraday_Range", size).orderBy("DateTime", "Symbol")
 

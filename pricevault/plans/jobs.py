@@ -33,16 +33,14 @@ from pricevault.schemas import (
     DAY,
     HUB_INSTRUMENT,
     HUBS,
-    LINKS,
     MINUTE,
     SAT_COMPANY_INFO,
-    SATELLITES,
     Grain,
     HubSpec,
     SatSpec,
     TableSpec,
 )
-from pricevault.sources.tablelog import append_log, read_as_of, read_log
+from pricevault.sources.tablelog import BATCH, append_log, read_as_of, read_log
 
 #: Partition column of the bar-sized vault tables: the calendar period of the bar. A batch
 #: is merged against the periods it touches, not against the whole table.
@@ -96,6 +94,12 @@ def read_bronze(
     return read_as_of(log, spec.keys, last)
 
 
+def read_batch(spark: SparkSession, base: str, spec: TableSpec, batch_id: int) -> DataFrame:
+    """The rows one batch brought to a bronze table: the input of that batch's vault load."""
+    log = read_log(spark, spec.location(base), spec.schema)
+    return log.filter(F.col(BATCH) == batch_id).drop(BATCH)
+
+
 # Vault
 
 
@@ -175,8 +179,8 @@ def _write_hub(spark: SparkSession, batch: Batch, staged: DataFrame, hub: HubSpe
 
 
 def period(grain: Grain) -> Column:
-    """Year of a daily bar, month of a minute bar."""
-    return F.trunc(F.col(grain.time).cast("date"), "year" if grain is DAY else "month")
+    """The calendar period of a bar, named by its first day."""
+    return F.trunc(F.col(grain.time).cast("date"), grain.period)
 
 
 def _stored(spec: TableSpec, columns: list[str] | None = None) -> T.StructType:
@@ -207,24 +211,48 @@ def _register(spark: SparkSession, batch: Batch, specs: list[TableSpec]) -> None
             register_external(spark, f"{batch.register_in}.{spec.name}", spec.location(batch.base))
 
 
-def open_vault(spark: SparkSession, base: str, upto: int | None = None) -> dict[str, DataFrame]:
-    """Vault tables in their declared shape, after batch ``upto`` (all by default)."""
+def open_vault(
+    spark: SparkSession,
+    base: str,
+    upto: int | None = None,
+    days: tuple[str, str] | None = None,
+) -> dict[str, DataFrame]:
+    """Vault tables in their declared shape, after batch ``upto`` (all by default).
+
+    ``days`` (first and last day, both included) opens only the calendar periods that hold
+    bars of these days: other periods are pruned before any file is read. A bar's versions
+    all lie in the bar's own period, so histories stay whole.
+    """
+
+    def bars(spec: TableSpec, grain: Grain, columns: list[str]) -> DataFrame:
+        schema = T.StructType([*_stored(spec, columns).fields, PERIOD_FIELD])
+        log = read_log(spark, spec.location(base), schema, upto)
+        if days:
+            first, last = (F.trunc(F.lit(d).cast("date"), grain.period) for d in days)
+            log = log.filter(F.col(PERIOD).between(first, last))
+        return log.select(*columns)
+
     vault = {}
-    for spec in (*(h.table for h in HUBS), *(x.table for x in LINKS)):
-        log = read_log(spark, spec.location(base), spec.schema, upto)
-        vault[spec.name] = log.select(*spec.columns)
-    for sat in SATELLITES:
-        spec = sat.table
-        if sat.versioned:
-            stored = version_columns(sat)
-            log = read_log(spark, spec.location(base), _stored(spec, stored), upto)
-            rows = intervals(log.select(*stored), [sat.parent_key])
-        else:
-            rows = read_log(spark, spec.location(base), spec.schema, upto)
-        vault[spec.name] = rows.select(*spec.columns)
+    for hub in HUBS:
+        log = read_log(spark, hub.table.location(base), hub.table.schema, upto)
+        vault[hub.table.name] = log.select(*hub.table.columns)
+    for grain in (DAY, MINUTE):
+        link, sat = grain.link, grain.sat
+        vault[link.table.name] = bars(link.table, grain, link.table.columns)
+        rows = bars(sat.table, grain, version_columns(sat))
+        vault[sat.table.name] = _versions(rows, sat)
+    sat = SAT_COMPANY_INFO
+    log = read_log(spark, sat.table.location(base), _stored(sat.table, version_columns(sat)), upto)
+    vault[sat.table.name] = _versions(log.select(*version_columns(sat)), sat)
     return vault
 
 
+def _versions(rows: DataFrame, sat: SatSpec) -> DataFrame:
+    if sat.versioned:
+        rows = intervals(rows, [sat.parent_key])
+    return rows.select(*sat.table.columns)
+
+
 def publish(vault: dict[str, DataFrame]) -> None:
     """Make the vault's tables usable by name in SQL for this session."""
     for name, table in vault.items():

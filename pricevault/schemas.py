@@ -291,6 +291,7 @@ class Grain:
     link: LinkSpec
     sat: SatSpec
     range_name: str
+    period: str  # table partition of the vault's bar-sized tables
 
 
 DAY = Grain(
@@ -304,6 +305,7 @@ DAY = Grain(
     LINK_INSTRUMENT_DAY,
     SAT_DAY_PRICES,
     "Intraday_Range",
+    "year",
 )
 MINUTE = Grain(
     "minute",
@@ -316,4 +318,5 @@ MINUTE = Grain(
     LINK_INSTRUMENT_MINUTE,
     SAT_MINUTE_PRICES,
     "Intra_Minute_Range",
+    "month",
 )

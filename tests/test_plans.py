@@ -124,3 +124,11 @@ def test_satellite_merge_scans_only_the_touched_periods(spark, sf_dir):
     target = _touched(spark, SAT_DAY_PRICES.table, Batch(base, 3, fr.LOADS[3]), (day, day))
     assert {r[0] for r in target.select(PERIOD).distinct().collect()} == {day}
     assert "PartitionFilters: [isnotnull(_batch_id" in plan(target)
+
+
+def test_a_day_of_the_vault_opens_one_period(spark, sf_dir):
+    vault = fr.stored_vault(spark, sf_dir, days=("1996-03-04", "1996-03-05"))
+    for name in ("link_instrument_day", "sat_instrument_day_prices"):
+        text = plan(vault[name])
+        assert "(_period" in text.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+        assert vault[name].count() < fr.stored_vault(spark, sf_dir)[name].count() / 3

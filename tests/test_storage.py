@@ -15,6 +15,7 @@ from pricevault.plans.jobs import (
     Batch,
     open_vault,
     publish,
+    read_batch,
     read_bronze,
     run_bronze_company,
     run_bronze_daily,
@@ -61,6 +62,8 @@ def test_raw_folders_to_vault(spark, raw):
     run_bronze_company(read_company_json(spark, raw), Batch(base, 1, "2025-02-01 00:00:00"))
     bars = read_bronze(spark, base, HISTORICALS)
     assert bars.schema == HISTORICALS.schema
+    assert read_batch(spark, base, HISTORICALS, 1).exceptAll(bars).count() == 0
+    assert read_batch(spark, base, HISTORICALS, 2).count() == 0
     assert {r.Date for r in bars.filter("Symbol = 'C D'").collect()} == {date(2025, 1, 3), date(2025, 1, 4)}
     company = read_bronze(spark, base, COMPANY)
     assert company.filter("priceToEarnings = 3.0 AND netIncome = 5").count() == 2

@@ -40,7 +40,6 @@ from pricevault.schemas import (
     LINK_INSTRUMENT_DAY,
     LINK_INSTRUMENT_MINUTE,
     MINUTE_HISTORICALS,
-    PRICE_COLUMNS,
     SAT_COMPANY_INFO,
     SAT_DAY_PRICES,
     SAT_MINUTE_PRICES,

@@ -18,7 +18,6 @@ from pricevault import shared_dir
 from pricevault.schemas import (
     BRONZE_TABLES,
     COMPANY,
-    DAY,
     HISTORICALS,
     MINUTE,
     PRICE_COLUMNS,

@@ -8,7 +8,7 @@ end of a version is the start of the key's next one. The *materialised history*
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +20,11 @@ START, END, LOADED = "Effective_DTS", "End_DTS", "Load_DTS"
 
 
 def moment(value: datetime | str | Column) -> Column:
-    """A zone-free timestamp column from a parameter."""
+    """A zone-free UTC timestamp column from a parameter."""
     if isinstance(value, Column):
         return value.cast("timestamp_ntz")
+    if isinstance(value, datetime) and value.tzinfo:
+        value = value.astimezone(timezone.utc).replace(tzinfo=None)
     return F.lit(str(value)).cast("timestamp_ntz")
 
 

@@ -14,8 +14,9 @@ from pricevault.schemas import COMPANY, PRICE_COLUMNS, SAT_COMPANY_INFO, Grain,
 
 
 def with_audit(df: DataFrame, load_dts: datetime | str | None, source: str) -> DataFrame:
-    """Add ``Load_DTS`` (one value for the whole run) and ``Record_Source``."""
-    at = moment(load_dts) if load_dts is not None else F.localtimestamp()
+    """Add ``Load_DTS`` (one UTC value for the whole run, now by default) and ``Record_Source``."""
+    now = F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
+    at = now if load_dts is None else moment(load_dts)
     return df.withColumn("Load_DTS", at).withColumn("Record_Source", F.lit(source))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from pricevault.operators.history import as_of, current, scd2_apply, scd2_histor
 from pricevault.operators.keyed import unique_keys, upsert
 from pricevault.operators.quality import assert_not_null, key_gate, split_by_rules
 from pricevault.operators.wrangle import ensure_symbol, to_bronze, to_bronze_company
-from pricevault.plans.staging import stage_bars
+from pricevault.plans.staging import stage_bars, with_audit
 from pricevault.schemas import (
     BAR_CHECKS,
     DAY,
@@ -189,6 +189,18 @@ def test_staging_makes_one_key_of_untidy_symbols(spark):
     assert {r.Load_DTS for r in staged} == {datetime(2025, 2, 1)}
 
 
+def test_load_times_are_utc(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        one = spark.range(1)
+        now = with_audit(one, None, "s").first().Load_DTS
+        assert abs(now - datetime.now(timezone.utc).replace(tzinfo=None)) < timedelta(minutes=5)
+        noon = datetime(2025, 1, 1, 12, tzinfo=timezone(timedelta(hours=-5)))
+        assert with_audit(one, noon, "s").first().Load_DTS == datetime(2025, 1, 1, 17)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 # History
 
 SAT = "Instrument_HK string, longName string, marketCap long, Hash_Diff string, Load_DTS timestamp_ntz, Record_Source string"

@@ -5,10 +5,9 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_module
+from checks import ORACLES, QUERIES
 from compare import connect, differences
 
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
@@ -17,6 +16,8 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricevault.llm.units import as_bytes, mix, slices, split_units, without
+from pricevault.llm.units import mix, split_units, text_slices, without
 
 REPEAT_WORDS = 8
 SYMBOLS = b"#*$%&|<>"
@@ -114,10 +114,9 @@ def _judge(names: list[str], text: str, bands: Bands):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=bands.level)
         for batch in batches:
-            texts = as_bytes(batch.column(batch.schema.names.index(text)))
-            for a, b in slices(texts):
-                n_words, chars, symbols, lines, repeats = _counts(texts[a:b])
-                ratios, chunks, odd, fine = zip(*(_packed(x, bands, packer) for x in texts[a:b]), strict=True)
+            for a, b, texts in text_slices(batch.column(batch.schema.names.index(text))):
+                n_words, chars, symbols, lines, repeats = _counts(texts)
+                ratios, chunks, odd, fine = zip(*(_packed(x, bands, packer) for x in texts), strict=True)
                 failed = (n_words < 20) | (100 * repeats > 30 * n_words)
                 found = (n_words, chars, symbols, lines, repeats, ratios, chunks, odd, failed, np.array(fine) & ~failed)
                 part = batch.slice(a, b - a)

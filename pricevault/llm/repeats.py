@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricevault.llm.units import BUCKET_BASE, as_bytes, slices, split_units, without
+from pricevault.llm.units import BUCKET_BASE, split_units, text_slices, without
 
 #: Entries (distinct hashes of a task batch) that a bucket holds at about one window a unit.
 BUCKET_ENTRIES = 400_000
 #: Windows that a task gathers before it packs them.
-BATCH_WINDOWS = 3_000_000
+BATCH_WINDOWS = 1_500_000
 #: Average bytes of a unit, to size the buckets.
 UNIT_BYTES = {"word": 6, "line": 120}
 
@@ -100,9 +100,9 @@ def _packer(kind: str, size: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, count = [], 0
         for batch in batches:
-            texts, ids = as_bytes(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False)
-            for a, b in slices(texts):
-                units = split_units(texts[a:b], kind)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for a, b, texts in text_slices(batch.column(1)):
+                units = split_units(texts, kind)
                 hashes, at = units.windows(size)
                 other, _ = units.windows(size, BUCKET_BASE)
                 kept.append((hashes, (other % np.uint64(buckets)).astype(np.int32), ids[a:b][units.owner[at]]))
@@ -176,10 +176,9 @@ def _cutter(names: list[str], text: str, kind: str, size: int, own: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.names.index(text)
-            texts, notes = as_bytes(batch.column(at)), batch.column(batch.num_columns - 1).to_pylist()
-            for a, b in slices(texts):
-                found = list(cut(texts[a:b], notes[a:b]))
+            for a, b, texts in text_slices(batch.column(at)):
                 part = batch.slice(a, b - a)
+                found = list(cut(texts, part.column(part.num_columns - 1).to_pylist()))
                 columns = [part.column(i) for i in range(len(names))]
                 columns[at] = pa.array([x[0] for x in found], pa.binary()).cast(pa.string())
                 columns += [pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.int64())]

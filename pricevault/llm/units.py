@@ -13,9 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 
 #: Texts are hashed in slices of about so many bytes; a longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: Odd multipliers of the byte polynomial and of the two window polynomials.
 BYTE_BASE, WINDOW_BASE, BUCKET_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
@@ -95,21 +96,19 @@ def split_units(texts: list[bytes], kind: str) -> Units:
     return Units(data, hashes, owner, start, end, np.bincount(owner, minlength=len(texts)))
 
 
-def slices(texts: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of texts that hold about ``limit`` bytes each."""
+def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges of a text column that hold about ``limit`` bytes each, with their UTF-8 texts.
+
+    A null text counts as empty. Only one range's texts are copied at a time.
+    """
+    sizes = pa.compute.binary_length(column).fill_null(0).to_pylist()
     first = size = 0
-    for i, text in enumerate(texts):
-        if i > first and size + len(text) > limit:
-            yield first, i
+    for i, more in enumerate([*sizes, limit + 1]):
+        if i > first and (size + more > limit or i == len(sizes)):
+            part = column.slice(first, i - first).cast(pa.binary()).to_pylist()
+            yield first, i, [x or b"" for x in part]
             first, size = i, 0
-        size += len(text)
-    if first < len(texts):
-        yield first, len(texts)
-
-
-def as_bytes(column: pa.Array) -> list[bytes]:
-    """UTF-8 bytes of a text column; null counts as empty."""
-    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+        size += more
 
 
 def without(names: Iterable[str], added: Iterable[str]) -> list[str]:

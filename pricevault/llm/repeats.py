@@ -3,7 +3,7 @@
 Each task turns its documents into window hashes, keeps the smallest document of each hash, and
 notes at once which of its documents only repeat that one. What remains, one entry for each hash
 and task batch, is packed into one row for each hash bucket and shuffled; a bucket compares its
-entries and names, for each document, the hashes that a smaller document holds. The notes are
+entries and lists the hashes of each document that a smaller document holds. The notes are
 then joined to the documents, which are hashed again and cut.
 
 A hot window costs one entry for each task batch, however often it occurs, and buckets hold
@@ -20,6 +20,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +35,7 @@ BATCH_WINDOWS = 1_500_000
 UNIT_BYTES = {"word": 6, "line": 120}
 
 PACKED = "bucket int, doc_id long, hashes binary, docs binary"
-NOTES = "doc_id long, hashes binary"
+NOTES = "doc_id long, hash long"
 
 
 def _pack_ids(ids: np.ndarray) -> bytes:
@@ -118,21 +119,21 @@ def _packer(kind: str, size: int, buckets: int):
 
 def _judge(group: pa.Table) -> pa.Table:
     """One bucket: the hashes of each document that a smaller document holds."""
-    notes, hashes, ids = [], [], []
+    found, hashes, ids = [], [], []
     for row in group.select(["doc_id", "hashes", "docs"]).to_pylist():
+        data = np.frombuffer(row["hashes"], np.uint64)
         if row["docs"] is None:
-            notes.append((row["doc_id"], row["hashes"]))
+            found.append((np.full(len(data), row["doc_id"], np.int64), data))
         else:
-            hashes.append(np.frombuffer(row["hashes"], np.uint64))
+            hashes.append(data)
             ids.append(_unpack_ids(row["docs"]))
     if hashes:
         all_hashes, all_ids = np.concatenate(hashes), np.concatenate(ids)
         order, _, least = _smallest(all_hashes, all_ids)
         late = all_ids[order] > least
-        notes += _by_document(all_ids[order][late], all_hashes[order][late])
-    return pa.table(
-        {"doc_id": pa.array([x[0] for x in notes], pa.int64()), "hashes": pa.array([x[1] for x in notes], pa.binary())}
-    )
+        found.append((all_ids[order][late], all_hashes[order][late]))
+    docs, late = (np.concatenate(x) for x in zip(*found, strict=True))
+    return pa.table({"doc_id": docs, "hash": late.view(np.int64)})
 
 
 def _covered(marks: np.ndarray, size: int, count: int) -> np.ndarray:
@@ -147,7 +148,7 @@ def _cutter(names: list[str], text: str, kind: str, size: int, own: bool):
     """Task code: documents beside their notes to documents without the noted windows."""
     separator = b" " if kind == "word" else b"\n"
 
-    def cut(texts: list[bytes], notes: list) -> Iterator[tuple[bytes, int, int, list]]:
+    def cut(texts: list[bytes], notes: list[np.ndarray]) -> Iterator[tuple[bytes, int, int, list]]:
         units = split_units(texts, kind)
         hashes, at = units.windows(size)
         bounds = np.searchsorted(units.owner[at], np.arange(len(texts) + 1))
@@ -156,8 +157,8 @@ def _cutter(names: list[str], text: str, kind: str, size: int, own: bool):
             count = int(units.count[i])
             mine = hashes[bounds[i] : bounds[i + 1]]
             marked = np.zeros(len(mine), bool)
-            if noted:
-                marked |= np.isin(mine, np.frombuffer(b"".join(noted), np.uint64))
+            if len(noted):
+                marked |= np.isin(mine, noted)
             if own and len(mine) > 1:
                 _, first = np.unique(mine, return_index=True)
                 later = np.ones(len(mine), bool)
@@ -178,7 +179,9 @@ def _cutter(names: list[str], text: str, kind: str, size: int, own: bool):
             at = batch.schema.names.index(text)
             for a, b, texts in text_slices(batch.column(at)):
                 part = batch.slice(a, b - a)
-                found = list(cut(texts, part.column(part.num_columns - 1).to_pylist()))
+                noted = part.column(part.num_columns - 1)
+                ends = np.cumsum(pa.compute.list_value_length(noted).fill_null(0).to_numpy())[:-1]
+                found = list(cut(texts, np.split(noted.flatten().to_numpy().view(np.uint64), ends)))
                 columns = [part.column(i) for i in range(len(names))]
                 columns[at] = pa.array([x[0] for x in found], pa.binary()).cast(pa.string())
                 columns += [pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.int64())]
@@ -208,7 +211,7 @@ def cut_repeats(docs: DataFrame, *, kind: str, size: int, own: bool, id_col: str
     buckets = max(8, int(total // (UNIT_BYTES[kind] * BUCKET_ENTRIES)) + 1)
     packed = slim.mapInArrow(_packer(kind, size, buckets), PACKED)
     notes = packed.groupBy("bucket").applyInArrow(_judge, NOTES)
-    notes = notes.groupBy(F.col("doc_id").alias("__note_id")).agg(F.collect_list("hashes").alias("__notes"))
+    notes = notes.groupBy(F.col("doc_id").alias("__note_id")).agg(F.collect_list("hash").alias("__notes"))
     joined = docs.join(notes, F.col(id_col).cast("long") == F.col("__note_id"), "left").drop("__note_id")
     names = docs.columns
     schema = T.StructType(

@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from pricevault.llm import q_minhash, q_quality, q_repeats, q_tokens, q_urls  # noqa: F401  (they register)
+from pricevault.llm import q_html, q_minhash, q_model, q_quality, q_repeats, q_tokens, q_urls  # noqa: F401  (they register)
 from pricevault.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

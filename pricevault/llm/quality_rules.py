@@ -110,7 +110,7 @@ def _packed(text: bytes, bands: Bands, packer: zstandard.ZstdCompressor) -> tupl
     return ratio, len(cuts), odd, fine
 
 
-def _judge(names: list[str], text: str, bands: Bands):
+def _judge(names: list[str], text: str, bands: Bands, prefix: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=bands.level)
         for batch in batches:
@@ -122,12 +122,12 @@ def _judge(names: list[str], text: str, bands: Bands):
                 part = batch.slice(a, b - a)
                 columns = [part.column(i) for i in range(len(names))]
                 columns += [pa.array(x, t) for x, t in zip(found, COLUMNS.values(), strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, [*names, *COLUMNS])
+                yield pa.RecordBatch.from_arrays(columns, [*names, *(prefix + k for k in COLUMNS)])
 
     return run
 
 
-def quality_rules(docs: DataFrame, bands: Bands = Bands(), text_col: str = "text") -> DataFrame:
+def quality_rules(docs: DataFrame, bands: Bands = Bands(), text_col: str = "text", prefix: str = "") -> DataFrame:
     """Each document with its counts and ``kept``: false if it fails the base rules or a band.
 
     The base rules fail texts of less than 20 words and texts of which over 30 percent of the
@@ -135,9 +135,9 @@ def quality_rules(docs: DataFrame, bands: Bands = Bands(), text_col: str = "text
     64-bit hash). The bands then reject repetitive (ratio too great) and incompressible (too
     small) texts, see ``Bands``. Rows are independent: no shuffle, repeated rows get equal results.
     Null and empty texts have zero counts, a null ratio, and are not kept. Input columns named
-    like a result column are replaced; an empty table gives an empty result.
+    like a result column (``prefix`` and the name) are replaced; an empty table gives an empty result.
     """
-    docs = docs.select([F.col(f"`{x}`") for x in without(docs.columns, COLUMNS)])
+    docs = docs.select([F.col(f"`{x}`") for x in without(docs.columns, (prefix + k for k in COLUMNS))])
     kinds = {pa.int64(): T.LongType(), pa.float64(): T.DoubleType(), pa.bool_(): T.BooleanType()}
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(k, kinds[v]) for k, v in COLUMNS.items())])
-    return docs.mapInArrow(_judge(docs.columns, text_col, bands), schema)
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(prefix + k, kinds[v]) for k, v in COLUMNS.items())])
+    return docs.mapInArrow(_judge(docs.columns, text_col, bands, prefix), schema)

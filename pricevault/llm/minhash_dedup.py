@@ -158,8 +158,8 @@ def near_duplicates(
     that shares a band is lost, and no group is compared all against all.
 
     Null texts count as empty; texts without words belong together only if they are equal bytes.
-    Rows with a null id get a null class; rows with equal ids are one document with several
-    texts. Extra columns are not read. An empty table gives an empty result.
+    Rows with a null id get a null class; rows with equal ids get each the class of their text,
+    and their texts that are nobody's later copy are one node. Extra columns are not read. An empty table gives an empty result.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     signs = stored(slim.where("doc_id IS NOT NULL").mapInArrow(_signer(bands, rows), "doc_id long, copy_key binary, bands array<long>"), "signs")
@@ -175,7 +175,7 @@ def near_duplicates(
     pairs = starred.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct()
     near = _verified(pairs, texts).groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
     linked = near.where(F.col("similarity") >= similarity)
-    edges = linked.select("a", "b").union(nodes.where("doc_id <> first").select("first", "doc_id"))
+    edges = linked.select("a", "b")
     labels = components(edges)
 
     spread = 1 - similarity
@@ -198,7 +198,7 @@ def near_duplicates(
     if not across.isEmpty():
         more = _verified(across, texts).where(F.col("similarity") >= similarity)
         labels = components(edges.union(more.select("a", "b")))
-    found = nodes.select("doc_id").join(labels, nodes["doc_id"] == labels["node"], "left")
-    found = found.select("doc_id", F.coalesce("label", "doc_id").alias("class_id"))
+    found = nodes.select("doc_id", "first").join(labels, nodes["first"] == labels["node"], "left")
+    found = found.select("doc_id", F.coalesce("label", "first").alias("class_id"))
     nameless = slim.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("long").alias("class_id"))
     return found.union(nameless)

@@ -267,7 +267,7 @@ _PRICES = "Open, High, Low, Close, Volume, Dividends, Stock_Splits"
 
 
 def num(x: str) -> str:
-    return rf"coalesce(CAST(CAST(floor({x} * 1000000 + 0.5) AS BIGINT) AS VARCHAR), '\N')"
+    return rf"coalesce(CAST({x} + 0.0::DOUBLE AS VARCHAR), '\N')"
 
 
 def txt(x: str) -> str:

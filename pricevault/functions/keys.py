@@ -12,9 +12,6 @@ from pyspark.sql import types as T
 #: stored string can look like it.
 NULL_MARK = r"\N"
 
-#: Doubles below this size fit a 64-bit count of millionths.
-MILLIONTHS_LIMIT = 9e12
-
 
 def hash_key(*names: str) -> Column:
     """MD5 over the business keys' text, joined by ``|``.
@@ -27,13 +24,13 @@ def hash_key(*names: str) -> Column:
 
 
 def stable_text(name: str, dtype: T.DataType) -> Column:
-    """One text per value, the same on every engine; NULL gets its own mark."""
+    """One text per value, different for different values; NULL gets its own mark.
+
+    A number's text is its shortest exact form. Adding 0.0 makes -0.0 and 0.0 one value.
+    """
     c = F.col(name)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        # Whole millionths, which every engine rounds alike and no decimal object is made
-        # for; NaN, infinities and values beyond a 64-bit count keep their own text.
-        millionths = F.floor(c * 1e6 + 0.5).cast("string")
-        text = F.when(F.abs(c) < MILLIONTHS_LIMIT, millionths).otherwise(c.cast("string"))
+        text = (c + F.lit(0.0).cast(dtype)).cast("string")
     elif isinstance(dtype, T.StringType):
         text = F.regexp_replace(c, r"([\\|])", r"\\$1")
     else:

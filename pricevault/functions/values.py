@@ -15,8 +15,9 @@ def canonical(name: str) -> Column:
 
 
 def parse_date(name: str) -> Column:
-    """Local calendar date of a raw bar time; NULL if it is none."""
-    return F.substring(F.col(name), 1, 10).try_cast("date")
+    """Local calendar date of a raw bar time; NULL if the whole text is none."""
+    raw = F.col(name)
+    return F.when(raw.rlike(RAW_TIME), F.substring(raw, 1, 10).try_cast("date"))
 
 
 def parse_datetime(name: str) -> Column:

@@ -69,13 +69,18 @@ def scd2_changes(
 ) -> DataFrame:
     """Staged rows that start a version: the key is new or its newest hash differs.
 
-    ``newest`` holds one row per key. One anti-join on key and hash answers both.
+    ``newest`` holds one row per key with its start. A change that is not later than the
+    version it would follow stops the job: versions are loaded in order.
     """
-    known = newest.select(*[F.col(c).alias(f"_{c}") for c in (*keys, hash_col)])
-    same = F.col(hash_col).eqNullSafe(F.col(f"_{hash_col}"))
+    known = newest.select(*[F.col(c).alias(f"_{c}") for c in (*keys, hash_col, START)])
+    same = F.lit(True)
     for k in keys:
         same &= F.col(k) == F.col(f"_{k}")
-    return staged.join(known, same, "left_anti").withColumn(START, F.col(LOADED))
+    differs = F.col(f"_{keys[0]}").isNull() | ~F.col(hash_col).eqNullSafe(F.col(f"_{hash_col}"))
+    found = staged.join(known, same, "left").filter(differs)
+    late = F.raise_error(F.lit("batch is not later than the newest version")).cast("timestamp_ntz")
+    start = F.when(F.col(f"_{START}").isNull() | (F.col(f"_{START}") < F.col(LOADED)), F.col(LOADED)).otherwise(late)
+    return found.withColumn(START, start).select(*dict.fromkeys([*staged.columns, START]))
 
 
 def scd2_apply(

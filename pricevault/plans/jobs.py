@@ -192,7 +192,7 @@ def _earlier(
 ) -> DataFrame:
     """The table's log before this batch."""
     schema = _stored(spec, columns)
-    return read_log(spark, spec.location(batch.base), schema, upto=batch.batch_id - 1)
+    return read_log(spark, spec.location(batch.base), schema, batch.batch_id - 1, may_be_new=True)
 
 
 def _touched(
@@ -200,7 +200,7 @@ def _touched(
 ) -> DataFrame:
     """The log before this batch, in the periods the batch covers: a pruned scan."""
     schema = T.StructType([*_stored(spec, columns).fields, PERIOD_FIELD])
-    log = read_log(spark, spec.location(batch.base), schema, upto=batch.batch_id - 1)
+    log = read_log(spark, spec.location(batch.base), schema, batch.batch_id - 1, may_be_new=True)
     return log.filter(F.col(PERIOD).between(F.lit(span[0]), F.lit(span[1])))
 
 
@@ -219,6 +219,9 @@ def open_vault(
 ) -> dict[str, DataFrame]:
     """Vault tables in their declared shape, after batch ``upto`` (all by default).
 
+    Every load fills the instrument hub, so a base without it is no vault and is refused; a
+    table that no job has filled yet is empty.
+
     ``days`` (first and last day, both included) opens only the calendar periods that hold
     bars of these days: other periods are pruned before any file is read. A bar's versions
     all lie in the bar's own period, so histories stay whole.
@@ -226,7 +229,7 @@ def open_vault(
 
     def bars(spec: TableSpec, grain: Grain, columns: list[str]) -> DataFrame:
         schema = T.StructType([*_stored(spec, columns).fields, PERIOD_FIELD])
-        log = read_log(spark, spec.location(base), schema, upto)
+        log = read_log(spark, spec.location(base), schema, upto, may_be_new=True)
         if days:
             first, last = (F.trunc(F.lit(d).cast("date"), grain.period) for d in days)
             log = log.filter(F.col(PERIOD).between(first, last))
@@ -234,7 +237,7 @@ def open_vault(
 
     vault = {}
     for hub in HUBS:
-        log = read_log(spark, hub.table.location(base), hub.table.schema, upto)
+        log = read_log(spark, hub.table.location(base), hub.table.schema, upto, hub is not HUB_INSTRUMENT)
         vault[hub.table.name] = log.select(*hub.table.columns)
     for grain in (DAY, MINUTE):
         link, sat = grain.link, grain.sat
@@ -242,7 +245,7 @@ def open_vault(
         rows = bars(sat.table, grain, version_columns(sat))
         vault[sat.table.name] = _versions(rows, sat)
     sat = SAT_COMPANY_INFO
-    log = read_log(spark, sat.table.location(base), _stored(sat.table, version_columns(sat)), upto)
+    log = read_log(spark, sat.table.location(base), _stored(sat.table, version_columns(sat)), upto, may_be_new=True)
     vault[sat.table.name] = _versions(log.select(*version_columns(sat)), sat)
     return vault
 

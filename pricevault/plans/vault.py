@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pricevault.functions import hash_key
 from pricevault.operators.history import scd2_changes
-from pricevault.operators.keyed import dedupe, insert_new, latest
+from pricevault.operators.keyed import insert_new, latest, unique_keys
 from pricevault.schemas import HubSpec, LinkSpec, SatSpec
 
 AUDIT = ["Load_DTS", "Record_Source"]
@@ -62,13 +62,15 @@ def load_sat_versions(
     """Versions a batch adds to a versioned satellite's log.
 
     ``End_DTS`` is not stored: it is the start of the next version, derived on read. The
-    newest version of each key is found with a per-task limit before the shuffle.
+    newest version of each key is found with a per-task limit before the shuffle. Exact copies
+    in the batch count once; two different rows of one key stop the job, and so does a change
+    that is not later than the key's newest version.
     """
     keys = [spec.parent_key]
     stored = version_columns(spec)
-    fresh = staged.withColumn("Effective_DTS", F.col("Load_DTS"))
-    fresh = dedupe(fresh.select(*stored, *extra), keys, [*AUDIT, "Hash_Diff"])
-    newest = latest(target_log.select(*keys, "Hash_Diff", "Effective_DTS"), keys, "Effective_DTS")
+    fresh = staged.withColumn("Effective_DTS", F.col("Load_DTS")).select(*stored, *extra)
+    fresh = unique_keys(fresh.distinct(), keys, [*AUDIT, "Hash_Diff"])
+    newest = latest(target_log.select(*keys, "Hash_Diff", "Effective_DTS"), keys, ["Effective_DTS", "Hash_Diff"])
     return scd2_changes(newest, fresh, keys).select(*stored, *extra)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,12 +30,8 @@ def get_spark(app: str = "pricevault", master: str | None = None, **conf: str) -
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder URI that every executor can reach.
 
-    It lies below ``spark.checkpoint.dir``. Only a local-mode session, where driver
-    and executors are one process, may fall back to the machine's own temp folder.
+    It lies below ``spark.checkpoint.dir``, or below the warehouse folder, which executors
+    share as well, when no checkpoint folder is set.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="pricevault-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/pricevault/{label}-{uuid.uuid4().hex}"

@@ -13,15 +13,14 @@ from pyspark.sql import types as T
 
 from pricevault.operators.keyed import absent_from
 from pricevault.operators.skew import spread_join
-from pricevault.sources.readers import read_or_empty
 from pricevault.sources.tablelog import BATCH, append_log, read_log
 
 SYMBOL = T.StructType([T.StructField("Symbol", T.StringType())])
 
 
-def landed_symbols(spark: SparkSession, base: str, upto: int | None = None) -> DataFrame:
+def landed_symbols(spark: SparkSession, base: str, upto: int | None = None, may_be_new: bool = False) -> DataFrame:
     """Symbols landed by batch ``upto`` (by any batch by default)."""
-    return read_log(spark, f"{base}/symbols", SYMBOL, upto).select("Symbol").distinct()
+    return read_log(spark, f"{base}/symbols", SYMBOL, upto, may_be_new).select("Symbol").distinct()
 
 
 def land_once(df: DataFrame, base: str, batch_id: int, fmt: str = "csv") -> None:
@@ -29,7 +28,7 @@ def land_once(df: DataFrame, base: str, batch_id: int, fmt: str = "csv") -> None
 
     Rows are written before the symbol log, and running the batch again replaces both.
     """
-    landed = landed_symbols(df.sparkSession, base, upto=batch_id - 1)
+    landed = landed_symbols(df.sparkSession, base, upto=batch_id - 1, may_be_new=True)
     fresh = spread_join(df, landed, "Symbol", df.columns, how="left_anti")
     append_log(fresh, f"{base}/data", batch_id, fmt=fmt)
     symbols = absent_from(landed, df.select("Symbol").distinct(), ["Symbol"])
@@ -41,4 +40,4 @@ def read_landed(
 ) -> DataFrame:
     """All landed rows; ``schema`` is that of the landed frames, in their column order."""
     stored = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    return read_or_empty(spark, f"{base}/data", stored, fmt, header=True).drop(BATCH)
+    return spark.read.format(fmt).schema(stored).options(header=True).load(f"{base}/data").drop(BATCH)

@@ -51,16 +51,19 @@ def append_log(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
 ) -> None:
-    """Write ``df`` as batch ``batch_id`` of the log, replacing that batch only."""
+    """Write ``df`` as batch ``batch_id`` of the log, replacing all of that batch and no other.
+
+    The batch's own folder is overwritten as a whole, so rows and partitions that an
+    earlier run of the batch wrote and this one does not are gone; no rows empty it.
+    """
     writer = (
         by_partition(df, partition_by)
-        .withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH, *partition_by)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*partition_by)
         .format(fmt)
     )
-    (writer.option("header", True) if fmt == "csv" else writer).save(path)
+    (writer.option("header", True) if fmt == "csv" else writer).save(f"{path.rstrip('/')}/{BATCH}={int(batch_id)}")
 
 
 def read_log(
@@ -68,10 +71,14 @@ def read_log(
     path: str,
     schema: T.StructType,
     upto: int | None = None,
+    may_be_new: bool = False,
 ) -> DataFrame:
-    """All rows of the log, or those of batches up to ``upto``, with ``_batch_id``."""
+    """All rows of the log, or those of batches up to ``upto``, with ``_batch_id``.
+
+    A missing log is an error, except for the writer of a first batch (``may_be_new``).
+    """
     stored = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    log = read_or_empty(spark, path, stored)
+    log = read_or_empty(spark, path, stored) if may_be_new else spark.read.schema(stored).parquet(path)
     return log if upto is None else log.filter(F.col(BATCH) <= upto)
 
 

@@ -102,14 +102,13 @@ def agg_distinct(spark, d):
 @query(
     "agg_dedupe_by_key",
     """
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM (
+    SELECT * EXCLUDE (rn) FROM (
       SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-        ORDER BY l_partkey, l_suppkey, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1""",
+        ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate) AS rn FROM lineitem) WHERE rn = 1""",
 )
 def agg_dedupe_by_key(spark, d):
-    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    lines = fr.table(spark, d, "lineitem").select(*columns)
-    return dedupe(lines, columns[:2], columns[2:])
+    order = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"]
+    return dedupe(fr.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], order)
 
 
 @query("win_prev_close", sql(PREV, "hist"))

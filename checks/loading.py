@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import frames as fr
 from checks.frames import LOADS, PRICE_HASH, sql
-from checks.registry import query
+from checks.registry import ORACLES, query
 from pricevault import shared_dir
 from pricevault.operators.history import scd2_apply, scd2_history
 from pricevault.operators.keyed import absent_from, dedupe, duplicated_keys, unique_keys, upsert
@@ -23,6 +23,7 @@ from pricevault.plans.jobs import (
     Batch,
     open_vault,
     read_bronze,
+    read_rejects,
     run_bronze_company,
     run_bronze_daily,
     run_bronze_minute,
@@ -300,7 +301,7 @@ MINUTE_VIEW = VIEW.format(time="DateTime", range="Intra_Minute_Range")
 def first_load(spark, d) -> dict[str, DataFrame]:
     """Daily vault tables after a first load, as one lazy plan: nothing is written."""
     bars = fr.stage_daily(fr.derive_hist(spark, d), 1)
-    facts = fr.staged_company(spark, d, 1)
+    facts = fr.staged_company(spark, d, 3)
     loads = [
         (HUB_INSTRUMENT, load_hub),
         (HUB_CALENDAR, load_hub),
@@ -317,7 +318,7 @@ def first_load(spark, d) -> dict[str, DataFrame]:
 
 @query(
     "view_daily_first_load",
-    sql(f"SELECT {DAY_VIEW} FROM hist h JOIN raw1 c ON c.symbol = h.Symbol", "hist", "raw1"),
+    sql(f"SELECT {DAY_VIEW} FROM hist h JOIN raw3 c ON c.symbol = h.Symbol", "hist", "raw3"),
 )
 def view_daily_first_load(spark, d):
     view = instrument_daily_view(first_load(spark, d))
@@ -415,7 +416,8 @@ def join_intraday_volatility(spark, d):
         f"SELECT c.Instrument_HK, c.longName, c.marketCap, c.Effective_DTS, c.End_DTS, "
         f"md5(m.Symbol || '|' || strftime(m.DateTime, '%Y-%m-%d %H:%M:%S')) AS Instrument_Minute_LK, "
         "md5(strftime(m.DateTime, '%Y-%m-%d %H:%M:%S')) AS Time_HK "
-        "FROM versions c JOIN minute m ON m.Symbol = c.symbol WHERE c.Instrument_HK NOT LIKE '19f%'",
+        "FROM versions c JOIN minute m ON m.Symbol = c.symbol "
+        "WHERE c.End_DTS IS NULL AND c.Instrument_HK NOT LIKE '19f%'",
         "versions",
         "minute",
     ),
@@ -425,6 +427,12 @@ def join_company_minute_link(spark, d):
     return joined.drop("Hash_Diff", "Load_DTS", "Record_Source")
 
 
+@query("join_company_minute_link_all", ORACLES["join_company_minute_link"].replace("c.End_DTS IS NULL AND ", ""))
+def join_company_minute_link_all(spark, d):
+    joined = company_minute_links(fr.stored_vault(spark, d), "19f%", current_only=False)
+    return joined.drop("Hash_Diff", "Load_DTS", "Record_Source")
+
+
 # Jobs
 
 
@@ -504,6 +512,57 @@ COUNTED = (
 )
 
 
+@query("job_bronze_rejects", ORACLES["dq_rejects"])
+def job_bronze_rejects(spark, d):
+    """What a bronze load turned away, each row with the rules that it breaks."""
+    base = shared_dir(spark, "bronze-rejects")
+    run_bronze_daily(fr.flawed(fr.raw_daily(fr.hist(spark, d))), Batch(base, 1, LOADS[1]))
+    return read_rejects(spark, base, HISTORICALS, 1)
+
+
+SECOND = "NOT LIKE '%7'"
+
+
+@query(
+    "mrg_rerun_replaces",
+    sql(
+        f"SELECT 'day' AS grain, Symbol, CAST(Date AS VARCHAR) AS at, Close FROM hist WHERE Symbol {SECOND} AND year(Date) <> 1996 "
+        f"UNION ALL SELECT 'minute', Symbol, CAST(CAST(DateTime AS DATE) AS VARCHAR), Close FROM minute "
+        f"WHERE Symbol {SECOND} AND CAST(DateTime AS DATE) <> DATE '2024-01-10' "
+        f"UNION ALL SELECT 'company', symbol, NULL, CAST(marketCap AS DOUBLE) FROM raw3 WHERE symbol {SECOND}",
+        "hist",
+        "minute",
+        "raw3",
+    ),
+)
+def mrg_rerun_replaces(spark, d):
+    """Batch 1 runs whole, then again with fewer rows and periods: only the second run is left."""
+    base = shared_dir(spark, "vault-rerun")
+    bars, minutes, facts = fr.hist(spark, d), fr.minute(spark, d), fr.raw_company(spark, d, 3)
+    batch = Batch(base, 1, LOADS[1])
+    for again in (False, True):
+        if again:
+            bars = bars.filter(f"Symbol {SECOND} AND year(Date) <> 1996")
+            minutes = minutes.filter(f"Symbol {SECOND} AND CAST(DateTime AS DATE) <> DATE'2024-01-10'")
+            facts = facts.filter(f"symbol {SECOND}")
+        run_vault_daily(bars, batch)
+        run_vault_minute(minutes, batch)
+        run_vault_company(facts, batch)
+    vault = open_vault(spark, base)
+    hubs = vault["hub_instrument"].select("Instrument_HK", "Symbol")
+    day = vault["link_instrument_day"].join(vault["sat_instrument_day_prices"], "Instrument_Day_LK")
+    day = day.join(vault["hub_calendar"], "Calendar_HK").select("Instrument_HK", F.lit("day").alias("grain"), F.col("Date").cast("string").alias("at"), "Close")
+    minute = vault["link_instrument_minute"].join(vault["sat_instrument_minute_prices"], "Instrument_Minute_LK")
+    minute = minute.join(vault["hub_time"], "Time_HK").select(
+        "Instrument_HK", F.lit("minute").alias("grain"), F.col("DateTime").cast("date").cast("string").alias("at"), "Close"
+    )
+    company = vault["sat_company_info"].select(
+        "Instrument_HK", F.lit("company").alias("grain"), F.lit(None).cast("string").alias("at"), F.col("marketCap").cast("double").alias("Close")
+    )
+    rows = day.unionByName(minute).unionByName(company)
+    return rows.join(hubs, "Instrument_HK").select("grain", "Symbol", "at", "Close")
+
+
 @query(
     "mrg_idempotent_counts",
     sql(

@@ -38,12 +38,12 @@ AUDIT = f"TIMESTAMP '{fr.LOADS[1]}' AS Load_DTS, 'historicals' AS Record_Source"
 @query(
     "prj_rename",
     sql(
-        "SELECT symbol, netIncomeToCommon AS netIncome, bookValue AS bookValuePerShare FROM raw1",
-        "raw1",
+        "SELECT symbol, netIncomeToCommon AS netIncome, bookValue AS bookValuePerShare FROM raw3",
+        "raw3",
     ),
 )
 def prj_rename(spark, d):
-    named = wr.rename(fr.raw_company(spark, d, 1), wr.COMPANY_NAMES)
+    named = wr.rename(fr.raw_company(spark, d, 3), wr.COMPANY_NAMES)
     return named.select("symbol", "netIncome", "bookValuePerShare")
 
 
@@ -73,19 +73,19 @@ def prj_bar_shape(spark, d):
     "prj_pe_ratio",
     sql(
         "SELECT symbol, currentPrice, trailingEps, "
-        "round(currentPrice / nullif(trailingEps, 0), 6) AS priceToEarnings FROM raw1",
-        "raw1",
+        "round(currentPrice / nullif(trailingEps, 0), 6) AS priceToEarnings FROM raw3",
+        "raw3",
     ),
 )
 def prj_pe_ratio(spark, d):
-    facts = wr.with_pe(fr.raw_company(spark, d, 1))
+    facts = wr.with_pe(fr.raw_company(spark, d, 3))
     pe = F.round("priceToEarnings", 6).alias("priceToEarnings")
     return facts.select("symbol", "currentPrice", "trailingEps", pe)
 
 
-@query("prj_company_shape", sql("SELECT * FROM company1", "company1"))
+@query("prj_company_shape", sql("SELECT * FROM company3", "company3"))
 def prj_company_shape(spark, d):
-    return fr.company(spark, d, 1)
+    return fr.company(spark, d, 3)
 
 
 @query("prj_canonical_key", sql("SELECT Date, upper(trim(Symbol)) AS Symbol FROM flawed", "flawed"))
@@ -148,12 +148,12 @@ def stg_minute(spark, d):
     "stg_company",
     sql(
         f"SELECT symbol AS Symbol, longName, marketCap, md5(symbol) AS Instrument_HK, "
-        f"{fr.COMPANY_HASH} AS Hash_Diff, {AUDIT} FROM raw1",
-        "raw1",
+        f"{fr.COMPANY_HASH} AS Hash_Diff, TIMESTAMP '{fr.LOADS[3]}' AS Load_DTS, 'historicals' AS Record_Source FROM raw3",
+        "raw3",
     ),
 )
 def stg_company(spark, d):
-    return fr.staged_company(spark, d, 1)
+    return fr.staged_company(spark, d, 3)
 
 
 @query(

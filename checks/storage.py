@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from checks import frames as fr
 from checks.frames import LOADS, sql
-from checks.registry import query
+from checks.registry import ORACLES, query
 from pricevault import catalog as cat
 from pricevault import shared_dir
+from pricevault.operators.views import create_views, view_name
 from pricevault.schemas import (
     BRONZE_TABLES,
     COMPANY,
+    DAY,
     HISTORICALS,
     MINUTE,
     PRICE_COLUMNS,
@@ -83,10 +85,10 @@ def src_csv_minute(spark, d):
     return read_bars_csv(spark, base, MINUTE, "Symbol=*/*.csv", SYMBOL_PARTITION)
 
 
-@query("src_json_company", sql("SELECT * FROM raw1", "raw1"))
+@query("src_json_company", sql("SELECT * FROM raw3", "raw3"))
 def src_json_company(spark, d):
     base = shared_dir(spark, "landing-company")
-    fr.raw_company(spark, d, 1).write.json(base)
+    fr.raw_company(spark, d, 3).write.json(base)
     return read_company_json(spark, base, "*.json")
 
 
@@ -106,11 +108,9 @@ def src_path(spark, d):
     return read_source(spark, table="not.used", path=base)
 
 
-@query("src_parquet", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+@query("src_parquet", "SELECT * FROM customer")
 def src_parquet(spark, d):
-    return read_source(spark, path=f"{d}/customer.parquet").select(
-        "c_custkey", "c_name", "c_acctbal"
-    )
+    return read_source(spark, path=f"{d}/customer.parquet")
 
 
 def _bar_log(spark, d) -> DataFrame:
@@ -214,6 +214,7 @@ def _filled(spark, d, buckets: int = 0) -> str:
     base, schema = shared_dir(spark, "tables"), fr.new_schema()
     frames = {
         **fr.stored_vault(spark, d),
+        "historicals": fr.hist(spark, d),
         "minute_historicals": fr.minute(spark, d),
         "company": fr.company(spark, d, 3),
     }
@@ -241,7 +242,8 @@ def _counts(spark, schema: str, names) -> DataFrame:
 
 VAULT_CTES = ("day_versions", "versions", "minute_versions", "company3")
 TABLE_COUNTS = """
-    SELECT 'minute_historicals' AS table_name, count(*) AS n_rows FROM minute UNION ALL
+    SELECT 'historicals' AS table_name, count(*) AS n_rows FROM hist UNION ALL
+    SELECT 'minute_historicals', count(*) FROM minute UNION ALL
     SELECT 'company', count(*) FROM company3 UNION ALL
     SELECT 'hub_instrument', count(*) FROM (SELECT Symbol FROM hist UNION SELECT Symbol FROM minute
       UNION SELECT symbol FROM feed) UNION ALL
@@ -258,8 +260,7 @@ TABLE_COUNTS = """
 def cat_create(spark, d):
     """Created tables take their rows; counts are read back by table name."""
     schema = _filled(spark, d, buckets=4)
-    names = [s.name for s in (*BRONZE_TABLES, *VAULT_TABLES) if s is not HISTORICALS]
-    return _counts(spark, schema, names)
+    return _counts(spark, schema, [s.name for s in (*BRONZE_TABLES, *VAULT_TABLES)])
 
 
 @query(
@@ -275,6 +276,39 @@ def cat_list(spark, d):
     return listed.join(counts, "tableName")
 
 
+@query(
+    "cat_schemas",
+    sql(f"SELECT 1 AS n_schemas, CAST(count(*) AS BIGINT) AS n_tables, CAST(sum(n_rows) AS BIGINT) AS n_rows FROM ({TABLE_COUNTS})", *VAULT_CTES),
+)
+def cat_schemas(spark, d):
+    """A filled schema as the registry lists it, with its tables and their rows."""
+    schema = _filled(spark, d)
+    listed = cat.list_schemas(spark).filter(F.col("namespace") == schema)
+    listed = listed.groupBy(F.lit("all").alias("of")).agg(F.count("*").cast("int").alias("n_schemas"))
+    counts = _counts(spark, schema, [s.name for s in (*BRONZE_TABLES, *VAULT_TABLES)])
+    counts = counts.groupBy(F.lit("all").alias("of")).agg(F.count("*").alias("n_tables"), F.sum("n_rows").alias("n_rows"))
+    return listed.join(counts, "of").drop("of")
+
+
+def _named_view(spark, d, grain) -> DataFrame:
+    schema = _filled(spark, d)
+    create_views(spark, schema)
+    view = spark.table(f"{schema}.{view_name(grain)}")
+    return view.withColumn(grain.range_name, F.round(grain.range_name, 6))
+
+
+@query("cat_view_daily", ORACLES["view_daily"])
+def cat_view_daily(spark, d):
+    """The daily view by its name in the schema."""
+    return _named_view(spark, d, DAY)
+
+
+@query("cat_view_minute", ORACLES["view_minute"])
+def cat_view_minute(spark, d):
+    """The minute view by its name in the schema."""
+    return _named_view(spark, d, MINUTE)
+
+
 @query(
     "cat_describe",
     sql(

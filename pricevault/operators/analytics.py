@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricevault.operators.series import with_neighbour
-from pricevault.operators.skew import HOT_ROWS, spread_join
+from pricevault.operators.series import calendar_piece, with_neighbour
+from pricevault.operators.skew import spread_join
 
 
 # Filters
@@ -89,9 +89,9 @@ def average_volume(df: DataFrame) -> DataFrame:
 # Series
 
 
-def with_previous_close(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_previous_close(df: DataFrame) -> DataFrame:
     bars = df.select("Symbol", "Date", "Close")
-    return with_neighbour(bars, "Close", "prev_close", ["Symbol"], "Date", hot_rows=hot_rows)
+    return with_neighbour(bars, "Close", "prev_close", ["Symbol"], "Date")
 
 
 def daily_returns(df: DataFrame) -> DataFrame:
@@ -120,17 +120,17 @@ def price_change(df: DataFrame) -> DataFrame:
 # Bars against their symbol's statistics
 
 
-def with_volume_stats(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_volume_stats(df: DataFrame) -> DataFrame:
     """Add mean and sample deviation of the symbol's volume.
 
-    The statistics are one row per symbol after map-side aggregation; joining them back
-    spreads a symbol with very many bars, where a window would gather it in one task.
+    The statistics are one row per symbol after map-side aggregation; they are joined to the
+    symbol's months and those to its bars, where a window would gather a symbol in one task.
     """
     stats = df.groupBy("Symbol").agg(
         F.avg("Volume").alias("avg_vol"), F.stddev_samp("Volume").alias("std_vol")
     )
     bars = df.select("Symbol", "Date", "Volume")
-    return spread_join(bars, stats, "Symbol", ["Date"], hot_rows=hot_rows)
+    return spread_join(bars, stats, "Symbol", calendar_piece("Date", bars.schema["Date"].dataType))
 
 
 def volume_zscore(df: DataFrame) -> DataFrame:

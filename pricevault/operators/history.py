@@ -10,12 +10,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricevault.operators.series import PIECE, cut_series, neighbour, with_neighbour
-from pricevault.operators.skew import HOT_ROWS
-
 START, END, LOADED = "Effective_DTS", "End_DTS", "Load_DTS"
 
 
@@ -44,24 +41,24 @@ def scd2_history(
     keys: Sequence[str],
     hash_col: str = "Hash_Diff",
     at: str = LOADED,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Versions with validity intervals from a feed of all batches, in any order.
 
     A row that repeats the hash before it is dropped; ``End_DTS`` is the start of the next
-    remaining row. Both steps run on one shuffle by key.
+    remaining row. Both steps run on one shuffle by key. A key of a history is one bar or one
+    company, so its rows are its versions and plain windows hold few rows per key.
     """
-    order = [at, hash_col]
-    cut = cut_series(feed, keys, at, hot_rows).withColumn("_self", F.struct(hash_col))
-    seen = neighbour(cut, "_self", "_before", keys, order)
-    repeated = F.col("_before").isNotNull() & F.col("_before").eqNullSafe(F.col("_self"))
-    changed = seen.filter(~repeated).drop("_self", "_before").withColumn(START, F.col(at))
-    return neighbour(changed, START, END, keys, order, ahead=True).drop(PIECE)
+    along = Window.partitionBy(*keys).orderBy(at, hash_col)
+    seen = feed.withColumn("_before", F.lag(F.struct(hash_col)).over(along))
+    repeated = F.col("_before").isNotNull() & F.col("_before").eqNullSafe(F.struct(hash_col))
+    changed = seen.filter(~repeated).drop("_before").withColumn(START, F.col(at))
+    return changed.withColumn(END, F.lead(START).over(along))
 
 
-def intervals(log: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def intervals(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Version log -> history: derive ``End_DTS`` from the next version's start."""
-    return with_neighbour(log.drop(END), START, END, keys, START, ahead=True, hot_rows=hot_rows)
+    along = Window.partitionBy(*keys).orderBy(START)
+    return log.drop(END).withColumn(END, F.lead(START).over(along))
 
 
 def scd2_changes(

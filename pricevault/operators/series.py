@@ -1,11 +1,10 @@
 """Neighbour values along ordered series, safe for keys of any size.
 
-A plain ``lag``/``lead`` sends all rows of one key to one task. Here the keys that
-hold very many rows are found first, their series is cut into calendar pieces, the
-window runs per piece, and the value that crosses from one piece to the next is
-filled in from a small table of piece edges. Keys that are not large are handled by
-the plain window. The result is the same whatever keys are found, and when none is
-found adaptive execution drops the edge branch before it runs.
+A plain ``lag``/``lead`` sends all rows of one key to one task. Here every key's series is cut
+into calendar pieces, the window runs per piece, and the value that crosses from one piece to
+the next comes from a table of piece edges: one row per key and piece, found by map-side
+aggregation. The plan is the same for all sizes, and the edges meet the rows on the
+partitioning that the window has already made.
 """
 
 from __future__ import annotations
@@ -16,10 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricevault.operators.skew import HOT_ROWS, hot_keys, mark_hot
-
-PIECE = "_piece"
-
 
 def calendar_piece(name: str, dtype: T.DataType) -> Column:
     """Month of a date, day of a timestamp: an ordered cut of the calendar.
@@ -31,68 +26,35 @@ def calendar_piece(name: str, dtype: T.DataType) -> Column:
     return F.coalesce(piece, F.lit("0001-01-01").cast("date"))
 
 
-def cut_series(
-    df: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Add ``_piece``: the calendar piece of a hot key's row, NULL for all other keys."""
-    marked = mark_hot(df, keys, hot_keys(df, keys, hot_rows))
-    piece = calendar_piece(order, df.schema[order].dataType)
-    return marked.withColumn(PIECE, F.when(F.col("_hot"), piece)).drop("_hot")
-
-
-def neighbour(
-    cut: DataFrame,
+def with_neighbour(
+    df: DataFrame,
     value: str,
     out: str,
     keys: Sequence[str],
-    order: Sequence[str],
+    order: str,
+    ties: Sequence[str] = (),
     ahead: bool = False,
 ) -> DataFrame:
-    """Add ``out``: ``value`` of the previous row of the key (the next one if ``ahead``).
+    """Add ``out``: ``value`` of the key's previous row (the next one if ``ahead``).
 
-    ``cut`` comes from :func:`cut_series`. Calls in a row share one shuffle: each
-    leaves the rows partitioned by key and piece. The edge table holds at most the cut
-    keys (``MAX_HOT``) times the months, for dates, or days of the data.
+    ``order`` is a date or timestamp, then ``ties``. Rows whose keys are NULL are a series
+    as well. Keys and piece are one struct, which a join compares NULL for NULL.
     """
     shift, edge = (F.lead, F.min_by) if ahead else (F.lag, F.max_by)
-    window = Window.partitionBy(*keys, PIECE).orderBy(*order)
+    place = F.struct(*keys, calendar_piece(order, df.schema[order].dataType).alias("_piece"))
+    cut = df.withColumn("_place", place)
+    window = Window.partitionBy("_place").orderBy(order, *ties)
 
-    # One row per piece of a hot key, shifted along the key's pieces.
-    along = Window.partitionBy(*keys).orderBy(PIECE)
+    along = Window.partitionBy(*[F.col(f"_at.{k}") for k in keys]).orderBy("_at._piece")
     edges = (
-        cut.filter(F.col(PIECE).isNotNull())
-        .groupBy(*keys, PIECE)
-        .agg(edge(F.struct(value), F.struct(*order)).alias("_edge"))
+        cut.groupBy(F.col("_place").alias("_at"))
+        .agg(edge(F.struct(value), F.struct(order, *ties)).alias("_edge"))
         .withColumn("_edge", shift("_edge").over(along))
-        .select(*[F.col(k).alias(f"_edge_{k}") for k in keys], F.col(PIECE).alias("_edge_at"), "_edge")
+        .filter(F.col("_edge").isNotNull())
     )
-    same = F.col(PIECE) == F.col("_edge_at")
-    for k in keys:
-        same &= F.col(k).eqNullSafe(F.col(f"_edge_{k}"))
-
     # ``shift`` of a constant is NULL exactly on the row that has no neighbour in its piece.
     inside = shift(F.lit(True)).over(window)
-    return (
-        cut.withColumn(out, shift(value).over(window))
-        .withColumn("_inside", inside)
-        .join(F.broadcast(edges), same, "left")
-        .withColumn(
-            out, F.when(F.col("_inside").isNull(), F.col(f"_edge.{value}")).otherwise(F.col(out))
-        )
-        .drop("_inside", "_edge", "_edge_at", *[f"_edge_{k}" for k in keys])
-    )
-
-
-def with_neighbour(
-    df: DataFrame,
-    value: str,
-    out: str,
-    keys: Sequence[str],
-    order: str,
-    ties: Sequence[str] = (),
-    ahead: bool = False,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """``neighbour`` on an uncut frame; ``order`` is a date or timestamp, then ``ties``."""
-    cut = cut_series(df, keys, order, hot_rows)
-    return neighbour(cut, value, out, keys, [order, *ties], ahead).drop(PIECE)
+    near = cut.withColumn(out, shift(value).over(window)).withColumn("_inside", inside)
+    crossed = F.when(F.col("_inside").isNull(), F.col(f"_edge.{value}")).otherwise(F.col(out))
+    joined = near.join(edges, F.col("_place") == F.col("_at"), "left")
+    return joined.withColumn(out, crossed).drop("_place", "_inside", "_edge", "_at")

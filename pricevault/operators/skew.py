@@ -1,74 +1,44 @@
 """Joins in which one key may hold a large share of the rows.
 
 Spark's adaptive skew join splits a large partition only when both join sides come
-straight from a shuffle. A side that was aggregated, windowed, bucketed or joined on
-the same key does not, so the heavy keys are spread here by an explicit salt.
+straight from a shuffle. Here every key is cut into pieces, whatever its size, so there is
+one plan for all data: no search for heavy keys, no threshold, no cap.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Most keys that are treated as heavy.
-MAX_HOT = 128
-#: A key with fewer rows than this is left alone.
-HOT_ROWS = 5_000_000
-#: Counters of the frequent-items sketch; any key above 1/SKETCH_ITEMS of all rows is seen.
-SKETCH_ITEMS = 8192
-#: Parts a heavy key is spread over.
-PARTS = 1024
-
-SALT = "_salt"
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Hashes of the keys with at least ``hot_rows`` rows: at most ``MAX_HOT`` rows.
-
-    One pass over the key columns with a mergeable sketch, so no key is shuffled.
-    """
-    top = F.expr(f"approx_top_k(_key, {MAX_HOT}, {SKETCH_ITEMS})")
-    hashed = df.select(F.xxhash64(*keys).alias("_key"))
-    items = hashed.agg(top.alias("_top")).select(F.explode("_top").alias("_item"))
-    return items.filter(F.col("_item.count") >= hot_rows).select(F.col("_item.item").alias("_key"))
-
-
-def mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Add ``_hot``: true for rows of the keys in ``hot``, NULL for all others."""
-    known = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    return df.withColumn("_key", F.xxhash64(*keys)).join(known, "_key", "left").drop("_key")
+PIECE = "_piece"
 
 
 def spread_join(
     facts: DataFrame,
     dim: DataFrame,
     key: str,
-    spread_by: Sequence[str],
+    piece: Column,
     how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-    parts: int = PARTS,
-    hot_from: DataFrame | None = None,
+    pieces_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Join many rows to few on ``key`` (NULL equals NULL), heavy keys spread over tasks.
+    """Join many rows to few on ``key`` (NULL equals NULL), each key's rows cut into pieces.
 
-    Rows of a heavy key are numbered by the hash of their ``spread_by`` columns, which is
-    the same when a task is run again, and the key's few ``dim`` rows are repeated once per
-    number: at most ``MAX_HOT * parts`` copies. Other keys are joined as they are. Without a
-    heavy key, adaptive execution drops the marking, and it broadcasts a ``dim`` whose
-    measured size allows it. Heavy keys are looked for in ``hot_from``, a plain scan with the
-    keys of ``facts``, so that facts which are themselves a join are not computed twice.
+    ``piece`` is computed from the rows of ``facts`` and must be the same when a task is run
+    again. The (key, piece) pairs that occur, found by map-side aggregation, meet ``dim``
+    on the key; the rows then meet these few on key and piece. A key's rows so lie in as many
+    tasks as it has pieces. ``how`` is ``inner`` or ``left_anti``. The pairs come from
+    ``pieces_from``, a plain scan with the same keys and pieces, where ``facts`` is itself a join.
     """
-    hot = hot_keys(facts if hot_from is None else hot_from, [key], hot_rows)
-    number = F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int")
-    left = mark_hot(facts, [key], hot)
-    left = left.withColumn(SALT, F.when(F.col("_hot"), number).otherwise(0)).drop("_hot")
-
-    numbers = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1)))
-    right = mark_hot(dim, [key], hot).withColumn(
-        "_dim_salt", F.explode(F.coalesce(numbers, F.array(F.lit(0))))
-    )
-    right = right.drop("_hot").withColumnRenamed(key, "_dim_key")
-    same = F.col(key).eqNullSafe(F.col("_dim_key")) & (F.col(SALT) == F.col("_dim_salt"))
-    return left.join(right, same, how).drop(SALT, "_dim_salt", "_dim_key")
+    if how not in ("inner", "left_anti"):
+        raise ValueError("how must be 'inner' or 'left_anti'")
+    source = facts if pieces_from is None else pieces_from
+    pairs = source.select(F.col(key).alias("_key"), piece.alias("_at")).distinct()
+    few = dim.withColumnRenamed(key, "_dim_key")
+    met = pairs.join(few, F.col("_key").eqNullSafe(F.col("_dim_key")), "left_semi" if how == "left_anti" else how)
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(PIECE).eqNullSafe(F.col("_at"))
+    return facts.withColumn(PIECE, piece).join(met, same, how).drop(PIECE, "_key", "_at", "_dim_key")
+
+
+def hash_piece(*names: str, pieces: int = 256) -> Column:
+    """One of ``pieces`` numbers by the hash of the columns."""
+    return F.pmod(F.xxhash64(*names), F.lit(pieces))

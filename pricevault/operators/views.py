@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricevault.catalog import create_view
 from pricevault.functions import movement, price_range
 from pricevault.operators.analytics import key_not_like, on_day
 from pricevault.operators.history import current
@@ -27,10 +28,9 @@ def _prices(vault: Vault, grain: Grain, current_only: bool) -> DataFrame:
     return latest(prices, [grain.sat.parent_key], ["Load_DTS", "Hash_Diff"])
 
 
-def _times(vault: Vault, grain: Grain) -> DataFrame:
-    """The time hub: bounded by the calendar for dates, so only that one is broadcast."""
-    times = vault[grain.hub.table.name].select(grain.hub.hash_key, grain.time)
-    return F.broadcast(times) if grain is DAY else times
+def _piece(link_key: str) -> Column:
+    """One of 256 pieces of an instrument's bars: the first two digits of the link key's hash."""
+    return F.substring(F.col(link_key), 1, 2)
 
 
 def instrument_view(vault: Vault, grain: Grain, current_only: bool = True) -> DataFrame:
@@ -53,9 +53,10 @@ def instrument_view(vault: Vault, grain: Grain, current_only: bool = True) -> Da
     links = vault[grain.link.table.name].select(key, "Instrument_HK", time_key)
     prices = _prices(vault, grain, current_only)
     prices = prices.select(key, "Open", "High", "Low", "Close", "Volume")
-    bars = links.join(prices, key).join(_times(vault, grain), time_key)
+    times = vault[grain.hub.table.name].select(time_key, grain.time)
+    bars = links.join(prices, key).join(times, time_key)
     return (
-        spread_join(bars, named, "Instrument_HK", [key], hot_from=links)
+        spread_join(bars, named, "Instrument_HK", _piece(key), pieces_from=links)
         .select(
             grain.time,
             "Symbol",
@@ -71,6 +72,35 @@ def instrument_view(vault: Vault, grain: Grain, current_only: bool = True) -> Da
     )
 
 
+def view_name(grain: Grain) -> str:
+    return "instrument_daily_view" if grain is DAY else "instrument_minute_view"
+
+
+def view_sql(grain: Grain, schema: str) -> str:
+    """The current view over a schema's tables, for a catalog: bars with symbol and company name."""
+    link, sat, hub = (f"{schema}.{x.table.name}" for x in (grain.link, grain.sat, grain.hub))
+    key, time_key = grain.link.link_key, grain.hub.hash_key
+    # The insert-only satellite has no open mark: its newest load is the current one.
+    prices = f"SELECT * FROM {sat} WHERE End_DTS IS NULL"
+    if not grain.sat.versioned:
+        ranked = f"SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY Load_DTS DESC, Hash_Diff DESC) AS rank FROM {sat}"
+        prices = f"SELECT * FROM ({ranked}) WHERE rank = 1"
+    return f"""
+        SELECT t.{grain.time}, i.Symbol, c.longName, p.Open, p.Close,
+               CASE WHEN p.Close > p.Open THEN 'up' ELSE 'down' END AS Movement,
+               p.High, p.Low, p.High - p.Low AS {grain.range_name}, p.Volume
+        FROM {link} l JOIN ({prices}) p ON p.{key} = l.{key}
+        JOIN {hub} t ON t.{time_key} = l.{time_key}
+        JOIN {schema}.hub_instrument i ON i.Instrument_HK = l.Instrument_HK
+        JOIN {schema}.sat_company_info c ON c.Instrument_HK = i.Instrument_HK AND c.End_DTS IS NULL"""
+
+
+def create_views(spark: SparkSession, schema: str) -> None:
+    """Create or replace both views in a schema that holds the vault's tables."""
+    for grain in (DAY, MINUTE):
+        create_view(spark, f"{schema}.{view_name(grain)}", view_sql(grain, schema))
+
+
 def instrument_daily_view(vault: Vault, current_only: bool = True) -> DataFrame:
     return instrument_view(vault, DAY, current_only)
 
@@ -94,18 +124,21 @@ def intraday_volatility(vault: Vault, day: str) -> DataFrame:
     )
     instruments = vault["hub_instrument"].select("Instrument_HK", "Symbol")
     bars = links.join(times, "Time_HK").join(prices, "Instrument_Minute_LK")
-    key = ["Instrument_Minute_LK"]
-    named = spread_join(bars, instruments, "Instrument_HK", key, hot_from=links)
+    named = spread_join(bars, instruments, "Instrument_HK", _piece("Instrument_Minute_LK"))
     return named.select(
         "DateTime", "Symbol", "Open", "Close", price_range().alias("Intraday_Range")
     )
 
 
-def company_minute_links(vault: Vault, without: str) -> DataFrame:
-    """Company versions with the minute links of their instrument, minus a key pattern."""
+def company_minute_links(vault: Vault, without: str, current_only: bool = True) -> DataFrame:
+    """Companies with the minute links of their instrument, minus a key pattern.
+
+    ``current_only=False`` repeats each link for every version of the company.
+    """
     links = vault["link_instrument_minute"].select(
         "Instrument_HK", "Instrument_Minute_LK", "Time_HK"
     )
     links = key_not_like(links, "Instrument_HK", without)
-    company = key_not_like(vault["sat_company_info"], "Instrument_HK", without)
-    return spread_join(links, company, "Instrument_HK", ["Instrument_Minute_LK"])
+    company = vault["sat_company_info"]
+    company = key_not_like(current(company) if current_only else company, "Instrument_HK", without)
+    return spread_join(links, company, "Instrument_HK", _piece("Instrument_Minute_LK"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark import inheritable_thread_target
@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pricevault.catalog import create_schema, register_external
 from pricevault.operators.history import intervals
 from pricevault.operators.keyed import unique_keys
+from pricevault.operators.quality import BROKEN, assert_not_null, not_null_rules, split_by_rules
 from pricevault.operators.wrangle import ensure_symbol, to_bronze, to_bronze_company
 from pricevault.plans.staging import stage_bars, stage_company
 from pricevault.plans.vault import (
@@ -40,7 +41,7 @@ from pricevault.schemas import (
     SatSpec,
     TableSpec,
 )
-from pricevault.sources.tablelog import BATCH, append_log, read_as_of, read_log
+from pricevault.sources.tablelog import BATCH, LOAD, append_log, read_as_of, read_log
 
 #: Partition column of the bar-sized vault tables: the calendar period of the bar. A batch
 #: is merged against the periods it touches, not against the whole table.
@@ -70,7 +71,7 @@ def run_bronze_company(facts: DataFrame, batch: Batch) -> None:
 
 
 def run_bronze_daily(bars: DataFrame, batch: Batch) -> None:
-    """Raw daily bars -> bronze bars, upserted by symbol and date."""
+    """Raw daily bars -> bronze bars, upserted by symbol and date; rows that break a rule go to rejects."""
     _run_bronze_bars(bars, DAY, batch)
 
 
@@ -81,8 +82,17 @@ def run_bronze_minute(bars: DataFrame, batch: Batch) -> None:
 
 def _run_bronze_bars(bars: DataFrame, grain: Grain, batch: Batch) -> None:
     table = grain.bronze
-    rows = unique_keys(to_bronze(bars, grain, batch.symbol), table.keys, [F.col("Close")])
+    good, bad = split_by_rules(to_bronze(bars, grain, batch.symbol), table.checks or not_null_rules(table))
+    rows = unique_keys(good, table.keys, [F.col("Close")])
     append_log(rows, table.location(batch.base), batch.batch_id)
+    append_log(bad, f"{table.location(batch.base)}_rejects", batch.batch_id)
+
+
+def read_rejects(spark: SparkSession, base: str, spec: TableSpec, batch_id: int) -> DataFrame:
+    """The rows that a bronze load turned away, with the names of the rules they break."""
+    schema = T.StructType([*spec.schema.fields, T.StructField(BROKEN, T.StringType())])
+    log = read_log(spark, f"{spec.location(base)}_rejects", schema)
+    return log.filter(F.col(BATCH) == batch_id).drop(BATCH)
 
 
 def read_bronze(
@@ -120,7 +130,7 @@ def run_vault_company(source: DataFrame, batch: Batch, spec: SatSpec = SAT_COMPA
     log = _earlier(spark, spec.table, batch, version_columns(spec))
     _write_all(
         spark,
-        lambda: _write_hub(spark, batch, staged, HUB_INSTRUMENT),
+        lambda: _write_hub(spark, batch, staged, HUB_INSTRUMENT, spec.table.name),
         lambda: _write(batch, spec.table, load_sat_versions(log, staged, spec)),
     )
     _register(spark, batch, [HUB_INSTRUMENT.table])
@@ -149,8 +159,8 @@ def _run_vault_bars(source: DataFrame, grain: Grain, batch: Batch) -> None:
 
     _write_all(
         spark,
-        lambda: _write_hub(spark, batch, staged, HUB_INSTRUMENT),
-        lambda: _write_hub(spark, batch, staged, grain.hub),
+        lambda: _write_hub(spark, batch, staged, HUB_INSTRUMENT, grain.bronze.name),
+        lambda: _write_hub(spark, batch, staged, grain.hub, grain.bronze.name),
         write_link,
         write_sat,
     )
@@ -171,11 +181,22 @@ def _write_all(spark: SparkSession, *writes: Callable[[], None]) -> None:
 
 
 def _write(batch: Batch, spec: TableSpec, rows: DataFrame, partition_by=()) -> None:
-    append_log(rows, spec.location(batch.base), batch.batch_id, partition_by)
+    append_log(_required(rows, spec), spec.location(batch.base), batch.batch_id, partition_by)
+
+
+def _write_hub(spark: SparkSession, batch: Batch, staged: DataFrame, hub: HubSpec, load: str) -> None:
+    """Add a load's business keys; a batch's other loads write to the same hub and are left alone."""
+    path = hub.table.location(batch.base)
+    schema = T.StructType([*hub.table.schema.fields, T.StructField(LOAD, T.StringType())])
+    log = read_log(spark, path, schema, batch.batch_id, may_be_new=True)
+    known = log.filter((F.col(BATCH) < batch.batch_id) | (F.col(LOAD) != load))
+    append_log(_required(load_hub(known, staged, hub), hub.table), path, batch.batch_id, load=load)
 
 
-def _write_hub(spark: SparkSession, batch: Batch, staged: DataFrame, hub: HubSpec) -> None:
-    _write(batch, hub.table, load_hub(_earlier(spark, hub.table, batch), staged, hub))
+def _required(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """The rows; the load stops at a NULL in a required column that the rows carry."""
+    stored = replace(spec, schema=T.StructType([f for f in spec.schema if f.name in rows.columns]))
+    return assert_not_null(rows, stored)
 
 
 def period(grain: Grain) -> Column:

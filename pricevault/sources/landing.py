@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from pricevault.operators.keyed import absent_from
-from pricevault.operators.skew import spread_join
+from pricevault.operators.skew import hash_piece, spread_join
 from pricevault.sources.tablelog import BATCH, append_log, read_log
 
 SYMBOL = T.StructType([T.StructField("Symbol", T.StringType())])
@@ -29,7 +29,7 @@ def land_once(df: DataFrame, base: str, batch_id: int, fmt: str = "csv") -> None
     Rows are written before the symbol log, and running the batch again replaces both.
     """
     landed = landed_symbols(df.sparkSession, base, upto=batch_id - 1, may_be_new=True)
-    fresh = spread_join(df, landed, "Symbol", df.columns, how="left_anti")
+    fresh = spread_join(df, landed, "Symbol", hash_piece(*df.columns), how="left_anti")
     append_log(fresh, f"{base}/data", batch_id, fmt=fmt)
     symbols = absent_from(landed, df.select("Symbol").distinct(), ["Symbol"])
     append_log(symbols, f"{base}/symbols", batch_id)

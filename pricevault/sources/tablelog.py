@@ -17,6 +17,8 @@ from pricevault.operators.keyed import latest
 from pricevault.sources.readers import read_or_empty
 
 BATCH = "_batch_id"
+#: Second partition of a log that several loads of one batch write to.
+LOAD = "_load"
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -50,11 +52,13 @@ def append_log(
     batch_id: int,
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
+    load: str | None = None,
 ) -> None:
     """Write ``df`` as batch ``batch_id`` of the log, replacing all of that batch and no other.
 
     The batch's own folder is overwritten as a whole, so rows and partitions that an
-    earlier run of the batch wrote and this one does not are gone; no rows empty it.
+    earlier run of the batch wrote and this one does not are gone; no rows empty it. Where
+    several loads of one batch write to a log, each has a folder of its own, named by ``load``.
     """
     writer = (
         by_partition(df, partition_by)
@@ -63,7 +67,9 @@ def append_log(
         .partitionBy(*partition_by)
         .format(fmt)
     )
-    (writer.option("header", True) if fmt == "csv" else writer).save(f"{path.rstrip('/')}/{BATCH}={int(batch_id)}")
+    (writer.option("header", True) if fmt == "csv" else writer).save(
+        f"{path.rstrip('/')}/{BATCH}={int(batch_id)}" + (f"/{LOAD}={load}" if load else "")
+    )
 
 
 def read_log(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_module
+from checks import QUERIES
 from checks import frames as fr
 from pricevault import catalog as cat
 from pricevault import shared_dir
@@ -35,9 +35,9 @@ def bars(spark, sf_dir):
     return fr.hist(spark, sf_dir)
 
 
-@pytest.mark.parametrize("name", [n for n in entry_module.queries() if not n.startswith(("job_", "cat_", "snk_"))])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("job_", "cat_", "snk_"))])
 def test_no_cartesian_product_and_no_python(spark, sf_dir, name):
-    text = plan(entry_module.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in text
 
@@ -64,15 +64,17 @@ def test_latest_is_limited_before_the_shuffle(bars):
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
-def test_without_heavy_keys_nothing_extra_runs(bars):
-    text = final_plan(an.with_previous_close(bars))
-    assert text.count("Exchange hashpartitioning") == 1
-    assert "Join" not in text and "approx_top_k" not in text
+def test_series_are_one_plan_of_two_scans(bars):
+    text = plan(an.with_previous_close(bars))
+    assert text.count("FileScan") == 2 and "approx_top_k" not in text and "BroadcastExchange" not in text
+    # Rows are shuffled once, by key and piece; edges are aggregated before each shuffle of theirs.
+    assert text.count("Exchange hashpartitioning(_place") == 1
+    assert text.count("partial_max_by") == 1
 
 
-def test_small_statistics_leave_the_bars_unshuffled(bars):
-    text = final_plan(an.volume_zscore(bars))
-    assert text.count("Exchange hashpartitioning") == 1  # the aggregate's own
+def test_statistics_never_gather_a_symbol(bars):
+    text = plan(an.volume_zscore(bars))
+    assert "Window" not in text and "approx_top_k" not in text
 
 
 def test_small_upsert_source_leaves_the_target_in_place(spark, bars):

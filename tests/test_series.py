@@ -1,4 +1,4 @@
-"""Neighbour values with cut series must equal plain windows, whatever keys are cut."""
+"""Neighbour values of cut series must equal plain windows."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pricevault.operators.analytics import with_volume_stats
 from pricevault.operators.history import intervals, scd2_history
 from pricevault.operators.series import with_neighbour
-from pricevault.operators.skew import hot_keys, spread_join
+from pricevault.operators.skew import hash_piece, spread_join
 
 
 @pytest.fixture(scope="module")
@@ -28,23 +28,16 @@ def bars(spark):
     return spark.createDataFrame(rows, "Symbol string, Date date, n int, Close double").cache()
 
 
-@pytest.mark.parametrize("hot_rows", [1, 100, 10**9])
 @pytest.mark.parametrize("ahead", [False, True])
-def test_equals_plain_window(bars, hot_rows, ahead):
+def test_equals_plain_window(bars, ahead):
     window = Window.partitionBy("Symbol").orderBy("Date", "n")
     plain = bars.withColumn("p", (F.lead if ahead else F.lag)("Close").over(window))
-    cut = with_neighbour(bars, "Close", "p", ["Symbol"], "Date", ["n"], ahead, hot_rows)
+    cut = with_neighbour(bars, "Close", "p", ["Symbol"], "Date", ["n"], ahead)
     assert cut.columns == plain.columns
     assert cut.exceptAll(plain).count() == 0
     assert plain.exceptAll(cut).count() == 0
 
 
-def test_hot_keys_are_found(bars):
-    found = {r[0] for r in hot_keys(bars, ["Symbol"], 500).collect()}
-    hot = bars.filter("Symbol = 'HOT'").select(F.xxhash64("Symbol")).first()[0]
-    assert found == {hot}
-
-
 @pytest.fixture(scope="module")
 def feed(spark):
     rng = random.Random(11)
@@ -57,8 +50,7 @@ def feed(spark):
     return spark.createDataFrame(rows, "k string, Load_DTS timestamp_ntz, Hash_Diff string").cache()
 
 
-@pytest.mark.parametrize("hot_rows", [1, 300, 10**9])
-def test_history_equals_brute_force(feed, hot_rows):
+def test_history_equals_brute_force(feed):
     expected, last = [], {}
     for k, t, h in sorted(tuple(r) for r in feed.collect()):
         if k in last and expected[last[k]][2] == h:
@@ -67,23 +59,22 @@ def test_history_equals_brute_force(feed, hot_rows):
             expected[last[k]][3] = t
         last[k] = len(expected)
         expected.append([k, t, h, None])
-    got = scd2_history(feed, ["k"], hot_rows=hot_rows)
+    got = scd2_history(feed, ["k"])
     rows = [[r.k, r.Effective_DTS, r.Hash_Diff, r.End_DTS] for r in got.collect()]
     assert sorted(rows, key=str) == sorted(expected, key=str)
     log = got.drop("End_DTS")
-    again = intervals(log, ["k"], hot_rows=hot_rows)
+    again = intervals(log, ["k"])
     assert again.select(got.columns).exceptAll(got).count() == 0
 
 
-@pytest.mark.parametrize("hot_rows", [1, 500, 10**9])
 @pytest.mark.parametrize("how", ["inner", "left_anti"])
-def test_spread_join_equals_plain_join(spark, bars, hot_rows, how):
+def test_spread_join_equals_plain_join(spark, bars, how):
     dim = spark.createDataFrame(
         [("HOT", 1), ("HOT", 2), ("A", 3), (None, 4), ("unused", 5)], "Symbol string, v int"
     )
     renamed = dim.withColumnRenamed("Symbol", "s")
     plain = bars.join(renamed, F.col("Symbol").eqNullSafe(F.col("s")), how).drop("s")
-    spread = spread_join(bars, dim, "Symbol", ["n"], how, hot_rows, parts=7)
+    spread = spread_join(bars, dim, "Symbol", hash_piece("n", pieces=7), how)
     assert spread.columns == plain.columns
     assert spread.exceptAll(plain).count() == 0
     assert plain.exceptAll(spread).count() == 0
@@ -93,6 +84,6 @@ def test_volume_stats_equal_a_window(bars):
     frame = bars.withColumn("Volume", F.col("n").cast("long"))
     window = Window.partitionBy("Symbol")
     plain = frame.select("Symbol", "Date", "Volume", F.avg("Volume").over(window).alias("avg_vol"))
-    spread = with_volume_stats(frame, hot_rows=100).drop("std_vol")
+    spread = with_volume_stats(frame).drop("std_vol")
     assert spread.exceptAll(plain).count() == 0
     assert spread.count() == plain.count()

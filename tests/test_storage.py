@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import os
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from pricevault.plans.jobs import (
     run_bronze_daily,
     run_vault_company,
     run_vault_daily,
+    run_vault_minute,
 )
 from pricevault.operators.views import instrument_daily_view
 from pricevault.schemas import BRONZE_TABLES, COMPANY, DAY, HISTORICALS, MINUTE, VAULT_TABLES
@@ -167,3 +168,58 @@ def test_a_dead_batch_leaves_no_rows(spark):
     with pytest.raises(Exception, match="stop"):
         append_log(bad, base, 2)
     assert read_log(spark, base, good.schema).count() == 10
+
+
+def test_a_batch_run_again_leaves_nothing_of_its_first_run(spark):
+    base = shared_dir(spark, "again")
+    two = spark.createDataFrame([("a", 1), ("b", 2)], "k string, _period int")
+    append_log(two, base, 1, ["_period"])
+    append_log(two, base, 2, ["_period"])
+    append_log(two.filter("_period = 2"), base, 1, ["_period"])
+    rows = sorted(map(tuple, read_log(spark, base, two.schema).select("k", "_batch_id").collect()))
+    assert rows == [("a", 2), ("b", 1), ("b", 2)]
+    append_log(two.limit(0), base, 1, ["_period"])
+    assert read_log(spark, base, two.schema, upto=1).count() == 0
+
+
+def test_missing_tables_are_refused(spark):
+    base = shared_dir(spark, "nothing-here")
+    for read in (
+        lambda: open_vault(spark, base),
+        lambda: read_bronze(spark, base, HISTORICALS),
+        lambda: read_landed(spark, base, HISTORICALS.schema),
+    ):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            read()
+
+
+MINUTE_BARS = "Symbol string, DateTime timestamp_ntz, Open double, High double, Low double, Close double, Volume bigint, Dividends double, Stock_Splits double"
+
+
+def minute_bars(spark, *closes, symbol="P1"):
+    rows = [(symbol, datetime(2024, 1, 2, 9, 30), 1.0, 2.0, 0.5, float(c), 5, 0.0, 0.0) for c in closes]
+    return spark.createDataFrame(rows, MINUTE_BARS)
+
+
+def test_versions_load_in_order_and_without_double_keys(spark):
+    base = shared_dir(spark, "order")
+    run_vault_minute(minute_bars(spark, 1.0, 1.0), Batch(base, 1, "2024-02-01 00:00:00"))
+    for batch, at in ((2, "2024-02-01 00:00:00"), (3, "2024-01-31 00:00:00")):
+        with pytest.raises(Exception, match="not later than the newest version"):
+            run_vault_minute(minute_bars(spark, 2.0), Batch(base, batch, at))
+    with pytest.raises(Exception, match="duplicate merge key"):
+        run_vault_minute(minute_bars(spark, 1.0).union(minute_bars(spark, 7.0, symbol="p1 ")), Batch(base, 4, "2024-03-01 00:00:00"))
+    run_vault_minute(minute_bars(spark, 2.0 + 1e-9), Batch(base, 5, "2024-03-01 00:00:00"))
+    run_vault_minute(minute_bars(spark, 2.0), Batch(base, 6, "2024-04-01 00:00:00"))
+    sat = open_vault(spark, base)["sat_instrument_minute_prices"].orderBy("Effective_DTS")
+    assert [(r.Close, r.End_DTS is None) for r in sat.collect()] == [(1.0, False), (2.0 + 1e-9, False), (2.0, True)]
+
+
+def test_loads_of_one_batch_share_a_hub(spark):
+    base = shared_dir(spark, "hub")
+    batch = Batch(base, 1, "2024-02-01 00:00:00")
+    for _ in range(2):
+        run_vault_minute(minute_bars(spark, 1.0, symbol="A").union(minute_bars(spark, 1.0, symbol="B")), batch)
+        facts = spark.createDataFrame([("B", "b", 1), ("C", "c", 2)], "symbol string, longName string, marketCap bigint")
+        run_vault_company(facts, batch)
+        assert sorted(r.Symbol for r in open_vault(spark, base)["hub_instrument"].collect()) == ["A", "B", "C"]

@@ -21,6 +21,7 @@ from pricevault.operators.views import (
 )
 from pricevault.plans.jobs import (
     Batch,
+    compact_bronze,
     open_vault,
     read_bronze,
     read_rejects,
@@ -512,6 +513,16 @@ COUNTED = (
 )
 
 
+@query("src_compacted", ORACLES["job_bronze_daily"])
+def src_compacted(spark, d):
+    """Batch 1 compacted, batch 2 on top of it."""
+    base, bars = shared_dir(spark, "bronze-compacted"), fr.hist(spark, d)
+    run_bronze_daily(fr.raw_daily(fr.early(bars)), Batch(base, 1, LOADS[1]))
+    compact_bronze(spark, base, HISTORICALS, 1)
+    run_bronze_daily(fr.raw_daily(fr.late(fr.restated(bars))), Batch(base, 2, LOADS[2]))
+    return read_bronze(spark, base, HISTORICALS)
+
+
 @query("job_bronze_rejects", ORACLES["dq_rejects"])
 def job_bronze_rejects(spark, d):
     """What a bronze load turned away, each row with the rules that it breaks."""

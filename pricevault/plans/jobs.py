@@ -84,7 +84,7 @@ def _run_bronze_bars(bars: DataFrame, grain: Grain, batch: Batch) -> None:
     table = grain.bronze
     good, bad = split_by_rules(to_bronze(bars, grain, batch.symbol), table.checks or not_null_rules(table))
     rows = unique_keys(good, table.keys, [F.col("Close")])
-    append_log(rows, table.location(batch.base), batch.batch_id)
+    append_log(rows.withColumn(PERIOD, period(grain)), table.location(batch.base), batch.batch_id, [PERIOD])
     append_log(bad, f"{table.location(batch.base)}_rejects", batch.batch_id)
 
 
@@ -96,18 +96,54 @@ def read_rejects(spark: SparkSession, base: str, spec: TableSpec, batch_id: int)
 
 
 def read_bronze(
-    spark: SparkSession, base: str, spec: TableSpec, upto: int | None = None
+    spark: SparkSession,
+    base: str,
+    spec: TableSpec,
+    upto: int | None = None,
+    days: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """A bronze table after batch ``upto`` (all batches by default): newest row per key."""
-    log = read_log(spark, spec.location(base), spec.schema)
-    last = F.lit(2**62) if upto is None else upto
-    return read_as_of(log, spec.keys, last)
+    """A bronze table after batch ``upto`` (all batches by default): newest row per key.
+
+    ``days`` (first and last, both included) opens only the calendar periods of bars that hold
+    them; a bar's rows all lie in its own period. Batches up to the newest compacted one are
+    read from that.
+    """
+    return _newest_rows(spark, base, spec, upto, days).select(*spec.columns)
+
+
+def compact_bronze(spark: SparkSession, base: str, spec: TableSpec, upto: int) -> None:
+    """Store the newest row of each key after batch ``upto``, so that reads rank later batches only.
+
+    The log stays, and a read of an earlier batch still uses it. Compact again after an
+    earlier batch was run again.
+    """
+    rows = _newest_rows(spark, base, spec, upto, None)
+    append_log(rows, f"{spec.location(base)}_compacted", upto, [PERIOD] if PERIOD in rows.columns else [])
+
+
+def _bronze_grain(spec: TableSpec) -> Grain | None:
+    return next((g for g in (DAY, MINUTE) if g.bronze == spec), None)
+
+
+def _newest_rows(
+    spark: SparkSession, base: str, spec: TableSpec, upto: int | None, days: tuple[str, str] | None
+) -> DataFrame:
+    grain = _bronze_grain(spec)
+    schema = T.StructType([*spec.schema.fields, *([PERIOD_FIELD] if grain else [])])
+    log = read_log(spark, spec.location(base), schema, upto)
+    packed = read_log(spark, f"{spec.location(base)}_compacted", schema, upto, may_be_new=True)
+    at = packed.agg(F.max(BATCH)).first()[0]  # a partition column
+    if at is not None:
+        log = packed.filter(F.col(BATCH) == at).unionByName(log.filter(F.col(BATCH) > at))
+    if days and grain:
+        log = log.filter(F.col(PERIOD).between(*(F.trunc(F.lit(d).cast("date"), grain.period) for d in days)))
+    return read_as_of(log, spec.keys, F.lit(2**62) if upto is None else upto)
 
 
 def read_batch(spark: SparkSession, base: str, spec: TableSpec, batch_id: int) -> DataFrame:
     """The rows one batch brought to a bronze table: the input of that batch's vault load."""
     log = read_log(spark, spec.location(base), spec.schema)
-    return log.filter(F.col(BATCH) == batch_id).drop(BATCH)
+    return log.filter(F.col(BATCH) == batch_id).select(*spec.columns)
 
 
 # Vault

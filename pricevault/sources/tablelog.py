@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,26 +96,15 @@ def read_as_of(log: DataFrame, keys: Sequence[str], batch_id: int) -> DataFrame:
 def history(log: DataFrame, keys: Sequence[str], loaded: str = "Load_DTS") -> DataFrame:
     """One row per batch: load time, rows, keys inserted and keys updated.
 
-    A key counts as inserted in its first batch and as updated in every later one. Keys are
-    pre-aggregated per batch before they are shuffled.
+    A key counts as inserted in its first batch and as updated in every later one. The log is
+    read once; keys are pre-aggregated per batch before they are shuffled.
     """
-    batches = (
-        log.groupBy(BATCH, *keys)
-        .agg(F.min(loaded).alias(loaded), F.count(F.lit(1)).alias("n_rows"))
-        .groupBy(BATCH)
-        .agg(
-            F.min(loaded).alias(loaded),
-            F.sum("n_rows").alias("n_rows"),
-            F.count(F.lit(1)).alias("n_keys"),
-        )
-    )
-    first = log.groupBy(*keys).agg(F.min(BATCH).alias(BATCH))
-    inserted = first.groupBy(BATCH).agg(F.count(F.lit(1)).alias("n_new"))
-    n_new = F.coalesce(F.col("n_new"), F.lit(0).cast("bigint"))
-    return batches.join(inserted, BATCH, "left").select(
-        F.col(BATCH).alias("batch_id"),
-        loaded,
-        "n_rows",
-        n_new.alias("n_inserted"),
-        (F.col("n_keys") - n_new).alias("n_updated"),
-    )
+    per_key = log.groupBy(*keys, BATCH).agg(F.min(loaded).alias(loaded), F.count(F.lit(1)).alias("n_rows"))
+    first = F.min(BATCH).over(Window.partitionBy(*keys)) == F.col(BATCH)
+    batches = per_key.withColumn("_new", first).groupBy(BATCH)
+    return batches.agg(
+        F.min(loaded).alias(loaded),
+        F.sum("n_rows").alias("n_rows"),
+        F.count_if("_new").alias("n_inserted"),
+        F.count_if(~F.col("_new")).alias("n_updated"),
+    ).withColumnRenamed(BATCH, "batch_id")

@@ -13,6 +13,7 @@ from pricevault import catalog as cat
 from pricevault import shared_dir
 from pricevault.plans.jobs import (
     Batch,
+    compact_bronze,
     open_vault,
     publish,
     read_batch,
@@ -223,3 +224,17 @@ def test_loads_of_one_batch_share_a_hub(spark):
         facts = spark.createDataFrame([("B", "b", 1), ("C", "c", 2)], "symbol string, longName string, marketCap bigint")
         run_vault_company(facts, batch)
         assert sorted(r.Symbol for r in open_vault(spark, base)["hub_instrument"].collect()) == ["A", "B", "C"]
+
+
+def test_bronze_reads_prune_periods_and_use_the_compacted_batch(spark, sf_dir):
+    base, bars = shared_dir(spark, "compact"), fr.hist(spark, sf_dir)
+    run_bronze_daily(fr.raw_daily(bars), Batch(base, 1, "2024-01-01 00:00:00"))
+    whole = read_bronze(spark, base, HISTORICALS)
+    compact_bronze(spark, base, HISTORICALS, 1)
+    again = read_bronze(spark, base, HISTORICALS)
+    assert again.exceptAll(whole).count() == 0 and again.count() == whole.count()
+    month = read_bronze(spark, base, HISTORICALS, days=("1996-03-04", "1996-03-05"))
+    text = month._jdf.queryExecution().executedPlan().toString()
+    assert "(_period" in text.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert 0 < month.count() < whole.count() / 3
+    assert read_bronze(spark, base, HISTORICALS, upto=0).count() == 0

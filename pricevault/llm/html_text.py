@@ -50,10 +50,11 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "chars", "linked", "tags", "linked_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "inside", "chars", "linked", "tags", "linked_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.parts = tag, parent, []
+        self.inside = tag in KEEPERS or (parent is not None and parent.inside)  # an article or main element
         self.chars = self.linked = self.tags = self.linked_tags = 0
 
 
@@ -128,14 +129,9 @@ def parse(page: str) -> Node:
                     node = node.parent
         child = Node(tag, node)
         if tag not in VOID and not attributes.endswith("/"):
-            inside = any(x.tag in KEEPERS for x in _upward(node))
-            child.tag = "" if _boilerplate(tag, attributes, inside) else tag
-            if not child.tag:  # parsed to find its end, then left out
-                child.tag = tag
-                node = child
-                continue
-            node.parts.append(child)
-            node = child
+            if not _boilerplate(tag, attributes, node.inside):
+                node.parts.append(child)
+            node = child  # boilerplate is parsed to find its end, but hangs on no node
         else:
             node.parts.append(child)
     return root
@@ -198,21 +194,17 @@ def _marked(root: Node) -> set[int]:
     best = _best(root)
     least = min(x.density for x in _upward(best))
     home = next((x for x in _upward(best) if x.tag in KEEPERS), best)
-    marked, todo = {id(home)}, [root]
+    marked, above, todo = {id(home)}, {id(x) for x in _upward(home)}, [root]
     while todo:
         node = todo.pop()
         if id(node) in marked:
             continue
-        if node is not root and node.chars and node.density >= least and not _holds(node, home):
+        if node.chars and node.density >= least and id(node) not in above:
             marked.add(id(_best(node)))
         todo += [c for c in node.parts if isinstance(c, Node)]
     return marked
 
 
-def _holds(node: Node, inner: Node) -> bool:
-    return any(x is node for x in _upward(inner))
-
-
 def _blocks(root: Node, marked: set[int]) -> list[str]:
     """Texts of the blocks below marked nodes, in page order."""
     blocks, line = [], []

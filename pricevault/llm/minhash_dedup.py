@@ -151,8 +151,9 @@ def near_duplicates(
     Classes are the connected components of pairs whose five-word shingles (with counts) have a
     weighted Jaccard similarity of at least ``similarity``. Exact copies are one node.
 
-    Texts that share a band form a bucket. Each is compared with the bucket's least document,
-    exactly, on the texts. Where a bucket still holds several components, pairs across components
+    Texts that share a band form a bucket. Each is compared with the bucket's leader, exactly, on
+    the texts. The leader is the document that shares its bands with the most others, so variants
+    of one text meet that text rather than each other. Where a bucket still holds several components, pairs across components
     are compared too, unless their distances to that document differ by more than
     1 - ``similarity``: the distance is a metric, so such pairs can't be alike. So no pair
     that shares a band is lost, and no group is compared all against all.
@@ -168,9 +169,13 @@ def near_duplicates(
     signs = signs.join(copies, "copy_key", "left").withColumn("first", F.coalesce("first", "doc_id"))
     nodes = stored(signs.select("doc_id", "first", F.when(F.col("doc_id") == F.col("first"), F.col("bands")).alias("bands")), "nodes")
     member = nodes.select("doc_id", F.explode("bands").alias("bucket")).distinct()
-    leaders = member.groupBy("bucket").agg(F.min("doc_id").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    leaders = stored(leaders.select("bucket", "leader"), "leaders")
-    starred = stored(member.join(leaders, "bucket").select("bucket", "doc_id", "leader"), "buckets")
+    sizes = stored(member.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    shared = stored(member.join(sizes, "bucket"), "shared")
+    weight = shared.groupBy("doc_id").agg(F.sum("n").alias("weight"))
+    shared = stored(shared.join(weight, "doc_id").select("bucket", "doc_id", "weight"), "weighed")
+    best = F.max(F.struct("weight", (-F.col("doc_id")).alias("id")))["id"]
+    leaders = stored(shared.groupBy("bucket").agg((-best).alias("leader")), "leaders")
+    starred = stored(shared.join(leaders, "bucket").select("bucket", "doc_id", "leader"), "buckets")
     texts = slim.select("doc_id", "text")
     pairs = starred.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct()
     near = _verified(pairs, texts).groupBy("a", "b").agg(F.max("similarity").alias("similarity"))

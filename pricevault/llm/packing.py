@@ -2,10 +2,13 @@
 
 Documents become token ids once, in a stored table. Document frequencies of all ids over the
 whole table give the BM25 weights; there are no more of them than the vocabulary has ids. Documents are dealt to
-shards of bounded size by hash; a shard builds an inverted index of its documents, takes seed
-after seed, and fills the seed's window with the unused documents that score best for it. A
-document that does not fit is cut only to fill what is left; its rest is the next seed, so
-windows are full. The rest of a shard's last window is cut into powers of two and needs no padding.
+shards of bounded size by likeness: random projections of their BM25 vectors go down a tree of
+two-means cuts, fitted on a sample that grows with the number of shards, so documents of like
+terms meet however large the input is. A shard builds an inverted index of its documents, takes seed
+after seed, and fills the seed's window with the unused documents that score best for all its
+terms, as long as any scores. A document that does not fit is cut only to fill what is left; its rest is
+the next seed, so windows are full. The rest of a shard's last window is cut into powers of two and
+needs no padding.
 """
 
 from __future__ import annotations
@@ -29,8 +32,10 @@ from pricevault.llm.units import text_slices
 
 #: Tokens of a shard, on average; what a task holds at once.
 SHARD_TOKENS = 3_000_000
-#: Terms of a seed that query the index, and neighbours that a query returns.
-QUERY_TERMS, NEIGHBOURS = 24, 64
+#: Neighbours that are ranked at a time.
+NEIGHBOURS = 64
+#: Numbers of a document's projection, and sampled documents of a shard (all shards: at least LEAST_SAMPLE).
+DIMENSIONS, SHARD_SAMPLE, LEAST_SAMPLE = 64, 64, 4000
 K1, B = 1.2, 0.75
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -128,42 +133,159 @@ def document_frequencies(table: DataFrame, vocabulary: int, width: str) -> np.nd
     return found
 
 
+def _terms(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids of a text, ascending, and how often each occurs."""
+    ordered = np.sort(ids, kind="stable")
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.empty(0, int)
+    return ordered[first], np.diff(np.append(first, len(ordered)))
+
+
+@lru_cache(maxsize=1)
+def _axes(vocabulary: int) -> np.ndarray:
+    return np.random.default_rng(1).standard_normal((vocabulary, DIMENSIONS), np.float32)
+
+
+def projections(texts: list[np.ndarray], weights: np.ndarray, average: float) -> np.ndarray:
+    """Random projections of the texts' BM25 weights, of length 1 (0 where no term has weight)."""
+    axes, out = _axes(len(weights)), np.zeros((len(texts), DIMENSIONS), np.float32)
+    for i, ids in enumerate(texts):
+        terms, tf = _terms(ids)
+        scores = weights[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / average))
+        out[i] = scores.astype(np.float32) @ axes[terms]
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
+def _cut(vectors: np.ndarray, sizes: np.ndarray, least: float) -> tuple[np.ndarray, float] | None:
+    """A direction and a value on it that part the texts in two, with ``least`` tokens on each side."""
+    middle = vectors.mean(axis=0)
+    direction = np.linalg.eigh((vectors - middle).T @ (vectors - middle))[1][:, -1]
+    value = float(direction @ middle)
+    for _ in range(8):  # two means
+        right = vectors @ direction > value
+        if right.all() or not right.any():
+            break
+        a, b = vectors[~right].mean(axis=0), vectors[right].mean(axis=0)
+        direction, value = b - a, float((b - a) @ (a + b)) / 2
+    along = vectors @ direction
+    right = sizes[along > value].sum()
+    if min(right, sizes.sum() - right) >= least:
+        return direction, value
+    order = np.argsort(along, kind="stable")
+    along, before = along[order], np.cumsum(sizes[order])[:-1]
+    smaller = np.minimum(before, sizes.sum() - before) * (np.diff(along) > 1e-6)
+    if not len(smaller) or smaller.max() < least:
+        return None  # copies for the most part
+    at = int(smaller.argmax())
+    return direction, float(along[at] + along[at + 1]) / 2
+
+
+def likeness_tree(vectors: np.ndarray, sizes: np.ndarray, limit: float) -> list[tuple]:
+    """Nodes (direction, value, left, right), or leaves (None, first shard, shards, 0) of about ``limit`` tokens a shard.
+
+    What no cut can part is dealt over several shards.
+    """
+    vectors, nodes, shards, todo = vectors.astype(np.float64), [], 0, [(np.arange(len(sizes)), None, 0)]
+    while todo:
+        rows, parent, side = todo.pop()
+        if parent is not None:
+            parent[side] = len(nodes)
+        total = sizes[rows].sum()
+        found = _cut(vectors[rows], sizes[rows], limit / 4) if total > 1.5 * limit else None
+        if found is None:
+            count = max(1, round(total / limit))
+            nodes.append([None, shards, count, 0])
+            shards += count
+            continue
+        node = [*found, 0, 0]
+        nodes.append(node)
+        right = vectors[rows] @ found[0] > found[1]
+        todo += [(rows[right], node, 3), (rows[~right], node, 2)]
+    return [tuple(x) for x in nodes]
+
+
+def _leaves(tree: list[tuple], vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First shard, and number of shards, of each vector's leaf."""
+    first, count = np.zeros(len(vectors), np.int64), np.ones(len(vectors), np.int64)
+    vectors, todo = vectors.astype(np.float64), [(0, np.arange(len(vectors)))]
+    while todo:
+        at, rows = todo.pop()
+        direction, value, left, right = tree[at]
+        if direction is None:
+            first[rows], count[rows] = value, left
+        elif len(rows):
+            over = vectors[rows] @ direction > value
+            todo += [(left, rows[~over]), (right, rows[over])]
+    return first, count
+
+
+def dealt(table: DataFrame, weights: np.ndarray, average: float, tokens: int, docs: int, width: str) -> DataFrame:
+    """``shard``, ``doc_id`` and ``ids`` of each document; like documents share a shard."""
+    if tokens <= SHARD_TOKENS:
+        return table.select(F.lit(0).cast("long").alias("shard"), "doc_id", "ids")
+    mixed = F.xxhash64("doc_id", F.crc32("ids"))
+    wanted = max(LEAST_SAMPLE, SHARD_SAMPLE * -(-tokens // SHARD_TOKENS))
+    sample = table.where(F.pmod(F.xxhash64(mixed), F.lit(1 << 20)) < min(1 << 20, -(-(wanted << 20) // docs)))
+    shared = table.sparkSession.sparkContext.broadcast((weights, average))
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [np.frombuffer(x, width) for x in batch.column(0).to_pylist()]
+            vectors = [x.tobytes() for x in projections(texts, *shared.value)]
+            yield pa.RecordBatch.from_arrays([pa.array(vectors, pa.binary()), batch.column(1)], ["vector", "n"])
+
+    found = sample.select("ids", "n").mapInArrow(project, "vector binary, n long").toArrow()
+    vectors = np.frombuffer(b"".join(found.column("vector").to_pylist()), np.float32).reshape(-1, DIMENSIONS)
+    sizes = found.column("n").to_numpy().astype(np.float64)
+    tree = table.sparkSession.sparkContext.broadcast(likeness_tree(vectors, sizes, SHARD_TOKENS * sizes.sum() / tokens))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [np.frombuffer(x, width) for x in batch.column(1).to_pylist()]
+            first, count = _leaves(tree.value, projections(texts, *shared.value))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first), pa.array(count)], ["doc_id", "ids", "first", "count"])
+
+    placed = table.select("doc_id", "ids").mapInArrow(place, "doc_id long, ids binary, first long, count long")
+    return placed.select((F.col("first") + F.pmod(mixed, F.col("count"))).alias("shard"), "doc_id", "ids")
+
+
 class Index:
     """Inverted index of a shard: for each term, its documents and their BM25 weights."""
 
     def __init__(self, texts: list[np.ndarray], weights: np.ndarray, average: float):
         owners, terms, counts = [], [], []
         for i, ids in enumerate(texts):
-            ordered = np.sort(ids, kind="stable")
-            first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.empty(0, int)
-            terms.append(ordered[first])
-            counts.append(np.diff(np.append(first, len(ordered))))
-            owners.append(np.full(len(first), i, np.int32))
+            found, often = _terms(ids)
+            terms.append(found)
+            counts.append(often)
+            owners.append(np.full(len(found), i, np.int32))
         self.first = np.concatenate(([0], np.cumsum([len(x) for x in terms])))
         owner, self.terms, tf = np.concatenate(owners), np.concatenate(terms).astype(np.int64), np.concatenate(counts)
         length = np.array([len(x) for x in texts])[owner] / average
-        self.scores = weights[self.terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length))
+        scores = weights[self.terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length))
         order = np.argsort(self.terms, kind="stable")
-        self.posted, self.weight = owner[order], self.scores[order]
+        self.posted, self.weight = owner[order], scores[order]
         self.bounds = np.searchsorted(self.terms[order], np.arange(len(weights) + 1))
         self.size = len(texts)
 
-    def neighbours(self, seed: int, free: np.ndarray) -> np.ndarray:
-        """Free documents that score best for the seed's heaviest terms, best first."""
-        mine = slice(self.first[seed], self.first[seed + 1])
-        terms = self.terms[mine]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-self.scores[mine], QUERY_TERMS)[:QUERY_TERMS]]
-        parts = [slice(self.bounds[t], self.bounds[t + 1]) for t in terms]
+    def score(self, seed: int) -> np.ndarray:
+        """BM25 of each document for all terms of the seed."""
+        terms = self.terms[self.first[seed] : self.first[seed + 1]]
+        parts = [slice(a, b) for a, b in zip(self.bounds[terms].tolist(), self.bounds[terms + 1].tolist(), strict=True)]
         if not parts:
-            return np.empty(0, np.int64)
-        score = np.bincount(np.concatenate([self.posted[p] for p in parts]), np.concatenate([self.weight[p] for p in parts]), self.size)
-        score[~free] = 0
-        found = np.flatnonzero(score > 0)
+            return np.zeros(self.size)
+        return np.bincount(np.concatenate([self.posted[p] for p in parts]), np.concatenate([self.weight[p] for p in parts]), self.size)
+
+    def best(self, score: np.ndarray, free: np.ndarray) -> np.ndarray:
+        """The free documents of highest score, best first."""
+        found = np.flatnonzero((score > 0) & free)
         if len(found) > NEIGHBOURS:
             found = found[np.argpartition(-score[found], NEIGHBOURS)[:NEIGHBOURS]]
         return found[np.lexsort((found, -score[found]))]
 
+    def neighbours(self, seed: int, free: np.ndarray) -> np.ndarray:
+        """Free documents that score best for the seed, best first."""
+        return self.best(self.score(seed), free)
+
 
 def fill(texts: list[np.ndarray], index: Index, window: int) -> Iterator[list[tuple[int, int, int]]]:
     """Windows as lists of (document, start, end); only the last may not be full."""
@@ -184,16 +306,20 @@ def fill(texts: list[np.ndarray], index: Index, window: int) -> Iterator[list[tu
             yield taken
             rest = (seed, start + window, end)
             continue
-        spare = []
-        for i in index.neighbours(seed, free).tolist() if room else ():
-            if sizes[i] <= room:
-                taken.append((i, 0, sizes[i]))
-                free[i] = False
-                room -= sizes[i]
-                if not room:
-                    break
-            else:
-                spare.append(i)
+        spare, score = [], index.score(seed) if room else None
+        while room and not spare:
+            found = index.best(score, free).tolist()
+            if not found:
+                break
+            for i in found:
+                if sizes[i] <= room:
+                    taken.append((i, 0, sizes[i]))
+                    free[i] = False
+                    room -= sizes[i]
+                    if not room:
+                        break
+                else:
+                    spare.append(i)
         while room and rest is None:
             if spare:
                 i = spare.pop(0)
@@ -280,7 +406,7 @@ def pack_documents(
     frequencies = document_frequencies(table, vocabulary, width)
     weights = np.log(1 + (total["docs"] - frequencies + 0.5) / (frequencies + 0.5))
     weights[end_id] = 0.0
-    shared = spark.sparkContext.broadcast((weights, max(1.0, min(window, (total["tokens"] or 1) / max(1, total["docs"])))))
-    shards = max(1, -(-(total["tokens"] or 0) // SHARD_TOKENS))
-    dealt = table.select(F.pmod(F.xxhash64("doc_id", F.crc32("ids")), F.lit(shards)).alias("shard"), "doc_id", "ids")
-    return dealt.groupBy("shard").applyInArrow(_packer(shared, window, width), PIECES)
+    average = max(1.0, (total["tokens"] or 1) / max(1, total["docs"]))
+    shared = spark.sparkContext.broadcast((weights, max(1.0, min(window, average))))
+    shards = dealt(table, weights, average, total["tokens"] or 0, total["docs"], width)
+    return shards.groupBy("shard").applyInArrow(_packer(shared, window, width), PIECES)

@@ -6,7 +6,8 @@ shards of bounded size by likeness: random projections of their BM25 vectors go
 two-means cuts, fitted on a sample that grows with the number of shards, so documents of like
 terms meet however large the input is. A shard builds an inverted index of its documents, takes seed
 after seed, and fills the seed's window with the unused documents that score best for all its
-terms, as long as any scores. A document that does not fit is cut only to fill what is left; its rest is
+terms, as long as any scores. Whole windows of a long document stand alone, and the rest of it is
+placed by the likeness of the whole text. A document that does not fit is cut only to fill what is left; its rest is
 the next seed, so windows are full. The rest of a shard's last window is cut into powers of two and
 needs no padding.
 """
@@ -288,7 +289,10 @@ class Index:
 
 
 def fill(texts: list[np.ndarray], index: Index, window: int) -> Iterator[list[tuple[int, int, int]]]:
-    """Windows as lists of (document, start, end); only the last may not be full."""
+    """Windows as lists of (document, start, end); only the last may not be full.
+
+    ``texts`` are what is to be placed; ``index`` may hold more of each document.
+    """
     free = np.array([len(x) > 0 for x in texts])
     sizes = [len(x) for x in texts]
     rest, cursor = None, 0  # the cut document's next piece; the first document that may be free
@@ -366,7 +370,7 @@ def _packer(shared, window: int, width: str):
         heads = [len(x) // window * window for x in texts]  # whole windows of long documents stand alone
         tails = [x[h:] for x, h in zip(texts, heads, strict=True)]
         sequences = [[(i, a, a + window)] for i, h in enumerate(heads) for a in range(0, h, window)]
-        for pieces in fill(tails, Index(tails, weights, average), window):
+        for pieces in fill(tails, Index(texts, weights, average), window):  # found by the whole text
             moved = [(i, a + heads[i], b + heads[i]) for i, a, b in pieces]
             sequences += [moved] if sum(b - a for _, a, b in moved) == window else _powers(moved)
         columns: list[list] = [[] for _ in range(7)]
@@ -407,6 +411,6 @@ def pack_documents(
     weights = np.log(1 + (total["docs"] - frequencies + 0.5) / (frequencies + 0.5))
     weights[end_id] = 0.0
     average = max(1.0, (total["tokens"] or 1) / max(1, total["docs"]))
-    shared = spark.sparkContext.broadcast((weights, max(1.0, min(window, average))))
+    shared = spark.sparkContext.broadcast((weights, average))
     shards = dealt(table, weights, average, total["tokens"] or 0, total["docs"], width)
     return shards.groupBy("shard").applyInArrow(_packer(shared, window, width), PIECES)

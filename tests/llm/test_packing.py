@@ -5,9 +5,11 @@ from __future__ import annotations
 import random
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pricevault.llm import packing
 from pricevault.llm.packing import Index, fill, pack_documents
 from tokenizers import Tokenizer
@@ -114,3 +116,16 @@ def test_like_documents_meet_across_shards(spark, monkeypatch):
         shares.append(np.mean([max(c.values()) / sum(c.values()) for c in mixed]))
     assert len({r.sequence_id >> 32 for r in found}) > 8
     assert shares[1] > 0.65 * shares[0], shares  # dealt by hash: 0.45 of it
+
+
+def test_rests_of_long_documents_are_placed_by_the_whole_text():
+    rng = random.Random(4)
+    texts = [[100 * (i % 4) + rng.randrange(100) for _ in range(64)] + [400] * 16 for i in range(80)]
+    shared = SimpleNamespace(value=(np.ones(401), 80.0))
+    data = [np.array(x, "<u2").tobytes() for x in texts]
+    pieces = packing._packer(shared, 64, "<u2")(pa.table({"shard": [0] * 80, "doc_id": list(range(80)), "ids": data})).to_pylist()
+    groups = defaultdict(set)
+    for r in pieces:
+        if r["length"] == 16:
+            groups[r["sequence_id"]].add(r["doc_id"] % 4)
+    assert len(groups) == 20 and np.mean([len(x) == 1 for x in groups.values()]) > 0.8

@@ -23,7 +23,9 @@ from pyspark.sql import types as T
 from pricevault.llm.units import text_slices, without
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object select noframes xmp".split())
+RAW = frozenset("script style noscript iframe textarea title select noframes xmp".split())
+#: Elements that nest and are left out, and elements of other languages, where <x/> is a whole element.
+LEFT_OUT, FOREIGN = frozenset("svg math object template".split()), frozenset("svg math".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
@@ -31,7 +33,7 @@ BLOCKS = frozenset(
 )
 #: Start tags that end an open element of these names (up to a list, table or section).
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-SCOPES = frozenset("body ul ol dl menu table article section div main blockquote".split())
+SCOPES = frozenset("body ul ol dl menu table article section div main blockquote foreignobject object template".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form button menu dialog label fieldset head".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 BOILERPLATE_WORDS = frozenset(
@@ -50,11 +52,17 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "inside", "chars", "linked", "tags", "linked_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "inside", "chars", "linked", "tags", "linked_tags", "density", "total", "foreign")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.parts = tag, parent, []
         self.inside = tag in KEEPERS or (parent is not None and parent.inside)  # an article or main element
+        #: Where text goes on after the svg or math element that this node is in; text inside foreignObject is no such language.
+        self.foreign = parent.foreign if parent else None
+        if tag in FOREIGN:
+            self.foreign = self.foreign or parent
+        elif tag in ("foreignobject", "desc", "annotation-xml"):
+            self.foreign = None
         self.chars = self.linked = self.tags = self.linked_tags = 0
 
 
@@ -114,6 +122,8 @@ def parse(page: str) -> Node:
             at = end if not close else (page.find(">", close.end()) + 1 or end)
             continue
         if tag in BLOCKS:
+            if node.foreign:  # HTML ends a picture or formula that was not closed
+                node = node.foreign
             up = node
             while up.parent and up.tag != "p" and up.tag not in SCOPES:
                 up = up.parent
@@ -128,7 +138,10 @@ def parse(page: str) -> Node:
                 if tag == "tr" and node.tag == "tr" and node.parent:
                     node = node.parent
         child = Node(tag, node)
-        if tag not in VOID and not attributes.endswith("/"):
+        if tag in LEFT_OUT:
+            if tag not in FOREIGN or not attributes.endswith("/"):
+                node = child  # parsed to find its end, but hangs on no node
+        elif tag not in VOID and not attributes.endswith("/"):
             if not _boilerplate(tag, attributes, node.inside):
                 node.parts.append(child)
             node = child  # boilerplate is parsed to find its end, but hangs on no node

@@ -54,3 +54,13 @@ def test_null_and_empty_table(spark):
     kind = "page_id long, html string"
     assert [r.text for r in extract_text(spark.createDataFrame([(1, None), (None, "")], kind)).collect()] == ["", ""]
     assert extract_text(spark.createDataFrame([], kind)).collect() == []
+
+
+def test_pictures_and_formulas():
+    page = "<article><p>one <svg class=i/> two <math/> three</p><p>four</p></article>"
+    assert main_text(page) == "one two three\nfour"
+    page = "<article><p>one <svg><g><svg><text>a</text></svg><text>b</text></g></svg> two</p>"
+    page += "<template><template>c</template>d</template><p>three</p></article>"
+    assert main_text(page) == "one two\nthree"
+    assert main_text("<article><p>one <svg><path><p>two</p><p>three</p></article>") == "one\ntwo\nthree"
+    assert main_text("<article><p>a<svg><foreignObject><p>b</p></foreignObject><text>c</text></svg>d</p></article>") == "ad"

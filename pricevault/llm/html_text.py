@@ -1,8 +1,8 @@
 """Main text of HTML pages by composite text density.
 
 A page becomes a tree. Elements that are boilerplate by name, role, class or id (menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, reader comments) are cut off. For each node
-left, the composite text density is its characters per tag, lowered as the share of linked
+footers, sidebars, notices, adverts, forms, scripts, reader comments) are cut off, unless they
+hold an article or most of the page's text. For each node left, the composite text density is its characters per tag, lowered as the share of linked
 characters and linked tags rises. The node whose children's densities have the largest sum holds
 the main text; the least density on the path from it to the body is the threshold, and every
 node that reaches it gives its own maximum-sum subtree.
@@ -25,7 +25,7 @@ from pricevault.llm.units import text_slices, without
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript iframe textarea title select noframes xmp".split())
 #: Elements that nest and are left out, and elements of other languages, where <x/> is a whole element.
-LEFT_OUT, FOREIGN = frozenset("svg math object template".split()), frozenset("svg math".split())
+LEFT_OUT, FOREIGN = frozenset("svg template annotation annotation-xml".split()), frozenset("svg math".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
@@ -44,6 +44,15 @@ BOILERPLATE_WORDS = frozenset(
 )
 KEEPERS = frozenset("article main".split())
 READER_WORDS = frozenset("comment comments commentlist related".split())
+#: Words of class names that say what an element has, and last words that only name a part of what comes before them.
+MODIFIERS = frozenset("has with without no not is".split())
+PART_WORDS = frozenset(
+    "area articles bar block body bottom box button buttons col column container content form group icon icons inner item items left "
+    "link links list main media outer panel post posts primary right row secondary section stories text title top widgets wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose ids lay out a page, also in an article; other ids there are anchors of its parts.
+LAYOUT = frozenset("aside div ol ul".split())
 
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -52,11 +61,13 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "inside", "chars", "linked", "tags", "linked_tags", "density", "total", "foreign")
+    __slots__ = ("tag", "parent", "parts", "inside", "chars", "linked", "tags", "linked_tags", "density", "total", "foreign", "code", "cut", "plain", "keeper")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.parts = tag, parent, []
         self.inside = tag in KEEPERS or (parent is not None and parent.inside)  # an article or main element
+        self.code = tag in ("pre", "code") or (parent is not None and parent.code)
+        self.cut = 0.0  # the share of the page's text from which on this boilerplate is not cut off; 0: no boilerplate
         #: Where text goes on after the svg or math element that this node is in; text inside foreignObject is no such language.
         self.foreign = parent.foreign if parent else None
         if tag in FOREIGN:
@@ -66,19 +77,51 @@ class Node:
         self.chars = self.linked = self.tags = self.linked_tags = 0
 
 
-def _boilerplate(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is cut off; ``inside``: it stands in an article or main element."""
+def _roles(names: str) -> set[str]:
+    """What classes or ids call their element: ``menu`` for main-menu and menu-list, nothing for has-menu."""
+    found = set()
+    for name in names.lower().split():
+        words = WORDS.findall(name.split("--")[0])
+        words = words[: next((i for i, x in enumerate(words) if x in MODIFIERS), len(words))]
+        while len(words) > 1 and (words[-1] in PART_WORDS or words[-1][0].isdigit()):
+            words.pop()
+        found.update(words[-1:])
+    return found
+
+
+def _boilerplate(tag: str, attributes: str, parent: Node) -> float:
+    """The share of a page's unlinked text up to which an element below ``parent`` is cut off (0: it stays)."""
+    inside = parent.inside  # it stands in an article or main element
     if tag in BOILERPLATE_TAGS or (tag == "header" and not inside):
-        return True
+        return 0.5
     for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
-        words = set(WORDS.findall("".join(values).lower()))
-        if name.lower() == "role":
-            boilerplate = words & BOILERPLATE_ROLES
-        else:
-            boilerplate = words & (BOILERPLATE_WORDS if tag not in KEEPERS else READER_WORDS)
-        if boilerplate - ({"header"} if inside else set()):
-            return True
-    return False
+        value, name = "".join(values), name.lower()
+        if name == "role":
+            if set(WORDS.findall(value.lower())) & BOILERPLATE_ROLES:
+                return 0.5
+        elif tag not in HEADINGS and not parent.code:
+            readers = tag in KEEPERS or (name == "id" and inside and tag not in LAYOUT)
+            if _roles(value) & (READER_WORDS if readers else BOILERPLATE_WORDS) - ({"header"} if inside else set()):
+                return 0.9  # it is called so: a long notice above a short text is one, too
+    return 0.0
+
+
+def _prune(root: Node) -> None:
+    """Cut boilerplate off that holds no article or main element or, on pages without any, most of the unlinked text."""
+    nodes, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        nodes.append(node)
+        todo += [x for x in node.parts if isinstance(x, Node)]
+    for node in reversed(nodes):
+        inner = [x for x in node.parts if isinstance(x, Node)]
+        node.keeper = any(x.keeper or (x.tag in KEEPERS and not x.cut) for x in inner)
+        own = sum(len(x) - x.count(" ") for x in node.parts if isinstance(x, str))
+        node.plain = own + sum(x.plain for x in inner) if node.tag != "a" else 0
+    for node in nodes:
+        node.parts = [
+            x for x in node.parts if isinstance(x, str) or not x.cut or x.keeper or (not root.keeper and x.plain > x.cut * root.plain)
+        ]
 
 
 def parse(page: str) -> Node:
@@ -139,12 +182,12 @@ def parse(page: str) -> Node:
                     node = node.parent
         child = Node(tag, node)
         if tag in LEFT_OUT:
-            if tag not in FOREIGN or not attributes.endswith("/"):
+            if not attributes.endswith("/") or not child.foreign:
                 node = child  # parsed to find its end, but hangs on no node
         elif tag not in VOID and not attributes.endswith("/"):
-            if not _boilerplate(tag, attributes, node.inside):
-                node.parts.append(child)
-            node = child  # boilerplate is parsed to find its end, but hangs on no node
+            child.cut = _boilerplate(tag, attributes, node)
+            node.parts.append(child)
+            node = child
         else:
             node.parts.append(child)
     return root
@@ -172,7 +215,7 @@ def _measure(root: Node) -> list[Node]:
             up = node.parent
             up.chars += node.chars
             up.linked += node.linked
-            up.tags += node.tags + 1
+            up.tags += node.tags + (node.foreign is None)  # a formula's tags are not layout
             up.linked_tags += node.linked_tags
     share = root.linked / max(root.chars, 1)
     for node in reversed(nodes):
@@ -252,6 +295,7 @@ def _blocks(root: Node, marked: set[int]) -> list[str]:
 def main_text(page: str) -> str:
     """The main text of one page, blocks joined by ``\\n``; empty if there is none."""
     root = parse(page)
+    _prune(root)
     _measure(root)
     return "\n".join(_blocks(root, _marked(root))) if root.chars else ""
 

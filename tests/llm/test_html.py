@@ -64,3 +64,24 @@ def test_pictures_and_formulas():
     assert main_text(page) == "one two\nthree"
     assert main_text("<article><p>one <svg><path><p>two</p><p>three</p></article>") == "one\ntwo\nthree"
     assert main_text("<article><p>a<svg><foreignObject><p>b</p></foreignObject><text>c</text></svg>d</p></article>") == "ad"
+
+
+KEPT = [
+    f"<body><div class='layout has-sidebar'><article>{BODY}</article></div><footer>(c) Us</footer>",
+    f"<body class=x><form id='aspnetForm'><div>{BODY}</div><div class=footer>(c) Us</div></form>",
+    f"<head><meta name=a><body><div>{BODY}</div>",
+    f"<div class=sidebar-layout><div class=content-with-menu>{BODY}</div></div>",
+    f"<div class=widget><div>{BODY}</div></div><footer>(c) Us</footer>",
+]
+
+
+@pytest.mark.parametrize("page", KEPT)
+def test_wrappers_that_hold_the_text(page):
+    assert [x for x in main_text(page).split("\n") if x in PARAS] == PARAS
+
+
+def test_slugs_code_and_formulas_in_an_article():
+    page = f"<article><h2 id='social-history'>History</h2>{BODY}<h2 id=disclaimer>Cookies</h2><section id='related-work'><p>Others.</p></section>"
+    page += "<pre><span class='comment'># c</span> x</pre><p>so <math><mi>a</mi><mo>=</mo><annotation>tex</annotation></math>"
+    page += " <object data=x><b>fallback</b></object></p><div class='related-posts'>Read on</div><section id=comments>I say</section></article>"
+    assert main_text(page).split("\n") == ["History", *PARAS, "Cookies", "Others.", "# c x", "so a= fallback"]

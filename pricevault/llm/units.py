@@ -115,3 +115,11 @@ def without(names: Iterable[str], added: Iterable[str]) -> list[str]:
     """The names that an operator's own result columns don't replace (case is ignored)."""
     taken = {x.lower() for x in added}
     return [x for x in names if x.lower() not in taken]
+
+
+def unused(names: Iterable[str], wish: str) -> str:
+    """A column name that none of ``names`` equals, whatever the case."""
+    taken = {x.lower() for x in names}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish

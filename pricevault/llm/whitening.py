@@ -180,10 +180,11 @@ def fit_whitening(vectors: DataFrame, dims: int, components: int = COMPONENTS) -
 
 def _second_moments(fit: Whitener):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((fit.axes.shape[1],) * 2)
+        spread = np.flatnonzero(~np.isnan(fit.axes).any(axis=0))
+        total = np.zeros((len(spread),) * 2)
         for batch in batches:
             for first in range(0, batch.num_rows, BLOCK_ROWS):
-                w = fit.project(fixed_point(batch.column(0).slice(first, BLOCK_ROWS), fit.dims))
+                w = fit.project(fixed_point(batch.column(0).slice(first, BLOCK_ROWS), fit.dims))[:, spread]
                 total += w.T @ w
         i, j = np.triu_indices(len(total))
         yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(total[i, j])], ["i", "j", "total"])
@@ -195,7 +196,7 @@ def identity_error(vectors: DataFrame, fit: Whitener) -> float:
     """Largest absolute entry of the whitened rows' covariance minus the identity, over components with spread."""
     parts = vectors.select("vector").mapInArrow(_second_moments(fit), "i int, j int, total double")
     goal = F.when(F.col("i") == F.col("j"), 1.0).otherwise(0.0)
-    summed = parts.where(~F.isnan("total")).groupBy("i", "j").agg((F.sum("total") / fit.n).alias("value"))
+    summed = parts.groupBy("i", "j").agg((F.sum("total") / fit.n).alias("value"))
     worst = summed.agg(F.max(F.abs(F.col("value") - goal)).alias("worst")).first().worst
     return float(worst or 0.0)
 

@@ -2,9 +2,10 @@
 
 Every level is a table of nodes (tree, index, digest). A node's siblings are the other indices of
 its run of ``arity`` nodes: for two children the index with its last bit flipped (XOR), otherwise
-the slot moved by 1 to arity - 1 within the run. One equijoin of the level with itself on (tree, computed
-index) finds them; the rows in slot zero then hash their run into the parent's node. Nodes are
-dealt by run, so the join, its collection and the parents need one shuffle of the level.
+the slot moved by 1 to arity - 1 within the run. One equijoin of the level with itself finds them: on
+(tree, run), with the index among the computed ones. The rows in slot zero then hash their run into the
+parent's node. A run is the unit that is dealt out, so the join and its collection share one
+shuffle of the level, where equality on the index itself would send 15 rows a node over the network.
 
 Proofs go down the tree again: a run meets its parent's path once, whatever its children, so a
 path is sent to each run and not to each document.
@@ -51,11 +52,10 @@ def _with_siblings(nodes: DataFrame, arity: int) -> DataFrame:
         want = F.array(F.col("idx").bitwiseXOR(F.lit(1)))
     else:
         want = F.array(*[F.col("run") * arity + (slot + step) % arity for step in range(1, arity)])
-    asked = dealt.withColumn("want", F.explode(want))
     held = dealt.select(F.col("tree").alias("tree_"), F.col("run").alias("run_"), F.col("idx").alias("idx_"), F.col("digest").alias("digest_"))
-    same = (asked["tree"] == held["tree_"]) & (asked["run"] == held["run_"]) & (asked["want"] == held["idx_"])
+    same = (dealt["tree"] == held["tree_"]) & (dealt["run"] == held["run_"]) & F.array_contains(want, F.col("idx_"))
     siblings = F.array_sort(F.collect_list(F.when(F.col("idx_").isNotNull(), F.struct("idx_", "digest_"))))
-    found = asked.join(held, same, "left").groupBy("tree", "run", "idx")
+    found = dealt.join(held, same, "left").groupBy("tree", "run", "idx")
     found = found.agg(*[F.first(x).alias(x) for x in nodes.columns if x not in ("tree", "idx")], siblings.alias("siblings"))
 
     def side(before: bool) -> Column:

@@ -1,15 +1,17 @@
 """Token counts: batch encoding inside Arrow functions, which hand back lengths only.
 
-Texts are gathered into batches of about the same number of bytes. A long text is first split
-where a split can't change its tokens, so that no batch is much larger than the others, and the
-lengths of its parts are summed.
+Texts are gathered into batches of about the same number of bytes; a long text is first split into parts.
+Both parts and the words within them are cut where a cut can't change any token, so a batch encodes
+each distinct word that it doesn't know yet once, and a text's count is the sum over its words.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricevault.llm.pretokens import BELOW_250
 from pricevault.llm.units import unused, without
 
 #: Bytes of text that one call of the tokenizer gets.
@@ -28,62 +31,106 @@ PART_CHARS = 1 << 16
 #: Tokens of a training window.
 TOKEN_LIMIT = 2048
 
-#: A lone space or line break between two visible characters that no normal form joins to it.
-#: Tokenizers of .json files here either drop white space or begin a piece with it.
-BREAK = regex.compile(r"(?<=[^\s\p{M}\p{C}])[ \n](?=[^\s\p{M}\p{C}])")
-#: In .model files only the space separates pieces, and each text gets one in front by itself.
-SPACE = regex.compile(r"(?<=[^\s\p{M}\p{C}▁]) (?=[^\s\p{M}\p{C}▁])")
+#: Words whose lengths a task remembers; longer ones than that many characters are encoded anew each time.
+KNOWN_WORDS, WORD_CHARS = 300_000, 64
+
+#: Visible characters that no normal form joins to a space before them: those below U+0250, all.
+LATIN = r"[!-~\xa1-\xac\xae-\u024f]"
+VISIBLE = r"[^\s\p{M}\p{C}▁]"
+
+
+@dataclass
+class Counter:
+    """A tokenizer file: its batch counting function, and where a text can be cut.
+
+    Cuts lie at a lone space or line break between two visible characters. Tokenizers of .json files
+    here either drop white space or begin a piece with it, so it stays with what follows. In .model
+    files only the space separates, and each text gets one in front by itself, so it goes.
+    """
+
+    count: Callable[[list[str]], list[int]]
+    breaks: str
+    taken: int
+
+    def pattern(self, visible: str) -> str:
+        gap = f"(?={self.breaks}{visible})" if not self.taken else f"{self.breaks}(?={visible})"
+        return f"(?<={visible}){gap}"
+
+    @cached_property
+    def full(self) -> regex.Pattern:
+        return regex.compile(self.pattern(VISIBLE), regex.V1)
+
+    @cached_property
+    def latin(self) -> re.Pattern:
+        return re.compile(self.pattern(LATIN))
+
+    def parts(self, text: str, size: int) -> Iterator[str]:
+        """Parts of about ``size`` characters; a text without a safe cut stays whole."""
+        at = 0
+        while len(text) - at > size:
+            found = self.full.search(text, at + size)
+            if not found:
+                break
+            yield text[at : found.start()]
+            at = found.end()
+        yield text[at:]
+
+    def words(self, part: str) -> list[str]:
+        return (self.latin if BELOW_250.fullmatch(part) else self.full).split(part)
+
 
 ADDED = ("n_bytes", "n_tokens", "over_limit")
 
 
 @lru_cache
-def counter(path: str) -> tuple[Callable[[list[str]], list[int]], regex.Pattern, int]:
-    """Batch counting function of a tokenizer file, its safe boundary, characters that a split takes."""
+def counter(path: str) -> Counter:
+    """The counter of a tokenizer file, loaded once a worker."""
     if path.endswith(".model"):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        return (lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]), SPACE, 1
+        return Counter(lambda texts: [len(x) for x in model.encode(texts, num_threads=1)], " ", 1)
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores
     import tokenizers
 
     file = tokenizers.Tokenizer.from_file(path)
     file.no_truncation()
     file.no_padding()
-    return (lambda texts: [len(x) for x in file.encode_batch_fast(texts, add_special_tokens=False)]), BREAK, 0
-
-
-def split_text(text: str, boundary: regex.Pattern, taken: int, size: int) -> Iterator[str]:
-    """Parts of about ``size`` characters; a text without a safe boundary stays whole."""
-    at = 0
-    while len(text) - at > size:
-        found = boundary.search(text, at + size)
-        if not found:
-            break
-        yield text[at : found.start()]
-        at = found.start() + taken
-    yield text[at:]
+    return Counter(lambda texts: [len(x) for x in file.encode_batch_fast(texts, add_special_tokens=False)], "[ \n]", 0)
 
 
 def _counter(path: str, limit: int, batch_bytes: int, part_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, boundary, taken = counter(path)
+        tokenizer, known = counter(path), {}
+
+        def counts(parts: list[str]) -> list[int]:
+            words = [tokenizer.words(part) for part in parts]
+            missing = list(set().union(*words) - known.keys())
+            if len(known) + len(missing) > KNOWN_WORDS:
+                known.clear()
+                missing = list(set().union(*words))
+            known.update(zip(missing, tokenizer.count(missing), strict=True))
+            found = [sum(map(known.__getitem__, part)) for part in words]
+            for word in missing:
+                if len(word) > WORD_CHARS:
+                    del known[word]
+            return found
+
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             sizes = pa.compute.binary_length(column).fill_null(0).cast(pa.int64())
             tokens = np.zeros(batch.num_rows, np.int64)
             rows, parts, held = [], [], 0
             for row in np.flatnonzero(sizes.to_numpy()):
-                for part in split_text(column[row].as_py(), boundary, taken, part_chars):
+                for part in tokenizer.parts(column[row].as_py(), part_chars):
                     rows.append(row)
                     parts.append(part)
-                    held += min(len(part), part_chars) * 4 if not part.isascii() else len(part)
+                    held += len(part.encode())
                     if held >= batch_bytes:
-                        np.add.at(tokens, rows, count(parts))
+                        np.add.at(tokens, rows, counts(parts))
                         rows, parts, held = [], [], 0
             if rows:
-                np.add.at(tokens, rows, count(parts))
+                np.add.at(tokens, rows, counts(parts))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], sizes, pa.array(tokens), pa.array(tokens > limit)], [*batch.schema.names[:-1], *ADDED]
             )

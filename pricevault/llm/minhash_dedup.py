@@ -22,12 +22,15 @@ from pyspark.sql import functions as F
 
 from pricevault.llm.components import components
 from pricevault.llm.stored import stored
-from pricevault.llm.units import MASK, mix, split_units, text_slices
+from pricevault.llm.units import MASK, SLICE_BYTES, mix, split_units, text_slices
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 #: 30 bands of 5 coordinates: a pair at similarity 0.8 shares no band with probability 7e-6.
 BANDS, ROWS = 30, 5
+#: Documents that share a band with others but were not linked to them are signed anew with longer bands, which
+#: pairs far below the threshold rarely share: 167 bands of 12, again 7e-6 for a pair at 0.8.
+FINE_BANDS, FINE_ROWS = 167, 12
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -95,9 +98,11 @@ def dart_signatures(owner: np.ndarray, elements: np.ndarray, weights: np.ndarray
 
 
 def _signer(bands: int, rows: int):
+    limit = max(1 << 14, SLICE_BYTES * BANDS * ROWS // (16 * bands * rows)) if bands * rows > 4 * BANDS * ROWS else SLICE_BYTES
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, texts in text_slices(batch.column(1)):
+            for a, b, texts in text_slices(batch.column(1), limit):
                 owner, elements, weights = weighted_shingles(texts)
                 signs = dart_signatures(owner, elements, weights.astype(np.float64), len(texts), bands * rows)
                 keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(texts), 1))
@@ -153,10 +158,10 @@ def near_duplicates(
 
     Texts that share a band form a bucket. Each is compared with the bucket's leader, exactly, on
     the texts. The leader is the document that shares its bands with the most others, so variants
-    of one text meet that text rather than each other. Where a bucket still holds several components, pairs across components
-    are compared too, unless their distances to that document differ by more than
-    1 - ``similarity``: the distance is a metric, so such pairs can't be alike. So no pair
-    that shares a band is lost, and no group is compared all against all.
+    of one text meet that text rather than each other. Documents of buckets that still hold several components
+    are signed again with longer bands; those that share one of these and are in different components
+    are compared pair by pair. Texts that only resemble each other from afar (half of their shingles,
+    say) share many short bands and hardly any long one, so a large group of them isn't compared all against all.
 
     Null texts count as empty; texts without words belong together only if they are equal bytes.
     Rows with a null id get a null class; rows with equal ids get each the class of their text,
@@ -183,21 +188,17 @@ def near_duplicates(
     edges = linked.select("a", "b")
     labels = components(edges)
 
-    spread = 1 - similarity
-    placed = starred.join(labels, starred["doc_id"] == labels["node"], "left").select(
-        "bucket", "doc_id", "leader", F.coalesce("label", "doc_id").alias("label")
-    )
-    placed = placed.join(near, (placed["leader"] == near["a"]) & (placed["doc_id"] == near["b"]), "left").select(
-        "bucket", "doc_id", "leader", "label", (1 - F.coalesce("similarity", F.lit(1.0))).alias("far")
-    )
-    placed = stored(placed, "placed")
+    placed = starred.join(labels, starred["doc_id"] == labels["node"], "left")
+    placed = stored(placed.select("bucket", "doc_id", F.coalesce("label", "doc_id").alias("label")), "placed")
     mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
-    rest = stored(placed.where("doc_id <> leader").join(mixed, "bucket"), "rest")
-    other = rest.toDF(*(f"{c}_2" for c in rest.columns))
-    across = rest.join(
-        other,
-        (rest["bucket"] == other["bucket_2"]) & (rest["label"] < other["label_2"]) & (F.abs(rest["far"] - other["far_2"]) <= spread + 1e-9),
-    )
+    rest = stored(placed.join(mixed, "bucket").select("doc_id", "label").distinct(), "rest")
+    again = texts.join(rest.select(F.col("doc_id").alias("__id")), F.col("doc_id") == F.col("__id"), "left_semi")
+    fine = stored(again.mapInArrow(_signer(FINE_BANDS, FINE_ROWS), "doc_id long, copy_key binary, bands array<long>"), "fine")
+    fine = fine.select("doc_id", F.explode("bands").alias("bucket")).distinct()
+    several = fine.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    fine = stored(fine.join(several, "bucket").join(rest, "doc_id").select("bucket", "doc_id", "label"), "meeting")
+    other = fine.toDF(*(f"{c}_2" for c in fine.columns))
+    across = fine.join(other, (fine["bucket"] == other["bucket_2"]) & (fine["label"] < other["label_2"]))
     across = across.select(F.least("doc_id", "doc_id_2").alias("a"), F.greatest("doc_id", "doc_id_2").alias("b")).distinct()
     across = stored(across, "across")
     if not across.isEmpty():

@@ -58,3 +58,26 @@ def test_signatures_estimate_weighted_similarity():
     signs = dart_signatures(owner, elements, weights.astype(float), 2, 2000)
     truth = similarity(shingles(a), shingles(b))
     assert abs(np.mean(signs[0] == signs[1]) - truth) < 0.05
+
+
+def test_half_alike_texts_are_not_compared_all_with_all(spark, monkeypatch):
+    """Texts with 8 of 200 words changed resemble each other by half: pairs grow with the texts, not their square."""
+    from pricevault.llm import minhash_dedup
+
+    counts = {}
+    kept = minhash_dedup.stored
+
+    def counting(frame, label):
+        out = kept(frame, label)
+        if label == "across":
+            counts[size] = out.count()
+        return out
+
+    monkeypatch.setattr(minhash_dedup, "stored", counting)
+    rng = random.Random(21)
+    base = [f"w{rng.randrange(3000)}" for _ in range(200)]
+    for size in (100, 400):
+        rows = [(i, " ".join(edited(rng, base, 8))) for i in range(size)]
+        found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert {r.doc_id: r.class_id for r in found.collect()} == near_classes(rows)
+    assert counts[400] < 400 * 399 / 2 / 10, counts

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricevault.llm.line_dedup import line_dedup
@@ -38,15 +38,16 @@ FROM l LEFT JOIN kept USING (doc_id)
 """
 
 
-def _digest(cut: DataFrame, count: str) -> DataFrame:
-    return cut.select("doc_id", F.col("n_units").alias(count), "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+def _digest(cut: DataFrame, count: str, text: Column) -> DataFrame:
+    return cut.select("doc_id", F.col("n_units").alias(count), "n_removed", F.sha2(text, 256).alias("kept_sha256"))
 
 
 @query("op7_line_windows", LINES_SQL)
 def op7_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _digest(line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")), "n_lines")
+    return _digest(line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")), "n_lines", F.col("text"))
 
 
 @query("op10_substring_dedup", WORDS_SQL)
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _digest(substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")), "n_words")
+    words = F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "))  # kept words joined by one space
+    return _digest(substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")), "n_words", words)

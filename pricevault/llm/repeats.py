@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricevault.llm.units import BUCKET_BASE, split_units, text_slices, without
+from pricevault.llm.units import BUCKET_BASE, split_units, text_slices, unused, without
 
 #: Entries (distinct hashes of a task batch) that a bucket holds at about one window a unit.
 BUCKET_ENTRIES = 400_000
@@ -144,15 +144,38 @@ def _covered(marks: np.ndarray, size: int, count: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+def _without_words(data: bytes, begin: np.ndarray, end: np.ndarray, spans: np.ndarray) -> bytes:
+    """The text without the words of the spans; all other words keep their lines and indentation.
+
+    ``begin`` and ``end`` are the words' byte ranges. The white space after the removed words goes with
+    them if it holds no line break. Where whole lines go, they go up to the next line's start; where a
+    line's end goes, its break stays; where the text's end goes, the white space before it goes too.
+    """
+    kept, at = [], 0
+    for first, last in spans:
+        start, stop = begin[first], end[last - 1]
+        if last == len(begin):
+            start = end[first - 1] if first else start
+        elif b"\n" not in data[stop : begin[last]]:
+            stop = begin[last]
+        else:
+            line = data.rfind(b"\n", 0, start) + 1
+            if not data[line:start].strip():
+                start, stop = line, data.rfind(b"\n", stop, begin[last]) + 1
+        kept.append(data[at:start])
+        at = stop
+    return b"".join([*kept, data[at:]])
+
+
 def _cutter(names: list[str], text: str, kind: str, size: int, own: bool):
     """Task code: documents beside their notes to documents without the noted windows."""
-    separator = b" " if kind == "word" else b"\n"
 
     def cut(texts: list[bytes], notes: list[np.ndarray]) -> Iterator[tuple[bytes, int, int, list]]:
         units = split_units(texts, kind)
         hashes, at = units.windows(size)
         bounds = np.searchsorted(units.owner[at], np.arange(len(texts) + 1))
         begins = np.concatenate(([0], np.cumsum(units.count)))
+        offsets = np.concatenate(([0], np.cumsum([len(x) + 1 for x in texts])))
         for i, (data, noted) in enumerate(zip(texts, notes, strict=True)):
             count = int(units.count[i])
             mine = hashes[bounds[i] : bounds[i + 1]]
@@ -164,15 +187,18 @@ def _cutter(names: list[str], text: str, kind: str, size: int, own: bool):
                 later = np.ones(len(mine), bool)
                 later[first] = False
                 marked |= later
-            parts = data.split() if kind == "word" else None
             if not marked.any():
-                yield (separator.join(parts) if parts is not None else data), count, 0, []
+                yield data, count, 0, []
                 continue
             gone = _covered(at[bounds[i] : bounds[i + 1]][marked] - begins[i], size, count)
             edge = np.diff(np.concatenate(([0], gone.view(np.int8), [0])))
             spans = np.stack((np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)), axis=1)
-            parts = data.split(b"\n") if parts is None else parts
-            yield separator.join(compress(parts, ~gone)), count, int(gone.sum()), spans.tolist()
+            if kind == "word":
+                own_units = slice(begins[i], begins[i + 1])
+                left = _without_words(data, units.start[own_units] - offsets[i], units.end[own_units] - offsets[i], spans)
+            else:
+                left = b"\n".join(compress(data.split(b"\n"), ~gone))
+            yield left, count, int(gone.sum()), spans.tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,8 +237,13 @@ def cut_repeats(docs: DataFrame, *, kind: str, size: int, own: bool, id_col: str
     buckets = max(8, int(total // (UNIT_BYTES[kind] * BUCKET_ENTRIES)) + 1)
     packed = slim.mapInArrow(_packer(kind, size, buckets), PACKED)
     notes = packed.groupBy("bucket").applyInArrow(_judge, NOTES)
-    notes = notes.groupBy(F.col("doc_id").alias("__note_id")).agg(F.collect_list("hash").alias("__notes"))
-    joined = docs.join(notes, F.col(id_col).cast("long") == F.col("__note_id"), "left").drop("__note_id")
+    note_id, note_list, salt = (unused(docs.columns, x) for x in ("note_id", "notes", "salt"))
+    notes = notes.groupBy(F.col("doc_id").alias(note_id)).agg(F.collect_list("hash").alias(note_list))
+    notes = notes.withColumn(f"{salt}_", F.lit(0))
+    own_id = F.col(f"`{id_col}`").cast("long")
+    salted = docs.withColumn(salt, F.when(own_id.isNull(), F.hash(F.col(f"`{text_col}`"))).otherwise(0))  # null ids meet nothing, in no one task
+    joined = salted.join(notes, (own_id == F.col(note_id)) & (F.col(salt) == F.col(f"{salt}_")), "left")
+    joined = joined.select(*[F.col(f"`{x}`") for x in docs.columns], note_list)
     names = docs.columns
     schema = T.StructType(
         [*docs.schema.fields, T.StructField("n_units", T.LongType()), T.StructField("n_removed", T.LongType())]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from brute import WORD
@@ -13,6 +14,31 @@ from pricevault.llm.substring_dedup import substring_dedup
 KIND = "doc_id long, text string, n_removed string"
 
 
+def without_words(text, gone):
+    """The text without the numbered words, run by run from the last to the first."""
+    spans = [m.span() for m in WORD.finditer(text)]
+    k = len(spans) - 1
+    while k >= 0:
+        if k not in gone:
+            k -= 1
+            continue
+        last = k
+        while k - 1 in gone:
+            k -= 1
+        before, after = text[: spans[k][0]], text[spans[last][1] :]
+        if last == len(spans) - 1:
+            before = before[: spans[k - 1][1]] if k else before
+        else:
+            gap = re.match(r"[\x20\x09-\x0D]*", after)[0]
+            if "\n" not in gap:
+                after = after[len(gap) :]
+            elif re.search(r"(^|\n)[\x20\x09-\x0D]*$", before):
+                before, after = before[: before.rfind("\n") + 1], after[gap.rfind("\n") + 1 :]
+        text = before + after
+        k -= 1
+    return text
+
+
 def cut_words(rows, n=13):
     first: dict = {}
     texts = [(i, WORD.findall(t or "")) for i, t in rows]
@@ -22,12 +48,12 @@ def cut_words(rows, n=13):
                 key = tuple(w[k : k + n])
                 first[key] = min(first.get(key, i), i)
     out = []
-    for i, w in texts:
+    for (i, w), (_, t) in zip(texts, rows, strict=True):
         gone = set()
         for k in range(len(w) - n + 1):
             if i is not None and first[tuple(w[k : k + n])] < i:
                 gone |= set(range(k, k + n))
-        out.append((i, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
+        out.append((i, len(w), len(gone), without_words(t, gone) if t else ""))
     return out
 
 
@@ -86,6 +112,17 @@ def test_lines_equal_loops(spark, monkeypatch, batch):
     assert sorted(map(tuple, found), key=str) == sorted(cut_lines(rows), key=str)
 
 
+def test_untouched_texts_keep_their_form(spark):
+    code = "def f(x):\n    return x\n\n# verse\t\n"
+    passage = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, code), (2, f"{passage}\n\nend  of\tit\n"), (3, f"  - a\n\n{passage}\n\n  - b\n"), (4, f" \n{passage}\n "), (5, f"x \n{passage} ")]
+    wide = [(*r, "n", "s", "l") for r in rows]
+    frame = spark.createDataFrame(wide, "doc_id long, text string, notes string, salt string, Note_Id string")
+    found = {r.doc_id: r for r in substring_dedup(frame).collect()}
+    assert [found[i].text for i in range(1, 6)] == [code, rows[1][1], "  - a\n\n  - b\n", " \n\n ", "x "]
+    assert {(r.notes, r.salt, r.Note_Id) for r in found.values()} == {("n", "s", "l")}
+
+
 def test_spans_and_empty_table(spark):
     rows = [(1, " ".join(f"w{i}" for i in range(20))), (2, "start " + " ".join(f"w{i}" for i in range(3, 18)) + " end")]
     found = {r.doc_id: r for r in substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}

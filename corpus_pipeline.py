@@ -19,43 +19,75 @@ from pricevault.llm.stored import stored
 from pricevault.llm.substring_dedup import substring_dedup
 
 
-def _documents(frame: DataFrame, like: DataFrame) -> DataFrame:
-    """The columns of ``like`` with ``n_chars`` counted anew."""
-    if "n_chars" in like.columns:
-        frame = frame.withColumn("n_chars", F.char_length("text").cast(like.schema["n_chars"].dataType))
-    return frame.select([F.col(f"`{c}`") for c in like.columns])
+#: Names inside a stage: no column of the documents can meet one that an operator adds.
+ID, TEXT = "doc_id", "text"
+
+
+def _inside(docs: DataFrame) -> DataFrame:
+    """``docs`` with columns ``doc_id``, ``text`` and numbered ones, whatever names the others have."""
+    return docs.select([F.col(f"`{c}`").alias(c if c in (ID, TEXT) else f"column_{i}") for i, c in enumerate(docs.columns)])
+
+
+def _documents(inside: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like`` out of a frame of ``_inside``, with ``n_chars`` counted anew."""
+    columns = []
+    for i, c in enumerate(like.columns):
+        column = F.col(c if c in (ID, TEXT) else f"column_{i}")
+        if c == "n_chars":
+            column = F.char_length(TEXT).cast(like.schema[c].dataType)
+        columns.append(column.alias(c))
+    return inside.select(columns)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, unchanged. Null and empty texts are rejected."""
-    return quality_rules(docs, prefix="__").where("__kept").select([F.col(f"`{c}`") for c in docs.columns])
+    """Documents that the quality rules keep, unchanged but for ``n_chars``, which is counted.
+
+    Null and empty texts are rejected. Rows are judged one by one: null and repeated ids and repeated rows are no matter.
+    Other columns, whatever their names, stay as they are.
+    """
+    return _documents(quality_rules(_inside(docs)).where("kept"), docs)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines of three-line windows that occurred before; none is dropped."""
-    return _documents(line_dedup(docs), docs)
+    """Documents without the lines of three-line windows that occurred before; none is dropped.
+
+    Null texts become empty. Rows with a null id lose only own repeats; rows with equal ids are one document in the
+    comparison and are cut each by itself. Other columns, whatever their names, stay as they are.
+    """
+    return _documents(line_dedup(_inside(docs)), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, that of the least id; of rows with equal ids one.
+    """One document of each near-duplicate class: that of the least id, null ids last, then the first as stored.
 
-    Rows with a null id are not compared and stay.
+    Rows are compared by their texts, whatever their ids: rows of equal ids with unlike texts all stay,
+    and of fully equal rows one. Texts without words (null ones count as empty) are alike only if they are equal.
     """
-    classes = near_duplicates(docs)
-    late = classes.where("doc_id <> class_id").select("doc_id").distinct()
-    kept = docs.join(late, "doc_id", "left_anti")
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = kept.withColumn("__copy", F.row_number().over(one)).where("__copy = 1 OR doc_id IS NULL")
-    return kept.select([F.col(f"`{c}`") for c in docs.columns])
+    rows = stored(_inside(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
+    classes = stored(near_duplicates(rows, id_col="row").select(F.col("doc_id").alias("member"), "class_id"), "classes")
+    several = classes.where("member <> class_id")  # a class's id is one of its members
+    several = several.union(several.select("class_id", "class_id").distinct())
+    place = F.struct(F.col(ID).isNull().alias("none"), F.col(ID), F.col("row"))
+    placed = several.join(rows.select(ID, "row"), F.col("member") == F.col("row")).select("member", "class_id", place.alias("place"))
+    first = placed.groupBy(F.col("class_id").alias("of")).agg(F.min("place")["row"].alias("first"))
+    late = placed.join(first, (F.col("class_id") == F.col("of")) & (F.col("member") != F.col("first"))).select("member")
+    return _documents(rows.join(late, F.col("row") == F.col("member"), "left_anti"), docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the words of 13-word windows that a document of smaller id holds."""
-    return _documents(substring_dedup(docs), docs)
+    """Documents without the words of 13-word windows that a document of smaller id holds.
+
+    All other bytes stay: a text in which nothing repeats keeps its lines and indentation. Null texts become
+    empty; rows with a null id lose nothing, and rows with equal ids nothing to each other. Other columns stay as they are.
+    """
+    return _documents(substring_dedup(_inside(docs)), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 2048 tokens, neighbours by BM25 together."""
+    """Pieces of all documents in sequences of 2048 tokens, neighbours by BM25 together.
+
+    A null or empty text is the end token alone; null and repeated ids are packed like all others.
+    """
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 

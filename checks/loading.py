@@ -20,11 +20,13 @@ from pricevault.operators.views import (
     intraday_volatility,
 )
 from pricevault.plans.jobs import (
+    PERIOD,
     Batch,
     compact_bronze,
     open_vault,
     read_bronze,
     read_rejects,
+    replay_vault,
     run_bronze_company,
     run_bronze_daily,
     run_bronze_minute,
@@ -46,6 +48,7 @@ from pricevault.schemas import (
     SAT_DAY_PRICES,
     SAT_MINUTE_PRICES,
 )
+from pricevault.sources.tablelog import detail
 
 PRICES = "Open, High, Low, Close, Volume, Dividends, Stock_Splits"
 BARS = f"Date, Symbol, {PRICES}"
@@ -505,6 +508,58 @@ def job_vault_minute(spark, d):
     return joined.select("Symbol", "DateTime", *SAT_MINUTE_PRICES.table.columns)
 
 
+CORRECTED_SYMBOLS = "(SELECT Symbol FROM early UNION SELECT symbol FROM raw1)"
+
+
+@query(
+    "mrg_correct_earlier",
+    sql(
+        f"""
+        SELECT 'hub' AS part, Symbol, CAST(NULL AS DATE) AS Date, CAST(NULL AS DOUBLE) AS Close, {T1} AS Load_DTS FROM {CORRECTED_SYMBOLS}
+        UNION ALL SELECT 'hub', Symbol, NULL, NULL, {T2} FROM (SELECT Symbol FROM late UNION SELECT symbol FROM raw2)
+          WHERE Symbol NOT IN {CORRECTED_SYMBOLS}
+        UNION ALL SELECT 'link', Symbol, Date, NULL, {T1} FROM early
+        UNION ALL SELECT 'link', Symbol, Date, NULL, {T2} FROM late WHERE (Symbol, Date) NOT IN (SELECT (Symbol, Date) FROM early)
+        UNION ALL SELECT 'satellite', Symbol, Date, Close, {T1} FROM early
+        UNION ALL SELECT 'satellite', Symbol, Date, Close, {T2} FROM (SELECT {BARS} FROM late EXCEPT SELECT {BARS} FROM early)
+        UNION ALL SELECT 'view', Symbol, Date, Close, NULL FROM merged WHERE Symbol IN (SELECT symbol FROM raw1 UNION SELECT symbol FROM raw2)
+        """,
+        *DAILY_CTES,
+        "merged",
+        "raw1",
+        "raw2",
+    ),
+)
+def mrg_correct_earlier(spark, d):
+    """Batch 1 was loaded with bars missing and wrong; it is corrected and what was merged on it runs again."""
+    base, bars = shared_dir(spark, "vault-correct"), fr.hist(spark, d)
+    wrong = fr.early(bars).filter("Symbol NOT LIKE '%7'").withColumn("Close", F.col("Close") + 5)
+    feeds = {
+        ("historicals", 1): wrong,
+        ("sat_company_info", 1): fr.company(spark, d, 1),
+        ("historicals", 2): fr.late(fr.restated(bars)),
+        ("sat_company_info", 2): fr.company(spark, d, 2),
+    }
+    runs = {"historicals": run_vault_daily, "sat_company_info": run_vault_company}
+    for (load, k), rows in feeds.items():
+        runs[load](rows, Batch(base, k, LOADS[k]))
+    feeds["historicals", 1] = fr.early(bars)
+    replay_vault(spark, base, 1, lambda load, k: (feeds[load, k], Batch(base, k, LOADS[k])))
+
+    vault = open_vault(spark, base)
+    hubs = vault["hub_instrument"].select("Instrument_HK", "Symbol", "Load_DTS")
+    days = vault["hub_calendar"].select("Calendar_HK", "Date")
+    links = vault["link_instrument_day"].join(hubs.drop("Load_DTS"), "Instrument_HK").join(days, "Calendar_HK")
+    none, at = F.lit(None).cast("double").alias("Close"), F.lit(None).cast("timestamp_ntz").alias("Load_DTS")
+    parts = (
+        hubs.select(F.lit("hub").alias("part"), "Symbol", F.lit(None).cast("date").alias("Date"), none, "Load_DTS"),
+        links.select(F.lit("link"), "Symbol", "Date", none, "Load_DTS"),
+        fr.bars_by_key(vault).select(F.lit("satellite"), "Symbol", "Date", "Close", "Load_DTS"),
+        instrument_daily_view(vault).select(F.lit("view"), "Symbol", "Date", "Close", at),
+    )
+    return reduce(DataFrame.union, parts)
+
+
 COUNTED = (
     "hub_instrument",
     "hub_calendar",
@@ -523,6 +578,55 @@ def src_compacted(spark, d):
     return read_bronze(spark, base, HISTORICALS)
 
 
+@query("src_compacted_rerun", ORACLES["job_bronze_daily"])
+def src_compacted_rerun(spark, d):
+    """Both batches compacted, then batch 1 corrected: the compaction no longer fits and is not read."""
+    base, bars = shared_dir(spark, "bronze-compacted-rerun"), fr.hist(spark, d)
+    wrong = fr.early(bars).filter("Symbol NOT LIKE '%7'").withColumn("Close", F.col("Close") + 5)
+    run_bronze_daily(fr.raw_daily(wrong), Batch(base, 1, LOADS[1]))
+    run_bronze_daily(fr.raw_daily(fr.late(fr.restated(bars))), Batch(base, 2, LOADS[2]))
+    compact_bronze(spark, base, HISTORICALS, 2)
+    run_bronze_daily(fr.raw_daily(fr.early(bars)), Batch(base, 1, LOADS[1]))
+    compact_bronze(spark, base, HISTORICALS, 1)
+    return read_bronze(spark, base, HISTORICALS)
+
+
+@query(
+    "src_detail",
+    sql(
+        "SELECT CAST(1 AS BIGINT) AS batch_id, count(*) AS n_rows, count(DISTINCT year(Date)) AS n_partitions FROM early UNION ALL "
+        "SELECT 2, count(*), count(DISTINCT year(Date)) FROM late",
+        "early",
+        "late",
+    ),
+)
+def src_detail(spark, d):
+    """Rows and calendar periods of each batch of a bronze log, by its files."""
+    base, bars = shared_dir(spark, "bronze-detail"), fr.hist(spark, d)
+    run_bronze_daily(fr.raw_daily(fr.early(bars)), Batch(base, 1, LOADS[1]))
+    run_bronze_daily(fr.raw_daily(fr.late(fr.restated(bars))), Batch(base, 2, LOADS[2]))
+    return detail(spark, HISTORICALS.location(base), PERIOD).select("batch_id", "n_rows", "n_partitions")
+
+
+@query(
+    "job_bronze_minute_rejects",
+    sql(
+        f"SELECT CASE WHEN Volume % 2 <> 0 THEN DateTime END AS DateTime, CASE WHEN minute(DateTime) % 5 <> 0 THEN Symbol END AS Symbol, {PRICES}, "
+        "concat_ws(',', CASE WHEN Volume % 2 = 0 THEN 'datetime_check' END, CASE WHEN minute(DateTime) % 5 = 0 THEN 'symbol_check' END) AS broken_rules "
+        "FROM minute WHERE Volume % 2 = 0 OR minute(DateTime) % 5 = 0",
+        "minute",
+    ),
+)
+def job_bronze_minute_rejects(spark, d):
+    """Minute bars whose time can't be parsed or that have no symbol, with the rules that they break."""
+    base, raw = shared_dir(spark, "bronze-minute-rejects"), fr.raw_minute(fr.minute(spark, d))
+    minute = F.substring("Datetime", 15, 2).cast("int")
+    raw = raw.withColumn("Symbol", F.when(minute % 5 != 0, F.col("Symbol")))
+    raw = raw.withColumn("Datetime", F.when(F.col("Volume") % 2 == 0, "no time").otherwise(F.col("Datetime")))
+    run_bronze_minute(raw, Batch(base, 1, LOADS[1]))
+    return read_rejects(spark, base, MINUTE_HISTORICALS, 1)
+
+
 @query("job_bronze_rejects", ORACLES["dq_rejects"])
 def job_bronze_rejects(spark, d):
     """What a bronze load turned away, each row with the rules that it breaks."""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import frames as fr
@@ -26,7 +29,7 @@ from pricevault.operators.quality import (
     rule_counts,
     split_by_rules,
 )
-from pricevault.schemas import BAR_CHECKS, DAY, HUB_INSTRUMENT, MINUTE, PRICE_COLUMNS
+from pricevault.schemas import BAR_CHECKS, DAY, HUB_INSTRUMENT, MINUTE, PRICE_COLUMNS, VAULT_TABLES
 
 BARS = "Date, Symbol, Open, High, Low, Close, Volume, Dividends, Stock_Splits"
 MINUTES = BARS.replace("Date,", "DateTime,")
@@ -285,24 +288,51 @@ def dq_rule_counts(spark, d):
     return rule_counts(fr.flawed(fr.hist(spark, d)), BAR_CHECKS)
 
 
+def _gaps(time: str, unit: str, prefix: str) -> dict[str, str]:
+    """Columns of a grain's vault rows in SQL, with gaps: no time, symbol, load time or source here and there."""
+    at = f"CASE WHEN Volume % 11 <> 0 THEN {time} END"
+    symbol = "CASE WHEN Volume % 29 <> 0 THEN Symbol END"
+    load = f"CASE WHEN Volume % 13 <> 0 THEN CAST('{fr.LOADS[1]}' AS {{ntz}}) END"
+    return {
+        "Symbol": symbol,
+        time: at,
+        "Instrument_HK": f"md5({symbol})",
+        f"{prefix}_HK": f"md5(CAST({at} AS {{text}}))",
+        f"Instrument_{unit}_LK": f"md5({symbol} || '|' || CAST({at} AS {{text}}))",
+        "Load_DTS": load,
+        "Effective_DTS": load,
+        "Record_Source": f"CASE WHEN Volume % 31 <> 0 THEN '{fr.SOURCE}' END",
+    }
+
+
+DAY_GAPS, MINUTE_GAPS = _gaps("Date", "Day", "Calendar"), _gaps("DateTime", "Minute", "Time")
+
+
+def _of_minutes(spec) -> bool:
+    return any(x in spec.columns for x in ("Time_HK", "Instrument_Minute_LK"))
+
+
 @query(
     "dq_not_null",
     sql(
-        "SELECT 'Instrument_HK_not_null' AS rule, count(*) AS n_broken FROM flawed "
-        "WHERE Symbol IS NULL UNION ALL "
-        "SELECT 'Symbol_not_null', count(*) FROM flawed WHERE Symbol IS NULL UNION ALL "
-        "SELECT 'Load_DTS_not_null', 0 UNION ALL SELECT 'Record_Source_not_null', 0",
-        "flawed",
+        " UNION ALL ".join(
+            f"SELECT '{t.name}' AS table_name, '{c}_not_null' AS rule, count(*) AS n_broken FROM {'minute' if _of_minutes(t) else 'hist'} "
+            f"WHERE ({(MINUTE_GAPS if _of_minutes(t) else DAY_GAPS)[c].format(ntz='TIMESTAMP', text='VARCHAR')}) IS NULL"
+            for t in VAULT_TABLES
+            for c in t.not_null
+        ),
+        "hist",
+        "minute",
     ),
 )
 def dq_not_null(spark, d):
-    rows = fr.flawed(fr.hist(spark, d)).select(
-        F.md5("Symbol").alias("Instrument_HK"),
-        "Symbol",
-        F.lit(fr.LOADS[1]).cast("timestamp_ntz").alias("Load_DTS"),
-        F.lit(fr.SOURCE).alias("Record_Source"),
-    )
-    return rule_counts(rows, not_null_rules(HUB_INSTRUMENT.table))
+    """NULLs in the required columns of all vault tables, over rows with gaps in every one."""
+    counts = []
+    for spec in VAULT_TABLES:
+        bars, gaps = (fr.minute(spark, d), MINUTE_GAPS) if _of_minutes(spec) else (fr.hist(spark, d), DAY_GAPS)
+        rows = bars.selectExpr(*[f"{gaps[c].format(ntz='TIMESTAMP_NTZ', text='STRING')} AS {c}" for c in spec.not_null])
+        counts.append(rule_counts(rows, not_null_rules(spec)).select(F.lit(spec.name).alias("table_name"), "rule", "n_broken"))
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query(

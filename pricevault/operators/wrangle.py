@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,10 +40,10 @@ def bar_shape(df: DataFrame, grain: Grain) -> DataFrame:
     return df.select(*grain.bronze.columns)
 
 
-def to_bronze(df: DataFrame, grain: Grain, symbol: str | None = None) -> DataFrame:
-    """Raw bars to the bronze bar table."""
+def to_bronze(df: DataFrame, grain: Grain, symbol: str | None = None, extra: Sequence[str] = ()) -> DataFrame:
+    """Raw bars to the bronze bar table; ``extra`` columns of the scan are kept behind it."""
     named = ensure_symbol(parse_time(rename(df, BAR_NAMES), grain), symbol)
-    return bar_shape(named, grain)
+    return named.select(*grain.bronze.columns, *extra)
 
 
 def with_pe(df: DataFrame) -> DataFrame:
@@ -54,6 +54,6 @@ def company_shape(df: DataFrame) -> DataFrame:
     return df.select(*COMPANY.columns)
 
 
-def to_bronze_company(df: DataFrame) -> DataFrame:
-    """Raw company facts to the bronze company table."""
-    return company_shape(rename(with_pe(df), COMPANY_NAMES))
+def to_bronze_company(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Raw company facts to the bronze company table; ``extra`` columns of the scan are kept behind it."""
+    return rename(with_pe(df), COMPANY_NAMES).select(*COMPANY.columns, *extra)

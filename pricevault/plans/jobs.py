@@ -1,11 +1,13 @@
 """Whole loads, bronze and vault: read, stage, merge, write one batch.
 
 Every job takes the batch's number and load time as parameters and reads only earlier
-batches, so running it again, after a failure or by mistake, gives the same tables.
+batches, so running it again, after a failure or by mistake, gives the same tables. Vault loads of an earlier
+batch are refused once later ones were merged on it; ``replay_vault`` corrects it and runs those again.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
@@ -19,7 +21,7 @@ from pyspark.sql import types as T
 from pricevault.catalog import create_schema, register_external
 from pricevault.operators.history import intervals
 from pricevault.operators.keyed import unique_keys
-from pricevault.operators.quality import BROKEN, assert_not_null, not_null_rules, split_by_rules
+from pricevault.operators.quality import BROKEN, assert_not_null, broken_rules
 from pricevault.operators.wrangle import ensure_symbol, to_bronze, to_bronze_company
 from pricevault.plans.staging import stage_bars, stage_company
 from pricevault.plans.vault import (
@@ -32,21 +34,29 @@ from pricevault.plans.vault import (
 from pricevault.schemas import (
     COMPANY,
     DAY,
+    HISTORICALS,
     HUB_INSTRUMENT,
     HUBS,
     MINUTE,
+    MINUTE_HISTORICALS,
     SAT_COMPANY_INFO,
     Grain,
     HubSpec,
     SatSpec,
     TableSpec,
 )
-from pricevault.sources.tablelog import BATCH, LOAD, append_log, read_as_of, read_log
+from pricevault.sources.readers import RAW_FILE, RAW_LINE
+from pricevault.sources.runs import Run, all_runs, fingerprint, stale_runs, start_run
+from pricevault.sources.tablelog import BATCH, LOAD, append_log, by_partition, read_as_of, read_log
 
 #: Partition column of the bar-sized vault tables: the calendar period of the bar. A batch
 #: is merged against the periods it touches, not against the whole table.
 PERIOD = "_period"
 PERIOD_FIELD = T.StructField(PERIOD, T.DateType())
+#: Partition column of bronze logs: accepted rows and those that a rule turned away.
+REJECTED = "_rejected"
+REJECTED_FIELD = T.StructField(REJECTED, T.BooleanType())
+COMPACTED = T.StructType([T.StructField("folder", T.StringType()), T.StructField("reads", T.StringType())])
 
 
 @dataclass(frozen=True)
@@ -59,40 +69,77 @@ class Batch:
     record_source: str = "historicals"
     symbol: str | None = None
     register_in: str | None = None
+    #: Run although later batches were merged on this one; they are stale until they are run again.
+    over_later: bool = False
 
 
 # Bronze
 
 
 def run_bronze_company(facts: DataFrame, batch: Batch) -> None:
-    """Raw company facts -> bronze company, upserted by symbol."""
-    rows = unique_keys(to_bronze_company(facts), COMPANY.keys, [F.col("longName")])
-    append_log(rows, COMPANY.location(batch.base), batch.batch_id)
+    """Raw company facts -> bronze company, upserted by symbol; unreadable records go to rejects."""
+    return _run_bronze(to_bronze_company(facts, _raw(facts)), COMPANY, F.col("longName"), batch)
 
 
 def run_bronze_daily(bars: DataFrame, batch: Batch) -> None:
     """Raw daily bars -> bronze bars, upserted by symbol and date; rows that break a rule go to rejects."""
-    _run_bronze_bars(bars, DAY, batch)
+    return _run_bronze(to_bronze(bars, DAY, batch.symbol, _raw(bars)), HISTORICALS, F.col("Close"), batch, period(DAY))
 
 
 def run_bronze_minute(bars: DataFrame, batch: Batch) -> None:
-    """Raw minute bars -> bronze bars, upserted by symbol and minute."""
-    _run_bronze_bars(bars, MINUTE, batch)
+    """Raw minute bars -> bronze bars, upserted by symbol and minute; bars without either go to rejects."""
+    return _run_bronze(to_bronze(bars, MINUTE, batch.symbol, _raw(bars)), MINUTE_HISTORICALS, F.col("Close"), batch, period(MINUTE))
 
 
-def _run_bronze_bars(bars: DataFrame, grain: Grain, batch: Batch) -> None:
-    table = grain.bronze
-    good, bad = split_by_rules(to_bronze(bars, grain, batch.symbol), table.checks or not_null_rules(table))
-    rows = unique_keys(good, table.keys, [F.col("Close")])
-    append_log(rows.withColumn(PERIOD, period(grain)), table.location(batch.base), batch.batch_id, [PERIOD])
-    append_log(bad, f"{table.location(batch.base)}_rejects", batch.batch_id)
+def _raw(df: DataFrame) -> list[str]:
+    return [c for c in (RAW_LINE, RAW_FILE) if c in df.columns]
 
 
-def read_rejects(spark: SparkSession, base: str, spec: TableSpec, batch_id: int) -> DataFrame:
-    """The rows that a bronze load turned away, with the names of the rules they break."""
-    schema = T.StructType([*spec.schema.fields, T.StructField(BROKEN, T.StringType())])
-    log = read_log(spark, f"{spec.location(base)}_rejects", schema)
-    return log.filter(F.col(BATCH) == batch_id).drop(BATCH)
+def _run_bronze(rows: DataFrame, table: TableSpec, order: Column, batch: Batch, when: Column | None = None) -> None:
+    """Write one batch, accepted and rejected rows side by side, from one scan of the source.
+
+    The verdict is a partition column, so a read of either opens its files only. Accepted rows must be
+    unique by key; a rejected row is a key of its own. ``reject_counts`` reads the verdicts back.
+    """
+    spark, path = rows.sparkSession, table.location(batch.base)
+    rules = {**({"readable": f"{RAW_LINE} IS NULL"} if RAW_LINE in rows.columns else {}), **table.checks}
+    for name in (RAW_LINE, RAW_FILE):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast("string"))
+    start_run(spark, _bronze_runs(batch.base, table), batch.batch_id, table.name, over_later=True)
+    judged = rows.withColumn(BROKEN, broken_rules(rules)).withColumn(REJECTED, F.col(BROKEN) != "")
+    judged = judged.withColumn("_only", F.when(F.col(REJECTED), F.monotonically_increasing_id()))
+    kept = unique_keys(judged, [*table.keys, "_only"], [order]).drop("_only")
+    layout = [REJECTED]
+    if when is not None:
+        kept, layout = kept.withColumn(PERIOD, when), [REJECTED, PERIOD]
+    append_log(kept, path, batch.batch_id, layout)
+
+
+def _bronze_runs(base: str, table: TableSpec) -> str:
+    return f"{table.location(base)}_runs"
+
+
+def _bronze_log(spark: SparkSession, base: str, spec: TableSpec, upto: int | None = None) -> DataFrame:
+    grain = _bronze_grain(spec)
+    extra = [T.StructField(x, T.StringType()) for x in (RAW_LINE, RAW_FILE, BROKEN)]
+    schema = T.StructType([*spec.schema.fields, *extra, REJECTED_FIELD, *([PERIOD_FIELD] if grain else [])])
+    return read_log(spark, spec.location(base), schema, upto)
+
+
+def read_rejects(spark: SparkSession, base: str, spec: TableSpec, batch_id: int, raw: bool = False) -> DataFrame:
+    """The rows that a bronze load turned away, with the names of the rules they break.
+
+    ``raw`` adds the unreadable record's text and the file that it stands in, for scans that keep them.
+    """
+    log = _bronze_log(spark, base, spec).filter(F.col(REJECTED) & (F.col(BATCH) == batch_id))
+    return log.select(*spec.columns, BROKEN, *((RAW_LINE, RAW_FILE) if raw else ()))
+
+
+def reject_counts(spark: SparkSession, base: str, spec: TableSpec, batch_id: int) -> DataFrame:
+    """Rows of a batch that break each rule, from the rejected rows alone: ``rule``, ``n_broken``."""
+    broken = read_rejects(spark, base, spec, batch_id).select(F.explode(F.split(BROKEN, ",")).alias("rule"))
+    return broken.groupBy("rule").agg(F.count(F.lit(1)).alias("n_broken"))
 
 
 def read_bronze(
@@ -114,27 +161,46 @@ def read_bronze(
 def compact_bronze(spark: SparkSession, base: str, spec: TableSpec, upto: int) -> None:
     """Store the newest row of each key after batch ``upto``, so that reads rank later batches only.
 
-    The log stays, and a read of an earlier batch still uses it. Compact again after an
-    earlier batch was run again.
+    The log stays, and a read of an earlier batch still uses it. Each compaction has a folder of its own, and
+    counts once its record is there. The record names the runs of the batches that went into it: when one of them
+    is run again, the compaction no longer fits and is not read, nor built upon; compact again then.
     """
-    rows = _newest_rows(spark, base, spec, upto, None)
-    append_log(rows, f"{spec.location(base)}_compacted", upto, [PERIOD] if PERIOD in rows.columns else [])
+    sources = [r for r in all_runs(spark, _bronze_runs(base, spec)) if r.batch_id <= upto]
+    rows = _newest_rows(spark, base, spec, upto, None).withColumn(BATCH, F.lit(upto).cast("long"))
+    folder = uuid.uuid4().hex
+    packed = by_partition(rows, [PERIOD] if PERIOD in rows.columns else []).write
+    packed.partitionBy(*[c for c in (BATCH, PERIOD) if c in rows.columns]).parquet(f"{spec.location(base)}_compacted/{folder}")
+    record = spark.createDataFrame([(folder, fingerprint(sources))], COMPACTED).coalesce(1)
+    append_log(record, f"{spec.location(base)}_compactions", upto)
 
 
 def _bronze_grain(spec: TableSpec) -> Grain | None:
     return next((g for g in (DAY, MINUTE) if g.bronze == spec), None)
 
 
+def compacted_folder(spark: SparkSession, base: str, spec: TableSpec, upto: int | None) -> tuple[int, str] | None:
+    """Batch and folder of the newest compaction that fits the runs of its batches."""
+    records = read_log(spark, f"{spec.location(base)}_compactions", COMPACTED, upto, may_be_new=True).collect()
+    if not records:
+        return None
+    runs = all_runs(spark, _bronze_runs(base, spec))
+    for r in sorted(records, key=lambda r: r[BATCH], reverse=True):
+        if r.reads == fingerprint(x for x in runs if x.batch_id <= r[BATCH]):
+            return r[BATCH], f"{spec.location(base)}_compacted/{r.folder}"
+    return None
+
+
 def _newest_rows(
     spark: SparkSession, base: str, spec: TableSpec, upto: int | None, days: tuple[str, str] | None
 ) -> DataFrame:
     grain = _bronze_grain(spec)
-    schema = T.StructType([*spec.schema.fields, *([PERIOD_FIELD] if grain else [])])
-    log = read_log(spark, spec.location(base), schema, upto)
-    packed = read_log(spark, f"{spec.location(base)}_compacted", schema, upto, may_be_new=True)
-    at = packed.agg(F.max(BATCH)).first()[0]  # a partition column
-    if at is not None:
-        log = packed.filter(F.col(BATCH) == at).unionByName(log.filter(F.col(BATCH) > at))
+    columns = [*spec.columns, *([PERIOD] if grain else []), BATCH]
+    log = _bronze_log(spark, base, spec, upto).filter(~F.col(REJECTED)).select(*columns)
+    packed = compacted_folder(spark, base, spec, upto)
+    if packed:
+        at, folder = packed
+        schema = T.StructType([*spec.schema.fields, *([PERIOD_FIELD] if grain else [])])
+        log = read_log(spark, folder, schema).select(*columns).unionByName(log.filter(F.col(BATCH) > at))
     if days and grain:
         log = log.filter(F.col(PERIOD).between(*(F.trunc(F.lit(d).cast("date"), grain.period) for d in days)))
     return read_as_of(log, spec.keys, F.lit(2**62) if upto is None else upto)
@@ -142,8 +208,8 @@ def _newest_rows(
 
 def read_batch(spark: SparkSession, base: str, spec: TableSpec, batch_id: int) -> DataFrame:
     """The rows one batch brought to a bronze table: the input of that batch's vault load."""
-    log = read_log(spark, spec.location(base), spec.schema)
-    return log.filter(F.col(BATCH) == batch_id).select(*spec.columns)
+    log = _bronze_log(spark, base, spec)
+    return log.filter(~F.col(REJECTED) & (F.col(BATCH) == batch_id)).select(*spec.columns)
 
 
 # Vault
@@ -162,11 +228,12 @@ def run_vault_minute(source: DataFrame, batch: Batch) -> None:
 def run_vault_company(source: DataFrame, batch: Batch, spec: SatSpec = SAT_COMPANY_INFO) -> None:
     """Company facts -> instrument hub, versioned company satellite."""
     spark = source.sparkSession
+    _, before = start_run(spark, _vault_runs(batch.base), batch.batch_id, spec.table.name, batch.over_later)
     staged = stage_company(source, batch.load_dts, batch.record_source, spec)
     log = _earlier(spark, spec.table, batch, version_columns(spec))
     _write_all(
         spark,
-        lambda: _write_hub(spark, batch, staged, HUB_INSTRUMENT, spec.table.name),
+        lambda: _write_hub(spark, batch, staged, HUB_INSTRUMENT, spec.table.name, before),
         lambda: _write(batch, spec.table, load_sat_versions(log, staged, spec)),
     )
     _register(spark, batch, [HUB_INSTRUMENT.table])
@@ -174,6 +241,7 @@ def run_vault_company(source: DataFrame, batch: Batch, spec: SatSpec = SAT_COMPA
 
 def _run_vault_bars(source: DataFrame, grain: Grain, batch: Batch) -> None:
     spark = source.sparkSession
+    _, before = start_run(spark, _vault_runs(batch.base), batch.batch_id, grain.bronze.name, batch.over_later)
     bars = ensure_symbol(source, batch.symbol)
     staged = stage_bars(bars, grain, batch.load_dts, batch.record_source)
     staged = staged.withColumn(PERIOD, period(grain))
@@ -195,8 +263,8 @@ def _run_vault_bars(source: DataFrame, grain: Grain, batch: Batch) -> None:
 
     _write_all(
         spark,
-        lambda: _write_hub(spark, batch, staged, HUB_INSTRUMENT, grain.bronze.name),
-        lambda: _write_hub(spark, batch, staged, grain.hub, grain.bronze.name),
+        lambda: _write_hub(spark, batch, staged, HUB_INSTRUMENT, grain.bronze.name, before),
+        lambda: _write_hub(spark, batch, staged, grain.hub, grain.bronze.name, before),
         write_link,
         write_sat,
     )
@@ -220,15 +288,34 @@ def _write(batch: Batch, spec: TableSpec, rows: DataFrame, partition_by=()) -> N
     append_log(_required(rows, spec), spec.location(batch.base), batch.batch_id, partition_by)
 
 
-def _write_hub(spark: SparkSession, batch: Batch, staged: DataFrame, hub: HubSpec, load: str) -> None:
-    """Add a load's business keys; a batch's other loads write to the same hub and are left alone."""
+def _write_hub(spark: SparkSession, batch: Batch, staged: DataFrame, hub: HubSpec, load: str, before: list[Run]) -> None:
+    """Add a load's business keys that neither an earlier batch nor a load before it in this one has."""
     path = hub.table.location(batch.base)
     schema = T.StructType([*hub.table.schema.fields, T.StructField(LOAD, T.StringType())])
     log = read_log(spark, path, schema, batch.batch_id, may_be_new=True)
-    known = log.filter((F.col(BATCH) < batch.batch_id) | (F.col(LOAD) != load))
+    own = [r.load for r in before if r.batch_id == batch.batch_id]
+    known = log.filter((F.col(BATCH) < batch.batch_id) | F.col(LOAD).isin(own))
     append_log(_required(load_hub(known, staged, hub), hub.table), path, batch.batch_id, load=load)
 
 
+def _vault_runs(base: str) -> str:
+    return f"{base.rstrip('/')}/vault_runs"
+
+
+def replay_vault(spark: SparkSession, base: str, first: int, source: Callable[[str, int], tuple[DataFrame, Batch]]) -> None:
+    """Run all vault loads of batch ``first`` and later again, in their order.
+
+    ``source`` gives the rows and the batch of a load by its name (the bronze bar table's, or the company
+    satellite's) and batch number. Use it to correct an earlier batch. If it stops half-way, the loads that
+    are still to come are stale and ``open_vault`` refuses them; call it again.
+    """
+    jobs = {DAY.bronze.name: run_vault_daily, MINUTE.bronze.name: run_vault_minute, SAT_COMPANY_INFO.table.name: run_vault_company}
+    for run in all_runs(spark, _vault_runs(base)):
+        if run.batch_id >= first:
+            rows, batch = source(run.load, run.batch_id)
+            jobs[run.load](rows, replace(batch, over_later=True))
+
+
 def _required(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """The rows; the load stops at a NULL in a required column that the rows carry."""
     stored = replace(spec, schema=T.StructType([f for f in spec.schema if f.name in rows.columns]))
@@ -277,7 +364,8 @@ def open_vault(
     """Vault tables in their declared shape, after batch ``upto`` (all by default).
 
     Every load fills the instrument hub, so a base without it is no vault and is refused; a
-    table that no job has filled yet is empty.
+    table that no job has filled yet is empty. A vault of which a later load was merged on a run that has been
+    replaced since is refused as well, unless ``upto`` leaves that load out.
 
     ``days`` (first and last day, both included) opens only the calendar periods that hold
     bars of these days: other periods are pruned before any file is read. A bar's versions
@@ -292,6 +380,9 @@ def open_vault(
             log = log.filter(F.col(PERIOD).between(first, last))
         return log.select(*columns)
 
+    stale = [r for r in stale_runs(all_runs(spark, _vault_runs(base))) if upto is None or r.batch_id <= upto]
+    if stale:
+        raise ValueError(f"to be run again: {', '.join(f'batch {r.batch_id} {r.load}' for r in stale)}")
     vault = {}
     for hub in HUBS:
         log = read_log(spark, hub.table.location(base), hub.table.schema, upto, hub is not HUB_INSTRUMENT)

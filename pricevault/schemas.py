@@ -103,6 +103,10 @@ BAR_CHECKS = {
     "positive_volume": "Volume IS NOT NULL AND Volume > 0",
 }
 
+#: A minute bar needs its key; its prices are not judged.
+MINUTE_CHECKS = {"datetime_check": "DateTime IS NOT NULL", "symbol_check": "Symbol IS NOT NULL"}
+COMPANY_CHECKS = {"symbol_check": "symbol IS NOT NULL"}
+
 # Bronze
 HISTORICALS = TableSpec(
     "historicals",
@@ -117,6 +121,7 @@ MINUTE_HISTORICALS = TableSpec(
     keys=("Symbol", "DateTime"),
     partition_by=("Symbol",),
     subpath="historicals_minute",
+    checks=MINUTE_CHECKS,
 )
 COMPANY = TableSpec(
     "company",
@@ -133,6 +138,7 @@ COMPANY = TableSpec(
         ("forwardEps", DOUBLE),
     ),
     keys=("symbol",),
+    checks=COMPANY_CHECKS,
 )
 BRONZE_TABLES = (HISTORICALS, COMPANY, MINUTE_HISTORICALS)
 

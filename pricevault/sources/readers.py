@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,9 @@ from pricevault.schemas import RAW_COMPANY, Grain
 SYMBOL_FOLDER = r"([^/]+)/historical(?:_minute)?/[^/]+$"
 SYMBOL_PARTITION = r"Symbol=([^/]+)/[^/]+$"
 
+#: Columns of a scan that keeps records it can't read: the record's text (NULL for a good one) and its file.
+RAW_LINE, RAW_FILE = "_raw_line", "_raw_file"
+
 COMPANY_GLOB = "*/info/meta.json"
 
 
@@ -20,22 +23,37 @@ def _symbol_from_path(pattern: str):
     return F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
 
 
+def _with_raw(scan: DataFrameReader, schema: T.StructType) -> DataFrameReader:
+    """A scan that leaves what it can't read NULL and keeps that record's text."""
+    kept = T.StructType([*schema.fields, T.StructField(RAW_LINE, T.StringType())])
+    return scan.schema(kept).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW_LINE)
+
+
 def read_bars_csv(
     spark: SparkSession,
     base: str,
     grain: Grain,
     glob: str | None = None,
     symbol_pattern: str = SYMBOL_FOLDER,
+    keep_broken: bool = False,
 ) -> DataFrame:
-    """Raw bars of all symbols below ``base``; ``Symbol`` comes from each file's path."""
+    """Raw bars of all symbols below ``base``; ``Symbol`` comes from each file's path.
+
+    ``keep_broken`` adds the text of lines that don't fit the schema and every line's file, for the
+    rejects of a bronze load.
+    """
     files = f"{base.rstrip('/')}/{glob or grain.raw_glob}"
-    bars = spark.read.schema(grain.raw_schema).option("header", True).csv(files)
-    return bars.withColumn("Symbol", _symbol_from_path(symbol_pattern))
+    scan = spark.read.option("header", True)
+    scan = _with_raw(scan, grain.raw_schema) if keep_broken else scan.schema(grain.raw_schema)
+    bars = scan.csv(files).withColumn("Symbol", _symbol_from_path(symbol_pattern))
+    return bars.withColumn(RAW_FILE, F.col("_metadata.file_path")) if keep_broken else bars
 
 
-def read_company_json(spark: SparkSession, base: str, glob: str = COMPANY_GLOB) -> DataFrame:
-    """The company facts the warehouse uses, from one JSON object per symbol."""
-    return spark.read.schema(RAW_COMPANY).json(f"{base.rstrip('/')}/{glob}")
+def read_company_json(spark: SparkSession, base: str, glob: str = COMPANY_GLOB, keep_broken: bool = False) -> DataFrame:
+    """The company facts the warehouse uses, from one JSON object per symbol; ``keep_broken`` as for bars."""
+    scan = _with_raw(spark.read, RAW_COMPANY) if keep_broken else spark.read.schema(RAW_COMPANY)
+    facts = scan.json(f"{base.rstrip('/')}/{glob}")
+    return facts.withColumn(RAW_FILE, F.col("_metadata.file_path")) if keep_broken else facts
 
 
 def read_source(

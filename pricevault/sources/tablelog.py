@@ -108,3 +108,18 @@ def history(log: DataFrame, keys: Sequence[str], loaded: str = "Load_DTS") -> Da
         F.count_if("_new").alias("n_inserted"),
         F.count_if(~F.col("_new")).alias("n_updated"),
     ).withColumnRenamed(BATCH, "batch_id")
+
+
+def detail(spark: SparkSession, path: str, partition: str | None = None) -> DataFrame:
+    """One row per batch of a log: files, bytes, rows, and values of its ``partition`` column.
+
+    Files are told apart by the scan's hidden metadata; rows are counted per file in the map tasks.
+    """
+    log = spark.read.parquet(path)
+    place = [F.col(partition).alias("_part")] if partition else []
+    per_file = log.groupBy(BATCH, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_size"), *place)
+    files = per_file.agg(F.count(F.lit(1)).alias("_rows"))
+    parts = F.count_distinct("_part") if partition else F.lit(0).cast("bigint")
+    return files.groupBy(F.col(BATCH).cast("bigint").alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("_size").alias("n_bytes"), F.sum("_rows").alias("n_rows"), parts.alias("n_partitions")
+    )

@@ -38,6 +38,17 @@ def test_equals_plain_window(bars, ahead):
     assert plain.exceptAll(cut).count() == 0
 
 
+@pytest.mark.parametrize("ahead", [False, True])
+def test_equals_plain_window_without_ties(bars, ahead):
+    once = bars.groupBy("Symbol", "Date").agg(F.max_by("Close", "n").alias("Close"), F.max("n").alias("n"))
+    window = Window.partitionBy("Symbol").orderBy("Date")
+    plain = once.withColumn("p", (F.lead if ahead else F.lag)("Close").over(window))
+    cut = with_neighbour(once, "Close", "p", ["Symbol"], "Date", ahead=ahead)
+    assert cut.exceptAll(plain).count() == 0 and plain.exceptAll(cut).count() == 0
+    aggregates = [x for x in cut._jdf.queryExecution().executedPlan().toString().split("\n") if "max_by" in x or "min_by" in x]
+    assert aggregates and all(" HashAggregate" in x for x in aggregates)
+
+
 @pytest.fixture(scope="module")
 def feed(spark):
     rng = random.Random(11)

@@ -14,13 +14,19 @@ from pricevault import catalog as cat
 from pricevault import shared_dir
 from pricevault.plans.jobs import (
     Batch,
+    PERIOD,
     compact_bronze,
+    compacted_folder,
     open_vault,
     publish,
     read_batch,
     read_bronze,
+    read_rejects,
+    reject_counts,
+    replay_vault,
     run_bronze_company,
     run_bronze_daily,
+    run_bronze_minute,
     run_vault_company,
     run_vault_daily,
     run_vault_minute,
@@ -28,8 +34,8 @@ from pricevault.plans.jobs import (
 from pricevault.operators.views import instrument_daily_view
 from pricevault.schemas import BRONZE_TABLES, COMPANY, DAY, HISTORICALS, MINUTE, VAULT_TABLES
 from pricevault.sources.landing import land_once, landed_symbols, read_landed
-from pricevault.sources.readers import read_bars_csv, read_company_json, read_source
-from pricevault.sources.tablelog import append_log, ensure_table, read_as_of, read_log
+from pricevault.sources.readers import RAW_FILE, RAW_LINE, read_bars_csv, read_company_json, read_source
+from pricevault.sources.tablelog import append_log, detail, ensure_table, read_as_of, read_log
 
 HEADER = "{},Open,High,Low,Close,Volume,Dividends,Stock Splits\n"
 FACTS = {
@@ -239,3 +245,104 @@ def test_bronze_reads_prune_periods_and_use_the_compacted_batch(spark, sf_dir):
     assert "(_period" in text.split("PartitionFilters: ")[1].split("PushedFilters")[0]
     assert 0 < month.count() < whole.count() / 3
     assert read_bronze(spark, base, HISTORICALS, upto=0).count() == 0
+
+
+def test_broken_lines_are_kept_with_their_file(spark, raw, tmp_path):
+    bad = tmp_path / "AB.TO" / "historical" / "daily.csv"
+    bad.write_text(bad.read_text() + "2025-01-06 00:00:00-05:00,1.5,oops,1.0,2.0,7,0.0,0.0\nnot a bar\n")
+    facts = tmp_path / "C D" / "info" / "meta.json"
+    facts.write_text(facts.read_text() + '\n{"symbol": "C D", "marketCap": \n')
+    base, batch = shared_dir(spark, "broken"), "2025-02-01 00:00:00"
+    run_bronze_daily(read_bars_csv(spark, raw, DAY, keep_broken=True), Batch(base, 1, batch))
+    run_bronze_company(read_company_json(spark, raw, keep_broken=True), Batch(base, 1, batch))
+    assert read_bronze(spark, base, HISTORICALS).count() == 4
+    assert sorted(r.symbol for r in read_bronze(spark, base, COMPANY).collect()) == ["AB.TO", "C D"]
+    found = read_rejects(spark, base, HISTORICALS, 1, raw=True).collect()
+    assert sorted(r[RAW_LINE] for r in found) == ["2025-01-06 00:00:00-05:00,1.5,oops,1.0,2.0,7,0.0,0.0", "not a bar"]
+    assert all(r[RAW_FILE].endswith("AB.TO/historical/daily.csv") and r.broken_rules.startswith("readable") for r in found)
+    found = read_rejects(spark, base, COMPANY, 1, raw=True).collect()
+    assert [(r[RAW_LINE].startswith('{"symbol": "C D"'), r.broken_rules) for r in found] == [(True, "readable,symbol_check")]
+    counts = {r.rule: r.n_broken for r in reject_counts(spark, base, HISTORICALS, 1).collect()}
+    assert counts["readable"] == 2 and counts["date_check"] == 1
+
+
+def test_minute_bars_without_a_time_are_rejected(spark):
+    rows = [("x", "A"), ("y", "A"), ("2025-01-02 09:30:00Z", None), ("2025-01-02 09:30:00Z", "A")]
+    bars = spark.createDataFrame(rows, "Datetime string, Symbol string")
+    for name in ("Open", "High", "Low", "Close", "Volume", "Dividends", "Stock Splits"):
+        bars = bars.withColumn(name, F.lit(1).cast("bigint" if name == "Volume" else "double"))
+    base = shared_dir(spark, "minute-rejects")
+    run_bronze_minute(bars, Batch(base, 1, "2025-02-01 00:00:00"))
+    assert read_bronze(spark, base, MINUTE.bronze).count() == 1
+    broken = sorted(r.broken_rules for r in read_rejects(spark, base, MINUTE.bronze, 1).collect())
+    assert broken == ["datetime_check", "datetime_check", "symbol_check"]
+
+
+def test_bronze_is_written_by_one_scan(spark, sf_dir, monkeypatch):
+    from pricevault.plans import jobs
+
+    plans = []
+    monkeypatch.setattr(jobs, "append_log", lambda df, *args, **more: plans.append(df._jdf.queryExecution().executedPlan().toString()))
+    monkeypatch.setattr(jobs, "start_run", lambda *args, **more: None)
+    run_bronze_daily(fr.raw_daily(fr.hist(spark, sf_dir)), Batch(shared_dir(spark, "plan"), 1, "2024-01-01 00:00:00"))
+    assert len(plans) == 1 and plans[0].count("FileScan") == 1
+
+
+def test_an_earlier_batch_is_corrected_only_by_replay(spark):
+    base = shared_dir(spark, "correct")
+
+    def bars(close, *symbols):
+        rows = [(date(2024, 1, 2), s, close, close, close, close, 5, 0.0, 0.0) for s in symbols]
+        return spark.createDataFrame(rows, HISTORICALS.schema)
+
+    facts = spark.createDataFrame([(s, s, 1) for s in "AB"], "symbol string, longName string, marketCap bigint")
+    first, second = Batch(base, 1, "2024-02-01 00:00:00"), Batch(base, 2, "2024-03-01 00:00:00")
+    run_vault_daily(bars(1.0, "A"), first)
+    run_vault_daily(bars(1.0, "A", "B"), second)
+    run_vault_company(facts, second)
+    with pytest.raises(ValueError, match="replay from batch 1"):
+        run_vault_daily(bars(1.0, "A", "B"), first)
+    feeds = {("historicals", 1): (bars(1.0, "A", "B"), first), ("historicals", 2): (bars(1.0, "A", "B"), second)}
+    with pytest.raises(KeyError):  # stops half-way: the company load of batch 2 is not run again
+        replay_vault(spark, base, 1, lambda load, k: feeds[load, k])
+    with pytest.raises(ValueError, match="batch 2 sat_company_info"):
+        open_vault(spark, base)
+    assert open_vault(spark, base, upto=1)["hub_instrument"].count() == 2
+    feeds["sat_company_info", 2] = (facts, second)
+    replay_vault(spark, base, 1, lambda load, k: feeds[load, k])
+    vault = open_vault(spark, base)
+    counts = {n: vault[n].count() for n in ("hub_instrument", "link_instrument_day", "sat_instrument_day_prices")}
+    assert counts == {"hub_instrument": 2, "link_instrument_day": 2, "sat_instrument_day_prices": 2}
+    assert sorted(r.Symbol for r in instrument_daily_view(vault).collect()) == ["A", "B"]
+
+
+def test_a_compaction_of_replaced_runs_is_not_read(spark):
+    base = shared_dir(spark, "compact-stale")
+
+    def load(k, *rows):
+        bars = spark.createDataFrame([("2024-01-02 00:00:00Z", s, c) for s, c in rows], "Date string, Symbol string, Close double")
+        for name in ("Open", "High", "Low", "Volume", "Dividends", "Stock Splits"):
+            bars = bars.withColumn(name, F.lit(1).cast("bigint" if name == "Volume" else "double"))
+        run_bronze_daily(bars, Batch(base, k, "2024-02-01 00:00:00"))
+
+    def closes(upto=None):
+        return sorted((r.Symbol, r.Close) for r in read_bronze(spark, base, HISTORICALS, upto).collect())
+
+    load(1, ("A", 1.0))
+    compact_bronze(spark, base, HISTORICALS, 1)
+    load(2, ("C", 4.0))
+    assert compacted_folder(spark, base, HISTORICALS, None)[0] == 1 and closes() == [("A", 1.0), ("C", 4.0)]
+    load(1, ("A", 2.0), ("B", 3.0))
+    assert compacted_folder(spark, base, HISTORICALS, None) is None
+    assert closes() == [("A", 2.0), ("B", 3.0), ("C", 4.0)] and closes(1) == [("A", 2.0), ("B", 3.0)]
+    compact_bronze(spark, base, HISTORICALS, 1)
+    assert compacted_folder(spark, base, HISTORICALS, None)[0] == 1 and closes() == [("A", 2.0), ("B", 3.0), ("C", 4.0)]
+
+
+def test_table_detail_counts_files_and_bytes(spark, tmp_path, sf_dir):
+    base, bars = shared_dir(spark, "detail"), fr.hist(spark, sf_dir)
+    run_bronze_daily(fr.raw_daily(bars), Batch(base, 1, "2024-01-01 00:00:00"))
+    row = detail(spark, HISTORICALS.location(base), PERIOD).collect()[0]
+    place = HISTORICALS.location(base).removeprefix("file:")
+    files = [os.path.join(d, f) for d, _, names in os.walk(place) for f in names if f.endswith(".parquet")]
+    assert (row.n_files, row.n_bytes, row.n_rows) == (len(files), sum(map(os.path.getsize, files)), bars.count())

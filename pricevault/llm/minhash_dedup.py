@@ -17,20 +17,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricevault.llm.components import components
 from pricevault.llm.stored import stored
-from pricevault.llm.units import MASK, SLICE_BYTES, mix, split_units, text_slices
+from pricevault.llm.units import MASK, mix, split_units, text_slices
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 #: 30 bands of 5 coordinates: a pair at similarity 0.8 shares no band with probability 7e-6.
 BANDS, ROWS = 30, 5
-#: Documents that share a band with others but were not linked to them are signed anew with longer bands, which
-#: pairs far below the threshold rarely share: 167 bands of 12, again 7e-6 for a pair at 0.8.
-FINE_BANDS, FINE_ROWS = 167, 12
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -98,11 +95,9 @@ def dart_signatures(owner: np.ndarray, elements: np.ndarray, weights: np.ndarray
 
 
 def _signer(bands: int, rows: int):
-    limit = max(1 << 14, SLICE_BYTES * BANDS * ROWS // (16 * bands * rows)) if bands * rows > 4 * BANDS * ROWS else SLICE_BYTES
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, texts in text_slices(batch.column(1), limit):
+            for a, b, texts in text_slices(batch.column(1)):
                 owner, elements, weights = weighted_shingles(texts)
                 signs = dart_signatures(owner, elements, weights.astype(np.float64), len(texts), bands * rows)
                 keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(texts), 1))
@@ -117,6 +112,46 @@ def _signer(bands: int, rows: int):
     return run
 
 
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each text, with its weight and that of the whole text."""
+    for batch in batches:
+        for a, b, texts in text_slices(batch.column(1)):
+            owner, elements, weights = weighted_shingles(texts)
+            total = np.bincount(owner, weights, len(texts)).astype(np.int64)
+            ids = batch.column(0).slice(a, b - a).take(pa.array(owner))
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(total[owner]), pa.array(elements.view(np.int64)), pa.array(weights.astype(np.int64))],
+                ["doc_id", "size", "element", "weight"],
+            )
+
+
+def rare_pairs(texts: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``a``, ``b`` of texts with unlike labels that can be alike: they share a rare shingle.
+
+    Shingles are ordered by the number of texts that hold them, rarest first. Texts of sizes s <= S at
+    similarity t or more have at least t / (1 + t) * (s + S) of their weight in common, which is
+    2t / (1 + t) * s or more, and t * S or more. So they share a shingle among the first of
+    the smaller one, up to the rest of its weight beyond 2t / (1 + t), and the first of the
+    larger one, up to the rest beyond t: if they shared none there, what is left would be too little. Texts that
+    differ by more than a ninth in rare shingles, as variants with edits of their own do, do not meet.
+    """
+    elements = stored(texts.mapInArrow(_elements, "doc_id long, size long, element long, weight long"), "elements")
+    counts = elements.groupBy(F.col("element").alias("of")).agg(F.count("*").alias("n"))
+    ranked = elements.join(counts, elements["element"] == counts["of"])
+    before = Window.partitionBy("doc_id").orderBy("n", "element").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = ranked.withColumn("before", F.coalesce(F.sum("weight").over(before), F.lit(0)))
+    long, short = 1 - similarity, 1 - 2 * similarity / (1 + similarity)
+    first = ranked.where((F.col("before") <= F.col("size") * long + 1e-9) & (F.col("n") > 1))
+    first = first.join(labels.toDF("member", "label"), F.col("doc_id") == F.col("member"))
+    first = stored(first.select("doc_id", "size", "element", "label", (F.col("before") <= F.col("size") * short + 1e-9).alias("short")), "rare")
+    small = first.where("short").drop("short")
+    large = first.drop("short").toDF("doc_id_2", "size_2", "element_2", "label_2")
+    ordered = (F.col("size") < F.col("size_2")) | ((F.col("size") == F.col("size_2")) & (F.col("doc_id") < F.col("doc_id_2")))
+    near = F.col("size") >= F.col("size_2") * similarity - 1e-9
+    met = small.join(large, (small["element"] == large["element_2"]) & (F.col("label") != F.col("label_2")) & ordered & near)
+    return met.select(F.least("doc_id", "doc_id_2").alias("a"), F.greatest("doc_id", "doc_id_2").alias("b")).distinct()
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Weighted Jaccard similarity of the two texts of each pair."""
     for batch in batches:
@@ -159,9 +194,9 @@ def near_duplicates(
     Texts that share a band form a bucket. Each is compared with the bucket's leader, exactly, on
     the texts. The leader is the document that shares its bands with the most others, so variants
     of one text meet that text rather than each other. Documents of buckets that still hold several components
-    are signed again with longer bands; those that share one of these and are in different components
-    are compared pair by pair. Texts that only resemble each other from afar (half of their shingles,
-    say) share many short bands and hardly any long one, so a large group of them isn't compared all against all.
+    meet once more by their rare shingles (``rare_pairs``), and those in different components that do are compared
+    pair by pair. Nothing alike is left out by it, and a large group of texts that resemble each
+    other from afar isn't compared all against all.
 
     Null texts count as empty; texts without words belong together only if they are equal bytes.
     Rows with a null id get a null class; rows with equal ids get each the class of their text,
@@ -193,14 +228,7 @@ def near_duplicates(
     mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
     rest = stored(placed.join(mixed, "bucket").select("doc_id", "label").distinct(), "rest")
     again = texts.join(rest.select(F.col("doc_id").alias("__id")), F.col("doc_id") == F.col("__id"), "left_semi")
-    fine = stored(again.mapInArrow(_signer(FINE_BANDS, FINE_ROWS), "doc_id long, copy_key binary, bands array<long>"), "fine")
-    fine = fine.select("doc_id", F.explode("bands").alias("bucket")).distinct()
-    several = fine.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    fine = stored(fine.join(several, "bucket").join(rest, "doc_id").select("bucket", "doc_id", "label"), "meeting")
-    other = fine.toDF(*(f"{c}_2" for c in fine.columns))
-    across = fine.join(other, (fine["bucket"] == other["bucket_2"]) & (fine["label"] < other["label_2"]))
-    across = across.select(F.least("doc_id", "doc_id_2").alias("a"), F.greatest("doc_id", "doc_id_2").alias("b")).distinct()
-    across = stored(across, "across")
+    across = stored(rare_pairs(again, rest, similarity), "across")
     if not across.isEmpty():
         more = _verified(across, texts).where(F.col("similarity") >= similarity)
         labels = components(edges.union(more.select("a", "b")))

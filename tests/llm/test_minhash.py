@@ -6,7 +6,7 @@ import random
 
 import numpy as np
 from brute import near_classes, shingles, similarity
-from pricevault.llm.minhash_dedup import dart_signatures, near_duplicates, weighted_shingles
+from pricevault.llm.minhash_dedup import dart_signatures, near_duplicates, rare_pairs, weighted_shingles
 
 
 def edited(rng: random.Random, words: list[str], edits: int) -> list[str]:
@@ -61,7 +61,7 @@ def test_signatures_estimate_weighted_similarity():
 
 
 def test_half_alike_texts_are_not_compared_all_with_all(spark, monkeypatch):
-    """Texts with 8 of 200 words changed resemble each other by half: pairs grow with the texts, not their square."""
+    """Texts with 8 of 200 words changed resemble each other by half: hardly any pair is compared."""
     from pricevault.llm import minhash_dedup
 
     counts = {}
@@ -80,4 +80,15 @@ def test_half_alike_texts_are_not_compared_all_with_all(spark, monkeypatch):
         rows = [(i, " ".join(edited(rng, base, 8))) for i in range(size)]
         found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
         assert {r.doc_id: r.class_id for r in found.collect()} == near_classes(rows)
-    assert counts[400] < 400 * 399 / 2 / 10, counts
+    assert counts[400] < 400, counts
+
+
+def test_rare_pairs_lose_no_alike_pair(spark):
+    rng = random.Random(31)
+    base = [f"w{rng.randrange(400)}" for _ in range(150)]
+    rows = [(i, " ".join(edited(rng, base[: rng.choice((120, 135, 150))], rng.randrange(9)) + ["x y"] * rng.randrange(8))) for i in range(150)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.a, r.b) for r in rare_pairs(texts, texts.select("doc_id", "doc_id"), 0.8).collect()}
+    sets = {i: shingles(t) for i, t in rows}
+    alike = {(a, b) for a in sets for b in sets if a < b and similarity(sets[a], sets[b]) >= 0.8}
+    assert alike and alike <= found and len(found) < 150 * 149 / 2

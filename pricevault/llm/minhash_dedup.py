@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricevault.llm.components import components
@@ -125,7 +125,7 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def rare_pairs(texts: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+def rare_pairs(texts: DataFrame, labels: DataFrame, similarity: float, leaders: DataFrame | None = None) -> DataFrame:
     """Pairs ``a``, ``b`` of texts with unlike labels that can be alike: they share a rare shingle.
 
     Shingles are ordered by the number of texts that hold them, rarest first. Texts of sizes s <= S at
@@ -134,6 +134,10 @@ def rare_pairs(texts: DataFrame, labels: DataFrame, similarity: float) -> DataFr
     the smaller one, up to the rest of its weight beyond 2t / (1 + t), and the first of the
     larger one, up to the rest beyond t: if they shared none there, what is left would be too little. Texts that
     differ by more than a ninth in rare shingles, as variants with edits of their own do, do not meet.
+
+    ``leaders`` (``doc_id``, ``leader``, ``similarity``) tells how texts differ from others. Of two texts with a common
+    leader, one lacks at least the difference of what they lack of it, and has what no other text has, besides
+    the difference of the rest of what they add to it. Pairs whose sum of that is too large for t do not meet either.
     """
     elements = stored(texts.mapInArrow(_elements, "doc_id long, size long, element long, weight long"), "elements")
     counts = elements.groupBy(F.col("element").alias("of")).agg(F.count("*").alias("n"))
@@ -141,14 +145,34 @@ def rare_pairs(texts: DataFrame, labels: DataFrame, similarity: float) -> DataFr
     before = Window.partitionBy("doc_id").orderBy("n", "element").rowsBetween(Window.unboundedPreceding, -1)
     ranked = ranked.withColumn("before", F.coalesce(F.sum("weight").over(before), F.lit(0)))
     long, short = 1 - similarity, 1 - 2 * similarity / (1 + similarity)
+    ranked = ranked.withColumn("alone", F.sum(F.when(F.col("n") == 1, F.col("weight")).otherwise(0)).over(Window.partitionBy("doc_id")))
     first = ranked.where((F.col("before") <= F.col("size") * long + 1e-9) & (F.col("n") > 1))
     first = first.join(labels.toDF("member", "label"), F.col("doc_id") == F.col("member"))
-    first = stored(first.select("doc_id", "size", "element", "label", (F.col("before") <= F.col("size") * short + 1e-9).alias("short")), "rare")
+    if leaders is None:
+        first = first.withColumn("facts", F.array().cast("array<struct<leader:long,lacks:double,adds:double>>"))
+    else:
+        sizes = elements.groupBy(F.col("doc_id").alias("of")).agg(F.first("size").alias("own"))
+        of_leader = sizes.select(F.col("of").alias("at"), F.col("own").alias("whole"))
+        known = leaders.join(sizes, F.col("doc_id") == F.col("of")).join(of_leader, F.col("leader") == F.col("at"))
+        common = F.col("similarity") / (1 + F.col("similarity")) * (F.col("own") + F.col("whole"))
+        fact = F.struct("leader", (F.col("whole") - common).alias("lacks"), (F.col("own") - common).alias("adds"))
+        known = known.groupBy(F.col("of").alias("whose")).agg(F.collect_set(fact).alias("facts"))  # one for each band at most
+        first = first.join(known, F.col("doc_id") == F.col("whose"), "left")
+    first = stored(first.select("doc_id", "size", "element", "label", "alone", "facts", (F.col("before") <= F.col("size") * short + 1e-9).alias("short")), "rare")
     small = first.where("short").drop("short")
-    large = first.drop("short").toDF("doc_id_2", "size_2", "element_2", "label_2")
+    large = first.drop("short")
+    large = large.toDF(*(f"{c}_2" for c in large.columns))
+    most = (F.col("size") + F.col("size_2")) * (1 - similarity) / (1 + similarity) + 1e-6  # of what only one of them has
+
+    def too_far(x: Column, y: Column) -> Column:
+        shared = F.least(x["adds"] - F.col("alone"), y["adds"] - F.col("alone_2"))  # of what they add, at most
+        apart = x["adds"] + y["adds"] - 2 * F.greatest(shared, F.lit(0.0)) + F.abs(x["lacks"] - y["lacks"])
+        return (x["leader"] == y["leader"]) & (apart > most)
+
+    apart = F.coalesce(F.exists("facts", lambda x: F.exists("facts_2", lambda y: too_far(x, y))), F.lit(False))
     ordered = (F.col("size") < F.col("size_2")) | ((F.col("size") == F.col("size_2")) & (F.col("doc_id") < F.col("doc_id_2")))
     near = F.col("size") >= F.col("size_2") * similarity - 1e-9
-    met = small.join(large, (small["element"] == large["element_2"]) & (F.col("label") != F.col("label_2")) & ordered & near)
+    met = small.join(large, (small["element"] == large["element_2"]) & (F.col("label") != F.col("label_2")) & ordered & near & ~apart)
     return met.select(F.least("doc_id", "doc_id_2").alias("a"), F.greatest("doc_id", "doc_id_2").alias("b")).distinct()
 
 
@@ -228,7 +252,9 @@ def near_duplicates(
     mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
     rest = stored(placed.join(mixed, "bucket").select("doc_id", "label").distinct(), "rest")
     again = texts.join(rest.select(F.col("doc_id").alias("__id")), F.col("doc_id") == F.col("__id"), "left_semi")
-    across = stored(rare_pairs(again, rest, similarity), "across")
+    known = near.select(F.col("b").alias("doc_id"), F.col("a").alias("leader"), "similarity")
+    known = known.union(near.select("a", "a", F.lit(1.0)).distinct())
+    across = stored(rare_pairs(again, rest, similarity, known), "across")
     if not across.isEmpty():
         more = _verified(across, texts).where(F.col("similarity") >= similarity)
         labels = components(edges.union(more.select("a", "b")))

@@ -92,3 +92,7 @@ def test_rare_pairs_lose_no_alike_pair(spark):
     sets = {i: shingles(t) for i, t in rows}
     alike = {(a, b) for a in sets for b in sets if a < b and similarity(sets[a], sets[b]) >= 0.8}
     assert alike and alike <= found and len(found) < 150 * 149 / 2
+    facts = [(i, j, similarity(sets[i], sets[j])) for j in (0, 1, 2) for i in sets if sets[i] != sets[j]] + [(j, j, 1.0) for j in (0, 1, 2)]
+    leaders = spark.createDataFrame(facts, "doc_id long, leader long, similarity double")
+    fewer = {(r.a, r.b) for r in rare_pairs(texts, texts.select("doc_id", "doc_id"), 0.8, leaders).collect()}
+    assert alike <= fewer and len(fewer) < len(found)

@@ -38,30 +38,30 @@ def with_neighbour(
     """Add ``out``: ``value`` of the key's previous row (the next one if ``ahead``).
 
     ``order`` is a date or timestamp, then ``ties``. Rows whose keys are NULL are a series
-    as well: joins compare keys NULL for NULL.
+    as well. Keys and piece are one struct, which a join compares NULL for NULL.
     """
     shift, edge = (F.lead, F.min_by) if ahead else (F.lag, F.max_by)
-    place = [*keys, "_piece"]
-    cut = df.withColumn("_piece", calendar_piece(order, df.schema[order].dataType))
-    window = Window.partitionBy(*place).orderBy(order, *ties)
+    place = F.struct(*keys, calendar_piece(order, df.schema[order].dataType).alias("_piece"))
+    cut = df.withColumn("_place", place)
+    window = Window.partitionBy("_place").orderBy(order, *ties)
 
-    # Without ties the edge is found by plain columns, which Spark aggregates by hash in the map tasks. An order that
-    # is NULL comes first: it has a piece of its own, where any row of it may be the edge.
+    # Without ties the edge is found by plain columns, which Spark aggregates by hash in the map tasks. A piece whose
+    # order is all NULL has any of its rows as its edge.
     if ties:
         last = edge(F.struct(value), F.struct(order, *ties))[value]
     else:
         last = F.when(F.max(order).isNull(), F.first(value)).otherwise(edge(value, order))
-    at = [F.col(k).alias(f"_at_{k}") for k in place]
-    along = Window.partitionBy(*[f"_at_{k}" for k in keys]).orderBy("_at__piece")
-    edges = cut.groupBy(*place).agg(last.alias("_edge")).select(*at, "_edge")
-    crossed = shift(F.struct("_edge")).over(along)
-    edges = edges.withColumn("_near", crossed).filter(F.col("_near").isNotNull())
+    along = Window.partitionBy(*[F.col(f"_at.{k}") for k in keys]).orderBy("_at._piece")
+    edges = (
+        cut.groupBy(F.col("_place").alias("_at"))
+        .agg(last.alias("_last"))
+        .withColumn("_edge", shift(F.struct("_last")).over(along))
+        .filter(F.col("_edge").isNotNull())
+        .drop("_last")
+    )
     # ``shift`` of a constant is NULL exactly on the row that has no neighbour in its piece.
     inside = shift(F.lit(True)).over(window)
     near = cut.withColumn(out, shift(value).over(window)).withColumn("_inside", inside)
-    same = F.lit(True)
-    for k in place:
-        same &= F.col(k).eqNullSafe(F.col(f"_at_{k}"))
-    joined = near.join(edges, same, "left")
-    found = F.when(F.col("_inside").isNull(), F.col("_near._edge")).otherwise(F.col(out))
-    return joined.withColumn(out, found).drop("_piece", "_inside", "_edge", "_near", *[f"_at_{k}" for k in place])
+    crossed = F.when(F.col("_inside").isNull(), F.col("_edge._last")).otherwise(F.col(out))
+    joined = near.join(edges, F.col("_place") == F.col("_at"), "left")
+    return joined.withColumn(out, crossed).drop("_place", "_inside", "_edge", "_at")

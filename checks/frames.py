@@ -42,7 +42,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _written: dict[tuple[str, str, str], str] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+def written_once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
     """Folder of a derived table, written once per application and test folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
@@ -54,13 +54,13 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], No
 
 def hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars as a stored bronze table."""
-    path = _once(spark, sf_dir, "hist", lambda p: derive_hist(spark, sf_dir).write.parquet(p))
+    path = written_once(spark, sf_dir, "hist", lambda p: derive_hist(spark, sf_dir).write.parquet(p))
     return read_source(spark, path=path)
 
 
 def minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minute bars as a stored bronze table."""
-    path = _once(spark, sf_dir, "minute", lambda p: derive_minute(spark, sf_dir).write.parquet(p))
+    path = written_once(spark, sf_dir, "minute", lambda p: derive_minute(spark, sf_dir).write.parquet(p))
     return read_source(spark, path=path)
 
 
@@ -233,7 +233,7 @@ def stored_vault(
 ) -> dict[str, DataFrame]:
     """A loaded vault: bars, corrected bars and the minute bars back again, three company
     batches. It is written once per application and test folder, then only read."""
-    base = _once(spark, sf_dir, "vault", lambda p: _load(spark, sf_dir, p))
+    base = written_once(spark, sf_dir, "vault", lambda p: _load(spark, sf_dir, p))
     return open_vault(spark, base, days=days)
 
 

@@ -120,24 +120,27 @@ def price_change(df: DataFrame) -> DataFrame:
 # Bars against their symbol's statistics
 
 
-def with_volume_stats(df: DataFrame) -> DataFrame:
+def with_volume_stats(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Add mean and sample deviation of the symbol's volume.
 
     The statistics are one row per symbol after map-side aggregation; they are joined to the
     symbol's months and those to its bars, where a window would gather a symbol in one task.
+    ``stats`` (``Symbol``, ``avg_vol``, ``std_vol``) takes them from a store instead.
     """
-    stats = df.groupBy("Symbol").agg(
-        F.avg("Volume").alias("avg_vol"), F.stddev_samp("Volume").alias("std_vol")
-    )
+    if stats is None:
+        stats = df.groupBy("Symbol").agg(
+            F.avg("Volume").alias("avg_vol"), F.stddev_samp("Volume").alias("std_vol")
+        )
+    stats = stats.select("Symbol", "avg_vol", "std_vol")
     bars = df.select("Symbol", "Date", "Volume")
     return spread_join(bars, stats, "Symbol", calendar_piece("Date", bars.schema["Date"].dataType))
 
 
-def volume_zscore(df: DataFrame) -> DataFrame:
+def volume_zscore(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Deviation of a bar's volume in standard deviations; flat symbols are left out."""
     spread = F.nullif(F.col("std_vol"), F.lit(0.0))
     return (
-        with_volume_stats(df)
+        with_volume_stats(df, stats)
         .filter(F.col("std_vol") > 0)
         .withColumn("z_score", (F.col("Volume") - F.col("avg_vol")) / spread)
         .select("Symbol", "Date", "Volume", "avg_vol", "z_score")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START, END, LOADED = "Effective_DTS", "End_DTS", "Load_DTS"
+AS_OF = "As_Of"
 
 
 def moment(value: datetime | str | Column) -> Column:
@@ -36,6 +37,19 @@ def as_of(df: DataFrame, at: datetime | str) -> DataFrame:
     return df.filter((F.col(START) <= t) & (F.col(END).isNull() | (F.col(END) > t)))
 
 
+def versions_at(df: DataFrame, moments: Sequence[datetime | str]) -> DataFrame:
+    """The version of each key that was valid at each of ``moments``, with the moment as ``As_Of``.
+
+    The moments are a parameter, so each version finds its own in its row: no join of intervals, and
+    versions that hold at none of them are gone before anything is shuffled. Equal moments count once.
+    """
+    if not moments:
+        raise ValueError("no moments")
+    given = F.array_distinct(F.array(*[moment(m) for m in moments]))
+    held = F.filter(given, lambda t: (F.col(START) <= t) & (F.col(END).isNull() | (F.col(END) > t)))
+    return df.withColumn(AS_OF, F.explode(held))
+
+
 def scd2_history(
     feed: DataFrame,
     keys: Sequence[str],

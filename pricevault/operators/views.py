@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pricevault.catalog import create_view
 from pricevault.functions import movement, price_range
 from pricevault.operators.analytics import key_not_like, on_day
-from pricevault.operators.history import current
+from pricevault.operators.history import AS_OF, LOADED, START, current, intervals, versions_at
 from pricevault.operators.keyed import latest
 from pricevault.operators.skew import spread_join
 from pricevault.schemas import DAY, MINUTE, Grain
@@ -55,21 +56,51 @@ def instrument_view(vault: Vault, grain: Grain, current_only: bool = True) -> Da
     prices = prices.select(key, "Open", "High", "Low", "Close", "Volume")
     times = vault[grain.hub.table.name].select(time_key, grain.time)
     bars = links.join(prices, key).join(times, time_key)
-    return (
-        spread_join(bars, named, "Instrument_HK", _piece(key), pieces_from=links)
-        .select(
-            grain.time,
-            "Symbol",
-            "longName",
-            "Open",
-            "Close",
-            movement().alias("Movement"),
-            "High",
-            "Low",
-            price_range().alias(grain.range_name),
-            "Volume",
-        )
+    joined = spread_join(bars, named, "Instrument_HK", _piece(key), pieces_from=links)
+    return joined.select(*_view_columns(grain))
+
+
+def _view_columns(grain: Grain) -> list[str | Column]:
+    return [
+        grain.time,
+        "Symbol",
+        "longName",
+        "Open",
+        "Close",
+        movement().alias("Movement"),
+        "High",
+        "Low",
+        price_range().alias(grain.range_name),
+        "Volume",
+    ]
+
+
+def instrument_view_at(vault: Vault, grain: Grain, moments: Sequence[datetime | str]) -> DataFrame:
+    """The view as it stood at each of ``moments``, with the moment as ``As_Of``.
+
+    A bar is there from its first load on, with the prices and the company facts that were valid then, and
+    only if its instrument had company facts. A state of the insert-only satellite is valid until
+    the bar's next one. An instrument's names at the moments are one row, so that its bars, which may be a large
+    share of all, meet it piece by piece as in :func:`instrument_view`.
+    """
+    company = versions_at(vault["sat_company_info"], moments).select("Instrument_HK", AS_OF, "longName")
+    names = company.groupBy(F.col("Instrument_HK").alias("_of")).agg(
+        F.map_from_entries(F.collect_list(F.struct(AS_OF, "longName"))).alias("_names")
     )
+    instruments = vault["hub_instrument"].select("Instrument_HK", "Symbol")
+    named = instruments.join(names, F.col("Instrument_HK") == F.col("_of")).drop("_of")
+
+    key, time_key = grain.link.link_key, grain.hub.hash_key
+    prices = vault[grain.sat.table.name]
+    if not grain.sat.versioned:
+        prices = intervals(prices.withColumn(START, F.col(LOADED)), [key])
+    prices = versions_at(prices, moments).select(key, AS_OF, "Open", "High", "Low", "Close", "Volume")
+    links = vault[grain.link.table.name].select(key, "Instrument_HK", time_key)
+    times = vault[grain.hub.table.name].select(time_key, grain.time)
+    bars = links.join(prices, key).join(times, time_key)
+    joined = spread_join(bars, named, "Instrument_HK", _piece(key), pieces_from=links)
+    joined = joined.filter(F.map_contains_key("_names", F.col(AS_OF))).withColumn("longName", F.element_at("_names", F.col(AS_OF)))
+    return joined.select(AS_OF, *_view_columns(grain))
 
 
 def view_name(grain: Grain) -> str:

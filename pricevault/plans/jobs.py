@@ -120,6 +120,11 @@ def _bronze_runs(base: str, table: TableSpec) -> str:
     return f"{table.location(base)}_runs"
 
 
+def bronze_runs(spark: SparkSession, base: str, table: TableSpec, upto: int | None = None) -> list[Run]:
+    """The runs that a bronze table's batches up to ``upto`` come from."""
+    return [r for r in all_runs(spark, _bronze_runs(base, table)) if upto is None or r.batch_id <= upto]
+
+
 def _bronze_log(spark: SparkSession, base: str, spec: TableSpec, upto: int | None = None) -> DataFrame:
     grain = _bronze_grain(spec)
     extra = [T.StructField(x, T.StringType()) for x in (RAW_LINE, RAW_FILE, BROKEN)]
@@ -165,7 +170,7 @@ def compact_bronze(spark: SparkSession, base: str, spec: TableSpec, upto: int) -
     counts once its record is there. The record names the runs of the batches that went into it: when one of them
     is run again, the compaction no longer fits and is not read, nor built upon; compact again then.
     """
-    sources = [r for r in all_runs(spark, _bronze_runs(base, spec)) if r.batch_id <= upto]
+    sources = bronze_runs(spark, base, spec, upto)
     rows = _newest_rows(spark, base, spec, upto, None).withColumn(BATCH, F.lit(upto).cast("long"))
     folder = uuid.uuid4().hex
     packed = by_partition(rows, [PERIOD] if PERIOD in rows.columns else []).write

@@ -233,8 +233,11 @@ def stored_vault(
 ) -> dict[str, DataFrame]:
     """A loaded vault: bars, corrected bars and the minute bars back again, three company
     batches. It is written once per application and test folder, then only read."""
-    base = written_once(spark, sf_dir, "vault", lambda p: _load(spark, sf_dir, p))
-    return open_vault(spark, base, days=days)
+    return open_vault(spark, stored_vault_base(spark, sf_dir), days=days)
+
+
+def stored_vault_base(spark: SparkSession, sf_dir: str) -> str:
+    return written_once(spark, sf_dir, "vault", lambda p: _load(spark, sf_dir, p))
 
 
 def _load(spark: SparkSession, sf_dir: str, base: str) -> None:

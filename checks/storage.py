@@ -16,6 +16,7 @@ from checks.registry import ORACLES, query
 from pricevault import catalog as cat
 from pricevault import shared_dir
 from pricevault.operators.views import create_views, view_name
+from pricevault.plans.jobs import register_vault
 from pricevault.schemas import (
     BRONZE_TABLES,
     COMPANY,
@@ -309,6 +310,26 @@ def cat_view_minute(spark, d):
     return _named_view(spark, d, MINUTE)
 
 
+def _job_view(spark, d, grain) -> DataFrame:
+    schema = fr.new_schema()
+    register_vault(spark, fr.stored_vault_base(spark, d), schema)
+    create_views(spark, schema)
+    view = spark.table(f"{schema}.{view_name(grain)}")
+    return view.withColumn(grain.range_name, F.round(grain.range_name, 6))
+
+
+@query("cat_job_view_daily", ORACLES["view_daily"])
+def cat_job_view_daily(spark, d):
+    """The daily view by name, over tables that three batches of jobs have filled."""
+    return _job_view(spark, d, DAY)
+
+
+@query("cat_job_view_minute", ORACLES["view_minute"])
+def cat_job_view_minute(spark, d):
+    """The minute view by name, over tables that three batches of jobs have filled."""
+    return _job_view(spark, d, MINUTE)
+
+
 @query(
     "cat_describe",
     sql(

@@ -8,7 +8,7 @@ batch are refused once later ones were merged on it; ``replay_vault`` corrects i
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from datetime import datetime
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricevault.catalog import create_schema, register_external
+from pricevault.catalog import create_schema, create_view, register_external
 from pricevault.operators.history import intervals
 from pricevault.operators.keyed import unique_keys
 from pricevault.operators.quality import BROKEN, assert_not_null, broken_rules
@@ -40,6 +40,8 @@ from pricevault.schemas import (
     MINUTE,
     MINUTE_HISTORICALS,
     SAT_COMPANY_INFO,
+    SATELLITES,
+    VAULT_TABLES,
     Grain,
     HubSpec,
     SatSpec,
@@ -241,7 +243,7 @@ def run_vault_company(source: DataFrame, batch: Batch, spec: SatSpec = SAT_COMPA
         lambda: _write_hub(spark, batch, staged, HUB_INSTRUMENT, spec.table.name, before),
         lambda: _write(batch, spec.table, load_sat_versions(log, staged, spec)),
     )
-    _register(spark, batch, [HUB_INSTRUMENT.table])
+    _register(spark, batch, [HUB_INSTRUMENT.table, spec.table])
 
 
 def _run_vault_bars(source: DataFrame, grain: Grain, batch: Batch) -> None:
@@ -273,8 +275,7 @@ def _run_vault_bars(source: DataFrame, grain: Grain, batch: Batch) -> None:
         write_link,
         write_sat,
     )
-    tables = [HUB_INSTRUMENT.table, grain.hub.table, link.table]
-    _register(spark, batch, tables if sat.versioned else [*tables, sat.table])
+    _register(spark, batch, [HUB_INSTRUMENT.table, grain.hub.table, link.table, sat.table])
 
 
 def _write_all(spark: SparkSession, *writes: Callable[[], None]) -> None:
@@ -353,11 +354,29 @@ def _touched(
     return log.filter(F.col(PERIOD).between(F.lit(span[0]), F.lit(span[1])))
 
 
-def _register(spark: SparkSession, batch: Batch, specs: list[TableSpec]) -> None:
+def _register(spark: SparkSession, batch: Batch, specs: Iterable[TableSpec]) -> None:
     if batch.register_in:
-        create_schema(spark, batch.register_in, batch.base)
-        for spec in specs:
-            register_external(spark, f"{batch.register_in}.{spec.name}", spec.location(batch.base))
+        register_vault(spark, batch.base, batch.register_in, specs)
+
+
+def register_vault(spark: SparkSession, base: str, schema: str, specs: Iterable[TableSpec] = VAULT_TABLES) -> None:
+    """Make tables that jobs have filled readable by name, or pick up their new batches.
+
+    A versioned satellite is a view over its log, which is registered as ``<name>_log``: a version ends where
+    the key's next one starts. Names always show all batches; ``open_vault`` reads earlier ones, and refuses
+    loads that are still to be run again.
+    """
+    create_schema(spark, schema, base)
+    versioned = {sat.table.name: sat.parent_key for sat in SATELLITES if sat.versioned}
+    for spec in specs:
+        name, key = f"{schema}.{spec.name}", versioned.get(spec.name)
+        if key is None:
+            register_external(spark, name, spec.location(base))
+            continue
+        register_external(spark, f"{name}_log", spec.location(base))
+        end = f"lead(Effective_DTS) OVER (PARTITION BY {key} ORDER BY Effective_DTS) AS End_DTS"
+        columns = ", ".join(end if c == "End_DTS" else c for c in spec.columns)
+        create_view(spark, name, f"SELECT {columns} FROM {name}_log")
 
 
 def open_vault(

@@ -77,8 +77,11 @@ def test_raw_folders_to_vault(spark, raw):
     company = read_bronze(spark, base, COMPANY)
     assert company.filter("priceToEarnings = 3.0 AND netIncome = 5").count() == 2
     run_vault_daily(bars, Batch(base, 1, "2025-02-01 00:00:00", "test", register_in="reg"))
-    run_vault_company(company, Batch(base, 1, "2025-02-01 00:00:00", "test"))
+    run_vault_company(company, Batch(base, 1, "2025-02-01 00:00:00", "test", register_in="reg"))
     vault = open_vault(spark, base)
+    named = spark.table("reg.sat_company_info")
+    assert named.columns == vault["sat_company_info"].columns
+    assert sorted(map(str, named.collect())) == sorted(map(str, vault["sat_company_info"].collect()))
     for spec in VAULT_TABLES:
         assert vault[spec.name].columns == spec.columns
     assert instrument_daily_view(vault).count() == 4

@@ -12,7 +12,7 @@ from pricevault import shared_dir
 from pricevault.operators import analytics as an
 from pricevault.operators.views import instrument_view_at
 from pricevault.plans.jobs import Batch, read_bronze, run_bronze_daily
-from pricevault.plans.statistics import run_bar_statistics, stored_profile, volume_stats
+from pricevault.plans.statistics import run_bar_statistics, stored_extremes, stored_profile, volume_stats
 from pricevault.schemas import DAY, HISTORICALS, MINUTE
 
 
@@ -64,6 +64,19 @@ def win_volume_zscore_stored(spark, d):
     return scores.withColumns({n: F.round(n, 6) for n in ("avg_vol", "z_score")})
 
 
+@query(
+    "agg_ath_atl_stored",
+    sql(
+        "SELECT Symbol, max(Close) AS ath_close, min(Close) AS atl_close FROM ("
+        "SELECT Symbol, Close FROM merged WHERE Date < DATE '1998-01-01' UNION ALL "
+        "SELECT Symbol, Close FROM hist WHERE Date >= DATE '1998-01-01') GROUP BY Symbol",
+        "merged",
+    ),
+)
+def agg_ath_atl_stored(spark, d):
+    return stored_extremes(spark, _three_batches(spark, d), DAY)
+
+
 @query(
     "agg_profile_sketch",
     sql(

@@ -2,7 +2,7 @@
 
 After a bronze batch, ``run_bar_statistics`` computes the periods that the batch touched anew and no
 others, so its work follows the batch and not the table. A period holds what can be merged: count, mean and sum of
-squared deviations of each symbol's volume, and a sketch of its symbols.
+squared deviations of each symbol's volume, its least and greatest close, and a sketch of the symbols.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ def _places(base: str, grain: Grain) -> tuple[str, str, str]:
 def _schemas(grain: Grain) -> tuple[T.StructType, T.StructType]:
     time = grain.bronze.schema[grain.time].dataType
     seen = (("first_time", time), ("last_time", time), ("n_rows", BIGINT))
-    moments = struct(("Symbol", STRING), ("n", BIGINT), ("mean", DOUBLE), ("m2", DOUBLE), *seen, (LOAD, STRING))
+    closes = (("low", DOUBLE), ("high", DOUBLE))
+    moments = struct(("Symbol", STRING), ("n", BIGINT), ("mean", DOUBLE), ("m2", DOUBLE), *closes, *seen, (LOAD, STRING))
     profile = struct(("symbols", T.BinaryType()), *seen, (LOAD, STRING))
     return moments.add(PERIOD_FIELD), profile.add(PERIOD_FIELD)
 
@@ -55,7 +56,8 @@ def run_bar_statistics(spark: SparkSession, base: str, grain: Grain, batch_id: i
     seen = F.min(grain.time).alias("first_time"), F.max(grain.time).alias("last_time"), F.count(F.lit(1)).alias("n_rows")
     volume = F.col("Volume").cast("double")
     m2 = F.var_pop(volume) * F.count("Volume")
-    moments = bars.groupBy("Symbol", PERIOD).agg(F.count("Volume").alias("n"), F.avg(volume).alias("mean"), m2.alias("m2"), *seen)
+    closes = F.min("Close").alias("low"), F.max("Close").alias("high")
+    moments = bars.groupBy("Symbol", PERIOD).agg(F.count("Volume").alias("n"), F.avg(volume).alias("mean"), m2.alias("m2"), *closes, *seen)
     append_log(moments, moments_path, batch_id, [PERIOD], load=folder)
 
     stored = read_log(spark, moments_path, _schemas(grain)[0]).filter((F.col(BATCH) == batch_id) & (F.col(LOAD) == folder))
@@ -103,6 +105,12 @@ def volume_stats(spark: SparkSession, base: str, grain: Grain, upto: int | None
     return all_of.select("Symbol", n.alias("n"), F.when(n > 0, mean).alias("avg_vol"), deviation.alias("std_vol"))
 
 
+def stored_extremes(spark: SparkSession, base: str, grain: Grain, upto: int | None = None) -> DataFrame:
+    """All-time high and low close of each symbol after a batch, without reading a bar."""
+    rows = _newest(spark, base, grain, 0, ["Symbol", PERIOD], upto)
+    return rows.groupBy("Symbol").agg(F.max("high").alias("ath_close"), F.min("low").alias("atl_close"))
+
+
 def stored_profile(spark: SparkSession, base: str, grain: Grain, upto: int | None = None) -> DataFrame:
     """Symbols (estimated), first and last time and rows after a batch, without reading a bar."""
     rows = _newest(spark, base, grain, 1, [PERIOD], upto)

@@ -14,7 +14,7 @@ from pricevault.operators.history import versions_at
 from pricevault.operators.views import instrument_daily_view, instrument_view_at
 from pricevault.plans import statistics
 from pricevault.plans.jobs import PERIOD, Batch, read_bronze, run_bronze_daily, run_bronze_minute
-from pricevault.plans.statistics import run_bar_statistics, stored_profile, volume_stats
+from pricevault.plans.statistics import run_bar_statistics, stored_extremes, stored_profile, volume_stats
 from pricevault.schemas import DAY, HISTORICALS, MINUTE, MINUTE_HISTORICALS
 
 T = "2024-01-01 00:00:00"
@@ -127,7 +127,7 @@ def test_stored_statistics_open_no_bars(spark, sf_dir):
     base = shared_dir(spark, "stats-plan")
     run_bronze_daily(fr.raw_daily(fr.hist(spark, sf_dir)), Batch(base, 1, T))
     run_bar_statistics(spark, base, DAY, 1)
-    for df in (volume_stats(spark, base, DAY), stored_profile(spark, base, DAY)):
+    for df in (volume_stats(spark, base, DAY), stored_extremes(spark, base, DAY), stored_profile(spark, base, DAY)):
         assert all("_statistics/" in f for f in df.inputFiles())
 
 

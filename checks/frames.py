@@ -27,6 +27,9 @@ from pricevault.sources.readers import read_source
 SOURCE = "historicals"
 LOADS = {1: "2024-01-01 00:00:00", 2: "2024-02-01 00:00:00", 3: "2024-03-01 00:00:00"}
 
+#: Buckets of the vault that is laid out by merge key: few, for small tables.
+BUCKETS = 8
+
 #: Two overlapping feeds that together hold every bar.
 EARLY_BEFORE, LATE_FROM = "1997-01-01", "1996-01-01"
 MINUTE_EARLY_BEFORE, MINUTE_LATE_FROM = "2024-01-20 00:00:00", "2024-01-10 00:00:00"
@@ -240,10 +243,15 @@ def stored_vault_base(spark: SparkSession, sf_dir: str) -> str:
     return written_once(spark, sf_dir, "vault", lambda p: _load(spark, sf_dir, p))
 
 
-def _load(spark: SparkSession, sf_dir: str, base: str) -> None:
+def laid_out_vault_base(spark: SparkSession, sf_dir: str) -> str:
+    """The same loads into a vault in buckets, whose histories are stored with their ends."""
+    return written_once(spark, sf_dir, "vault-laid-out", lambda p: _load(spark, sf_dir, p, buckets=BUCKETS, store_ends=True))
+
+
+def _load(spark: SparkSession, sf_dir: str, base: str, **layout) -> None:
     days, minutes = hist(spark, sf_dir), minute(spark, sf_dir)
     for k in LOADS:
-        batch = Batch(base, k, LOADS[k], SOURCE)
+        batch = Batch(base, k, LOADS[k], SOURCE, **layout)
         if k < 3:
             run_vault_daily(restated(days) if k == 2 else days, batch)
         run_vault_minute(restated(minutes) if k == 2 else minutes, batch)

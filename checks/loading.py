@@ -532,6 +532,10 @@ CORRECTED_SYMBOLS = "(SELECT Symbol FROM early UNION SELECT symbol FROM raw1)"
 )
 def mrg_correct_earlier(spark, d):
     """Batch 1 was loaded with bars missing and wrong; it is corrected and what was merged on it runs again."""
+    return corrected_vault(spark, d)
+
+
+def corrected_vault(spark, d, **layout) -> DataFrame:
     base, bars = shared_dir(spark, "vault-correct"), fr.hist(spark, d)
     wrong = fr.early(bars).filter("Symbol NOT LIKE '%7'").withColumn("Close", F.col("Close") + 5)
     feeds = {
@@ -542,9 +546,9 @@ def mrg_correct_earlier(spark, d):
     }
     runs = {"historicals": run_vault_daily, "sat_company_info": run_vault_company}
     for (load, k), rows in feeds.items():
-        runs[load](rows, Batch(base, k, LOADS[k]))
+        runs[load](rows, Batch(base, k, LOADS[k], **layout))
     feeds["historicals", 1] = fr.early(bars)
-    replay_vault(spark, base, 1, lambda load, k: (feeds[load, k], Batch(base, k, LOADS[k])))
+    replay_vault(spark, base, 1, lambda load, k: (feeds[load, k], Batch(base, k, LOADS[k], **layout)))
 
     vault = open_vault(spark, base)
     hubs = vault["hub_instrument"].select("Instrument_HK", "Symbol", "Load_DTS")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -80,6 +80,19 @@ def register_external(spark: SparkSession, name: str, path: str) -> None:
         spark.catalog.recoverPartitions(name)
 
 
+def register_bucketed(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, key: str, buckets: int, partition_by: Sequence[str]
+) -> None:
+    """Register a folder of bucketed Parquet partitions, or make the entry follow the partitions that it holds now."""
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partition_by).parquet(path)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl(schema)}) USING PARQUET PARTITIONED BY ({', '.join(partition_by)})"
+        f" CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION {_quote(path)}"
+    )
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
 def create_view(spark: SparkSession, name: str, query: str, replace: bool = True) -> None:
     """Create a view; an existing one is replaced, or kept if ``replace`` is off."""
     how = "CREATE OR REPLACE VIEW" if replace else "CREATE VIEW IF NOT EXISTS"

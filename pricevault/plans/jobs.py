@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricevault.catalog import create_schema, create_view, register_external
+from pricevault.catalog import create_schema, create_view, register_bucketed, register_external
 from pricevault.operators.history import intervals
 from pricevault.operators.keyed import unique_keys
 from pricevault.operators.quality import BROKEN, assert_not_null, broken_rules
 from pricevault.operators.wrangle import ensure_symbol, to_bronze, to_bronze_company
+from pricevault.plans.histories import Place, live_versions, read_history, store_history
 from pricevault.plans.staging import stage_bars, stage_company
 from pricevault.plans.vault import (
     load_hub,
@@ -47,7 +48,8 @@ from pricevault.schemas import (
     SatSpec,
     TableSpec,
 )
-from pricevault.sources.readers import RAW_FILE, RAW_LINE
+from pricevault.sources.buckets import read_bucketed, write_bucketed
+from pricevault.sources.readers import RAW_FILE, RAW_LINE, read_or_empty
 from pricevault.sources.runs import Run, all_runs, fingerprint, stale_runs, start_run
 from pricevault.sources.tablelog import BATCH, LOAD, append_log, by_partition, read_as_of, read_log
 
@@ -58,6 +60,8 @@ PERIOD_FIELD = T.StructField(PERIOD, T.DateType())
 #: Partition column of bronze logs: accepted rows and those that a rule turned away.
 REJECTED = "_rejected"
 REJECTED_FIELD = T.StructField(REJECTED, T.BooleanType())
+#: Layout of a vault, one row, written by its first load.
+LAYOUT = T.StructType([T.StructField("buckets", T.IntegerType())])
 COMPACTED = T.StructType([T.StructField("folder", T.StringType()), T.StructField("reads", T.StringType())])
 
 
@@ -73,6 +77,11 @@ class Batch:
     register_in: str | None = None
     #: Run although later batches were merged on this one; they are stale until they are run again.
     over_later: bool = False
+    #: Buckets, by merge key, of each period of a *new* vault's links and price satellites; later batches follow the vault.
+    #: Take no fewer than ``spark.sql.shuffle.partitions``, or Spark may prefer to move the stored side.
+    buckets: int | None = None
+    #: Store the versions that the batch touched with their ``End_DTS`` as well (:mod:`pricevault.plans.histories`).
+    store_ends: bool = False
 
 
 # Bronze
@@ -235,6 +244,7 @@ def run_vault_minute(source: DataFrame, batch: Batch) -> None:
 def run_vault_company(source: DataFrame, batch: Batch, spec: SatSpec = SAT_COMPANY_INFO) -> None:
     """Company facts -> instrument hub, versioned company satellite."""
     spark = source.sparkSession
+    _settle_layout(spark, batch)
     _, before = start_run(spark, _vault_runs(batch.base), batch.batch_id, spec.table.name, batch.over_later)
     staged = stage_company(source, batch.load_dts, batch.record_source, spec)
     log = _earlier(spark, spec.table, batch, version_columns(spec))
@@ -243,11 +253,14 @@ def run_vault_company(source: DataFrame, batch: Batch, spec: SatSpec = SAT_COMPA
         lambda: _write_hub(spark, batch, staged, HUB_INSTRUMENT, spec.table.name, before),
         lambda: _write(batch, spec.table, load_sat_versions(log, staged, spec)),
     )
+    if batch.store_ends and spec == SAT_COMPANY_INFO:
+        store_ends(spark, batch.base, batch.batch_id, spec)
     _register(spark, batch, [HUB_INSTRUMENT.table, spec.table])
 
 
 def _run_vault_bars(source: DataFrame, grain: Grain, batch: Batch) -> None:
     spark = source.sparkSession
+    buckets = _settle_layout(spark, batch)
     _, before = start_run(spark, _vault_runs(batch.base), batch.batch_id, grain.bronze.name, batch.over_later)
     bars = ensure_symbol(source, batch.symbol)
     staged = stage_bars(bars, grain, batch.load_dts, batch.record_source)
@@ -256,17 +269,17 @@ def _run_vault_bars(source: DataFrame, grain: Grain, batch: Batch) -> None:
     link, sat, extra = grain.link, grain.sat, (PERIOD,)
 
     def write_link() -> None:
-        target = _touched(spark, link.table, batch, span)
-        _write(batch, link.table, load_link(target, staged, link, extra), extra)
+        target = _touched(spark, link.table, batch, span, buckets=buckets)
+        _write(batch, link.table, load_link(target, staged, link, extra), extra, buckets)
 
     def write_sat() -> None:
         if sat.versioned:
-            target = _touched(spark, sat.table, batch, span, version_columns(sat))
+            target = _touched(spark, sat.table, batch, span, version_columns(sat), buckets)
             rows = load_sat_versions(target, staged, sat, extra)
         else:
-            target = _touched(spark, sat.table, batch, span)
-            rows = load_sat_insert_only(target, staged, sat, extra)
-        _write(batch, sat.table, rows, extra)
+            target = _touched(spark, sat.table, batch, span, buckets=buckets)
+            rows = load_sat_insert_only(target, staged, sat, extra, by_parent=buckets > 0)
+        _write(batch, sat.table, rows, extra, buckets)
 
     _write_all(
         spark,
@@ -275,6 +288,8 @@ def _run_vault_bars(source: DataFrame, grain: Grain, batch: Batch) -> None:
         write_link,
         write_sat,
     )
+    if batch.store_ends and sat.versioned:
+        store_ends(spark, batch.base, batch.batch_id, sat)
     _register(spark, batch, [HUB_INSTRUMENT.table, grain.hub.table, link.table, sat.table])
 
 
@@ -290,8 +305,32 @@ def _write_all(spark: SparkSession, *writes: Callable[[], None]) -> None:
         write.result()
 
 
-def _write(batch: Batch, spec: TableSpec, rows: DataFrame, partition_by=()) -> None:
-    append_log(_required(rows, spec), spec.location(batch.base), batch.batch_id, partition_by)
+def _write(batch: Batch, spec: TableSpec, rows: DataFrame, partition_by=(), buckets: int = 0) -> None:
+    rows, path = _required(rows, spec), spec.location(batch.base)
+    if buckets:
+        write_bucketed(rows, f"{path}/{BATCH}={int(batch.batch_id)}", spec.bucket_by, buckets, partition_by)
+    else:
+        append_log(rows, path, batch.batch_id, partition_by)
+
+
+def vault_buckets(spark: SparkSession, base: str) -> int | None:
+    """Buckets of the vault's bar tables by merge key (0: none), or None before its first load."""
+    found = read_or_empty(spark, f"{base.rstrip('/')}/vault_layout", LAYOUT).first()
+    if found:
+        return found.buckets
+    return 0 if all_runs(spark, _vault_runs(base)) else None
+
+
+def _settle_layout(spark: SparkSession, batch: Batch) -> int:
+    """The vault's buckets; its first load writes them down before anything else."""
+    known = vault_buckets(spark, batch.base)
+    if known is None:
+        known = batch.buckets or 0
+        record = spark.createDataFrame([(known,)], LAYOUT).coalesce(1)
+        record.write.mode("overwrite").parquet(f"{batch.base.rstrip('/')}/vault_layout")
+    if batch.buckets not in (None, known):
+        raise ValueError(f"the vault has {known} buckets, not {batch.buckets}")
+    return known
 
 
 def _write_hub(spark: SparkSession, batch: Batch, staged: DataFrame, hub: HubSpec, load: str, before: list[Run]) -> None:
@@ -345,13 +384,59 @@ def _earlier(
     return read_log(spark, spec.location(batch.base), schema, batch.batch_id - 1, may_be_new=True)
 
 
+def _bar_log(spark: SparkSession, base: str, spec: TableSpec, buckets: int, upto: int | None = None) -> DataFrame:
+    """The log of a link or price satellite up to a batch, with its period; versions carry no ``End_DTS``."""
+    fields = [*(f for f in spec.schema if f.name != "End_DTS"), PERIOD_FIELD]
+    if not buckets:
+        return read_log(spark, spec.location(base), T.StructType(fields), upto, may_be_new=True)
+    schema = T.StructType([*fields, T.StructField(BATCH, T.LongType())])
+    log = read_bucketed(spark, spec.location(base), schema, spec.bucket_by, buckets, [BATCH, PERIOD])
+    return log if upto is None else log.filter(F.col(BATCH) <= upto)
+
+
 def _touched(
-    spark: SparkSession, spec: TableSpec, batch: Batch, span, columns: list[str] | None = None
+    spark: SparkSession, spec: TableSpec, batch: Batch, span, columns: list[str] | None = None, buckets: int = 0
 ) -> DataFrame:
     """The log before this batch, in the periods the batch covers: a pruned scan."""
-    schema = T.StructType([*_stored(spec, columns).fields, PERIOD_FIELD])
-    log = read_log(spark, spec.location(batch.base), schema, batch.batch_id - 1, may_be_new=True)
-    return log.filter(F.col(PERIOD).between(F.lit(span[0]), F.lit(span[1])))
+    log = _bar_log(spark, batch.base, spec, buckets, batch.batch_id - 1)
+    names = [f.name for f in _stored(spec, columns)]
+    return log.select(*names, PERIOD, BATCH).filter(F.col(PERIOD).between(F.lit(span[0]), F.lit(span[1])))
+
+
+def _sat_runs(spark: SparkSession, base: str, sat: SatSpec, upto: int | None = None) -> list[Run]:
+    """The runs that wrote a satellite, in order."""
+    load = next((g.bronze.name for g in (DAY, MINUTE) if g.sat == sat), sat.table.name)
+    return [r for r in all_runs(spark, _vault_runs(base)) if r.load == load and (upto is None or r.batch_id <= upto)]
+
+
+def _sat_log(spark: SparkSession, base: str, sat: SatSpec, buckets: int, upto: int | None) -> DataFrame:
+    if any(g.sat == sat for g in (DAY, MINUTE)):
+        return _bar_log(spark, base, sat.table, buckets, upto)
+    return read_log(spark, sat.table.location(base), _stored(sat.table, version_columns(sat)), upto, may_be_new=True)
+
+
+def _history_place(base: str, sat: SatSpec, buckets: int) -> Place:
+    of_bars = any(g.sat == sat for g in (DAY, MINUTE))
+    return Place(base, sat, PERIOD if of_bars else None, buckets if of_bars else 0)
+
+
+def store_ends(spark: SparkSession, base: str, upto: int, sat: SatSpec) -> None:
+    """Store a versioned satellite's history after batch ``upto``: the periods touched since it was stored last.
+
+    Loads do it where ``Batch.store_ends`` is set. Without it, or while it does not fit, ``End_DTS`` is found on read.
+    """
+    buckets = vault_buckets(spark, base) or 0
+    place = _history_place(base, sat, buckets)
+    store_history(spark, place, lambda: _sat_log(spark, base, sat, buckets, upto), _sat_runs(spark, base, sat, upto), upto)
+
+
+def _history(spark: SparkSession, base: str, sat: SatSpec, buckets: int, upto: int | None) -> DataFrame:
+    """A versioned satellite with ``End_DTS``: stored if that fits all its runs up to ``upto``, else from the log."""
+    place, runs = _history_place(base, sat, buckets), _sat_runs(spark, base, sat, upto)
+    found = live_versions(spark, place, runs, upto)
+    if found and all(r.batch_id <= found[0] for r in runs):
+        return read_history(spark, place, found[1])
+    return intervals(_sat_log(spark, base, sat, buckets, upto), [sat.parent_key])
 
 
 def _register(spark: SparkSession, batch: Batch, specs: Iterable[TableSpec]) -> None:
@@ -368,12 +453,18 @@ def register_vault(spark: SparkSession, base: str, schema: str, specs: Iterable[
     """
     create_schema(spark, schema, base)
     versioned = {sat.table.name: sat.parent_key for sat in SATELLITES if sat.versioned}
+    buckets = vault_buckets(spark, base) or 0
+    of_bars = {x.table.name for g in (DAY, MINUTE) for x in (g.link, g.sat)}
     for spec in specs:
         name, key = f"{schema}.{spec.name}", versioned.get(spec.name)
+        entry = name if key is None else f"{name}_log"
+        if buckets and spec.name in of_bars:
+            fields = [*(f for f in spec.schema if f.name != "End_DTS"), T.StructField(BATCH, T.LongType()), PERIOD_FIELD]
+            register_bucketed(spark, entry, spec.location(base), T.StructType(fields), spec.bucket_by, buckets, [BATCH, PERIOD])
+        else:
+            register_external(spark, entry, spec.location(base))
         if key is None:
-            register_external(spark, name, spec.location(base))
             continue
-        register_external(spark, f"{name}_log", spec.location(base))
         end = f"lead(Effective_DTS) OVER (PARTITION BY {key} ORDER BY Effective_DTS) AS End_DTS"
         columns = ", ".join(end if c == "End_DTS" else c for c in spec.columns)
         create_view(spark, name, f"SELECT {columns} FROM {name}_log")
@@ -393,16 +484,15 @@ def open_vault(
 
     ``days`` (first and last day, both included) opens only the calendar periods that hold
     bars of these days: other periods are pruned before any file is read. A bar's versions
-    all lie in the bar's own period, so histories stay whole.
+    all lie in the bar's own period, so histories stay whole. A vault in buckets is opened through the
+    session's catalog, and stored histories that fit are read instead of being derived.
     """
 
-    def bars(spec: TableSpec, grain: Grain, columns: list[str]) -> DataFrame:
-        schema = T.StructType([*_stored(spec, columns).fields, PERIOD_FIELD])
-        log = read_log(spark, spec.location(base), schema, upto, may_be_new=True)
+    def opened(rows: DataFrame, spec: TableSpec, grain: Grain) -> DataFrame:
         if days:
             first, last = (F.trunc(F.lit(d).cast("date"), grain.period) for d in days)
-            log = log.filter(F.col(PERIOD).between(first, last))
-        return log.select(*columns)
+            rows = rows.filter(F.col(PERIOD).between(first, last))
+        return rows.select(*spec.columns)
 
     stale = [r for r in stale_runs(all_runs(spark, _vault_runs(base))) if upto is None or r.batch_id <= upto]
     if stale:
@@ -411,23 +501,20 @@ def open_vault(
     for hub in HUBS:
         log = read_log(spark, hub.table.location(base), hub.table.schema, upto, hub is not HUB_INSTRUMENT)
         vault[hub.table.name] = log.select(*hub.table.columns)
+    buckets = vault_buckets(spark, base) or 0
     for grain in (DAY, MINUTE):
         link, sat = grain.link, grain.sat
-        vault[link.table.name] = bars(link.table, grain, link.table.columns)
-        rows = bars(sat.table, grain, version_columns(sat))
-        vault[sat.table.name] = _versions(rows, sat)
+        vault[link.table.name] = opened(_bar_log(spark, base, link.table, buckets, upto), link.table, grain)
+        if sat.versioned:
+            rows = _history(spark, base, sat, buckets, upto)
+        else:
+            rows = _bar_log(spark, base, sat.table, buckets, upto)
+        vault[sat.table.name] = opened(rows, sat.table, grain)
     sat = SAT_COMPANY_INFO
-    log = read_log(spark, sat.table.location(base), _stored(sat.table, version_columns(sat)), upto, may_be_new=True)
-    vault[sat.table.name] = _versions(log.select(*version_columns(sat)), sat)
+    vault[sat.table.name] = _history(spark, base, sat, 0, upto).select(*sat.table.columns)
     return vault
 
 
-def _versions(rows: DataFrame, sat: SatSpec) -> DataFrame:
-    if sat.versioned:
-        rows = intervals(rows, [sat.parent_key])
-    return rows.select(*sat.table.columns)
-
-
 def publish(vault: dict[str, DataFrame]) -> None:
     """Make the vault's tables usable by name in SQL for this session."""
     for name, table in vault.items():

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pricevault.functions import hash_key
 from pricevault.operators.history import scd2_changes
-from pricevault.operators.keyed import insert_new, latest, unique_keys
+from pricevault.operators.keyed import dedupe, insert_new, latest, unique_keys
 from pricevault.schemas import HubSpec, LinkSpec, SatSpec
 
 AUDIT = ["Load_DTS", "Record_Source"]
@@ -48,12 +48,21 @@ def load_link(
 
 
 def load_sat_insert_only(
-    target: DataFrame, staged: DataFrame, spec: SatSpec, extra: tuple[str, ...] = ()
+    target: DataFrame, staged: DataFrame, spec: SatSpec, extra: tuple[str, ...] = (), by_parent: bool = False
 ) -> DataFrame:
-    """Attribute states not held yet for their parent: unique on parent key and hash-diff."""
-    columns = [*spec.table.columns, *extra]
-    keys = [spec.parent_key, "Hash_Diff"]
-    return insert_new(target, staged.select(*columns), keys, AUDIT)
+    """Attribute states not held yet for their parent: unique on parent key and hash-diff.
+
+    ``by_parent`` is for a target laid out by the parent key. An anti-join on both keys would move the
+    target by both; instead each parent's few known hash-diffs are gathered where they are, and the batch goes there.
+    """
+    columns, parent = [*spec.table.columns, *extra], spec.parent_key
+    keys = [parent, "Hash_Diff"]
+    if not by_parent:
+        return insert_new(target, staged.select(*columns), keys, AUDIT)
+    known = target.groupBy(F.col(parent).alias("_of")).agg(F.collect_set("Hash_Diff").alias("_known"))
+    found = dedupe(staged.select(*columns), keys, AUDIT).join(known, F.col(parent) == F.col("_of"), "left")
+    held = F.coalesce(F.array_contains("_known", F.col("Hash_Diff")), F.lit(False))
+    return found.filter(~held).select(*columns)
 
 
 def load_sat_versions(

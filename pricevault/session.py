@@ -30,8 +30,12 @@ def get_spark(app: str = "pricevault", master: str | None = None, **conf: str) -
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder URI that every executor can reach.
 
-    It lies below ``spark.checkpoint.dir``, or below the warehouse folder, which executors
-    share as well, when no checkpoint folder is set.
+    It lies below ``spark.checkpoint.dir``, or below the warehouse folder when no checkpoint folder is
+    set. A warehouse on the machine's own disk is refused where executors run on other machines.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and base.startswith(("file:", "/")):
+            raise ValueError(f"set spark.checkpoint.dir: {base} is a folder of this machine alone")
     return f"{base.rstrip('/')}/pricevault/{label}-{uuid.uuid4().hex}"

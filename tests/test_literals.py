@@ -258,3 +258,23 @@ def test_late_batch_is_refused(spark):
     history = scd2_apply(history, _feed(spark, ("a", "A", 5)), keys, datetime(2025, 1, 5))
     with pytest.raises(Exception, match="not later"):
         scd2_apply(history, _feed(spark, ("a", "B", 3)), keys, datetime(2025, 1, 3)).collect()
+
+
+class _Session:
+    """The settings of a session, without one."""
+
+    def __init__(self, master: str, **conf: str):
+        self.conf, self.sparkContext = {"spark.sql.warehouse.dir": "file:/tmp/warehouse", **conf}, self
+        self.master = master
+
+
+def test_scratch_folders_are_shared():
+    from pricevault import shared_dir
+
+    assert shared_dir(_Session("local[4]"), "x").startswith("file:/tmp/warehouse/pricevault/x-")
+    shared = {"spark.checkpoint.dir": "file:/mnt/shared/"}
+    assert shared_dir(_Session("spark://a:7077", **shared), "x").startswith("file:/mnt/shared/pricevault/x-")
+    store = {"spark.sql.warehouse.dir": "s3a://lake/warehouse"}
+    assert shared_dir(_Session("spark://a:7077", **store), "x").startswith("s3a://lake/warehouse/pricevault/x-")
+    with pytest.raises(ValueError, match="this machine alone"):
+        shared_dir(_Session("spark://a:7077"), "x")

@@ -5,6 +5,7 @@ Each writes whole frames to a new shared folder and returns what is read back.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -220,17 +221,12 @@ def _filled(spark, d, buckets: int = 0) -> str:
         "company": fr.company(spark, d, 3),
     }
     specs = [s for s in (*BRONZE_TABLES, *VAULT_TABLES) if s.name in frames]
-    specs = [_unpartitioned(s) for s in specs]
     cat.create_tables(spark, specs, base, schema, buckets=buckets)
     for spec in specs:
         frames[spec.name].select(*spec.columns).write.insertInto(f"{schema}.{spec.name}")
     return schema
 
 
-def _unpartitioned(spec):
-    return type(spec)(**{**spec.__dict__, "partition_by": ()})
-
-
 def _counts(spark, schema: str, names) -> DataFrame:
     parts = [
         spark.table(f"{schema}.{n}").agg(F.count(F.lit(1)).alias("n_rows")).select(
@@ -357,7 +353,7 @@ def cat_describe(spark, d):
 def cat_repoint(spark, d):
     """Files of an external table survive a change of its entry's place and back."""
     base, other, schema = shared_dir(spark, "here"), shared_dir(spark, "there"), fr.new_schema()
-    spec = _unpartitioned(HISTORICALS)
+    spec = HISTORICALS
     cat.create_tables(spark, [spec], base, schema)
     fr.hist(spark, d).select(*spec.columns).write.insertInto(f"{schema}.{spec.name}")
     cat.create_tables(spark, [spec], other, schema, repoint=True)
@@ -405,7 +401,7 @@ def cat_view(spark, d):
 def cat_partitioned(spark, d):
     """A table partitioned by symbol, written through the registry and found again."""
     base, schema = shared_dir(spark, "partitioned"), fr.new_schema()
-    spec = MINUTE.bronze
+    spec = replace(MINUTE.bronze, partition_by=("Symbol",), bucket_by=None)  # an own definition
     cat.create_tables(spark, [spec], base, schema)
     rows = fr.minute(spark, d)
     append(rows, spec.location(base), spec.partition_by)

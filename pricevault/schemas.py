@@ -112,14 +112,14 @@ HISTORICALS = TableSpec(
     "historicals",
     struct(("Date", DATE), ("Symbol", STRING), *PRICES),
     keys=("Symbol", "Date"),
-    partition_by=("Symbol",),
+    bucket_by="Symbol",  # a folder for each symbol would be far too many
     checks=BAR_CHECKS,
 )
 MINUTE_HISTORICALS = TableSpec(
     "minute_historicals",
     struct(("DateTime", INSTANT), ("Symbol", STRING), *PRICES),
     keys=("Symbol", "DateTime"),
-    partition_by=("Symbol",),
+    bucket_by="Symbol",
     subpath="historicals_minute",
     checks=MINUTE_CHECKS,
 )

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime
+import os
 
 import pytest
 
 from checks import frames as fr
+from pricevault import catalog as cat
 from pricevault import shared_dir
 from pricevault.plans import jobs
 from pricevault.plans.jobs import Batch, open_vault, run_vault_daily, run_vault_minute
@@ -71,3 +73,16 @@ def test_merged_rows_are_written_where_they_are(spark, monkeypatch, buckets):
     assert len(seen) == 4 and all(gathered for gathered, _ in seen)
     sat = open_vault(spark, base)["sat_instrument_day_prices"]
     assert sorted((r.Close, str(r.Load_DTS)) for r in sat.collect()) == [(1.0, T1), (2.0, T1), (3.0, T2)]
+
+
+def test_what_is_stored_is_packed(spark, tmp_path):
+    base = str(tmp_path / "vault")
+    bars = spark.createDataFrame([(datetime.datetime(2024, 1, 2, 10), *day("A", "2024-01-02", 1.0)[1:])], MINUTE.bronze.schema)
+    run_vault_minute(bars, Batch(base, 1, T1, buckets=2, store_ends=True))
+    run_vault_daily(daily(spark, ("A", "2024-01-02", 1.0)), Batch(base, 1, T1))
+    cat.create_tables(spark, [HISTORICALS], str(tmp_path / "tables"), "packed_tables", buckets=2)
+    daily(spark, ("A", "2024-01-02", 1.0)).write.insertInto("packed_tables.historicals")
+    files = [os.path.join(d, f) for d, _, names in os.walk(tmp_path) for f in names if f.endswith(".parquet")]
+    tables = ("link_", "sat_", "hub_", "historicals")
+    stored = [f for f in files if any(t in os.path.relpath(f, tmp_path) for t in tables)]
+    assert len(stored) > 6 and not [f for f in stored if ".snappy." in f]

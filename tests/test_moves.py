@@ -6,10 +6,13 @@ import datetime
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import frames as fr
 from pricevault import catalog as cat
 from pricevault import shared_dir
+from pricevault.operators.skew import spread_join
+from pricevault.operators.views import instrument_view_at
 from pricevault.plans import jobs
 from pricevault.plans.jobs import Batch, open_vault, run_vault_daily, run_vault_minute
 from pricevault.plans.vault import load_sat_insert_only, load_sat_versions
@@ -37,6 +40,23 @@ def daily(spark, *rows):
     return spark.createDataFrame([day(*r) for r in rows], HISTORICALS.schema)
 
 
+def test_states_become_rows_by_moment_after_all_joins(spark, sf_dir, no_broadcast):
+    view = instrument_view_at(fr.stored_vault(spark, sf_dir), DAY, ["2024-01-15 00:00:00", "2024-02-15 00:00:00"])
+    text = plan(view)
+    assert text.index("Generate explode(_moments") < text.index("Join")
+    assert text.count("Generate explode(_moments") == 1
+
+
+def test_pieces_of_a_key_are_one_set(spark, no_broadcast):
+    facts = spark.createDataFrame([("A", 1), ("A", None), ("B", 2), (None, 3)], "k string, n int")
+    dim = spark.createDataFrame([("A", 10), (None, 30)], "k string, v int")
+    joined = spread_join(facts, dim, "k", F.col("n"))
+    text = plan(joined)
+    assert sorted(map(tuple, joined.collect()), key=str) == [("A", 1, 10), ("A", None, 10), (None, 3, 30)]
+    # The sets once by key, the dimension by key, pairs and rows by key and piece.
+    assert text.count("Exchange hashpartitioning") == 4
+
+
 @pytest.mark.parametrize("buckets", [0, 4])
 def test_a_satellite_batch_is_moved_once_without_its_hash_diffs(spark, sf_dir, no_broadcast, buckets):
     for grain, rows, load in (

@@ -124,7 +124,7 @@ def _run_bronze(rows: DataFrame, table: TableSpec, order: Column, batch: Batch,
     layout = [REJECTED]
     if when is not None:
         kept, layout = kept.withColumn(PERIOD, when), [REJECTED, PERIOD]
-    append_log(kept, path, batch.batch_id, layout)
+    append_log(kept, path, batch.batch_id, layout, gathered=True)
 
 
 def _bronze_runs(base: str, table: TableSpec) -> str:

@@ -14,7 +14,7 @@ from pricevault import shared_dir
 from pricevault.operators.skew import spread_join
 from pricevault.operators.views import instrument_view_at
 from pricevault.plans import jobs
-from pricevault.plans.jobs import Batch, open_vault, run_vault_daily, run_vault_minute
+from pricevault.plans.jobs import Batch, open_vault, read_bronze, run_bronze_daily, run_vault_daily, run_vault_minute
 from pricevault.plans.vault import load_sat_insert_only, load_sat_versions
 from pricevault.schemas import DAY, HISTORICALS, MINUTE
 
@@ -106,3 +106,12 @@ def test_what_is_stored_is_packed(spark, tmp_path):
     tables = ("link_", "sat_", "hub_", "historicals")
     stored = [f for f in files if any(t in os.path.relpath(f, tmp_path) for t in tables)]
     assert len(stored) > 6 and not [f for f in stored if ".snappy." in f]
+
+
+def test_a_bronze_batch_is_written_where_its_keys_were_checked(spark, monkeypatch):
+    base, seen, write = shared_dir(spark, "bronze-where"), [], jobs.append_log
+    monkeypatch.setattr(jobs, "append_log", lambda *args, **more: (seen.append(more.get("gathered")), write(*args, **more)))
+    bars = daily(spark, ("A", "2023-01-02", 1.0), ("B", "2024-01-02", 2.0), ("B", "2024-01-03", -1.0))
+    run_bronze_daily(fr.raw_daily(bars.withColumn("Symbol", F.lit("P1"))), Batch(base, 1, T1))
+    assert seen == [True]
+    assert sorted(r.Close for r in read_bronze(spark, base, HISTORICALS).collect()) == [1.0, 2.0]

@@ -8,14 +8,15 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from checks import QUERIES
 from checks import frames as fr
 from pricevault import catalog as cat
 from pricevault import shared_dir
 from pricevault.operators.skew import spread_join
-from pricevault.operators.views import instrument_view_at
+from pricevault.operators.views import _piece, instrument_daily_view, instrument_view_at
 from pricevault.plans import jobs
 from pricevault.plans.jobs import Batch, open_vault, read_bronze, run_bronze_daily, run_vault_daily, run_vault_minute
-from pricevault.plans.vault import load_sat_insert_only, load_sat_versions
+from pricevault.plans.vault import load_link, load_sat_insert_only, load_sat_versions
 from pricevault.schemas import DAY, HISTORICALS, MINUTE
 
 T1, T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
@@ -115,3 +116,60 @@ def test_a_bronze_batch_is_written_where_its_keys_were_checked(spark, monkeypatc
     run_bronze_daily(fr.raw_daily(bars.withColumn("Symbol", F.lit("P1"))), Batch(base, 1, T1))
     assert seen == [True]
     assert sorted(r.Close for r in read_bronze(spark, base, HISTORICALS).collect()) == [1.0, 2.0]
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_a_bar_batch_moves_business_keys_and_a_plain_target_moves_short_ones(spark, sf_dir, no_broadcast, buckets):
+    for grain, staged in ((DAY, fr.stage_daily(fr.hist(spark, sf_dir), 1)), (MINUTE, fr.stage_minute(fr.minute(spark, sf_dir), 1))):
+        key, made_of = grain.link.link_key, grain.link.business_keys
+        bare = staged.drop("Hash_Diff", key)
+        link, sat = (spark.createDataFrame([], x.table.schema) for x in (grain.link, grain.sat))
+        loads = [(load_link(link, bare, grain.link, buckets=buckets), load_link(link, staged, grain.link))]
+        if grain is DAY:
+            short = load_sat_insert_only(sat, bare, DAY.sat, by_parent=True, buckets=buckets, made_of=made_of)
+            loads.append((short, load_sat_insert_only(sat, staged, DAY.sat)))
+        else:
+            loads.append((load_sat_versions(sat, bare, MINUTE.sat, buckets=buckets, made_of=made_of), load_sat_versions(sat, staged, MINUTE.sat)))
+        for loaded, whole in loads:
+            text = plan(loaded)
+            assert text.count("Exchange hashpartitioning") == 2  # the batch and the target
+            moved = text[text.index("REPARTITION_BY") :].split("FileScan")[0]
+            assert "md5" not in moved.split("\n", 1)[1]  # hashed after the move
+            if not buckets and "_key" in text:
+                assert "unhex" in text[text.index("ENSURE_REQUIREMENTS") :]
+            assert loaded.columns == whole.columns and loaded.exceptAll(whole).count() == 0 == whole.exceptAll(loaded).count()
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_states_held_already_are_found_by_short_keys(spark, buckets):
+    base = shared_dir(spark, "short")
+    run_vault_daily(daily(spark, ("A", "2023-01-02", 1.0), ("B", "2024-01-02", 2.0)), Batch(base, 1, T1, buckets=buckets))
+    again = daily(spark, ("A", "2023-01-02", 3.0), ("A", "2023-01-02", 3.0), ("B", "2024-01-02", 2.0), ("B", "2024-01-02", 4.0))
+    run_vault_daily(again, Batch(base, 2, T2))
+    run_vault_daily(daily(spark, ("A", "2023-01-02", 1.0), ("C", "2022-01-02", -0.0)), Batch(base, 3, "2024-03-01 00:00:00"))
+    vault = open_vault(spark, base)
+    states = sorted((r.Close, str(r.Load_DTS)) for r in vault["sat_instrument_day_prices"].collect())
+    assert states == [(0.0, "2024-03-01 00:00:00"), (1.0, T1), (2.0, T1), (3.0, T2), (4.0, T2)]
+    assert vault["link_instrument_day"].count() == 3 == vault["link_instrument_day"].select("Instrument_Day_LK").distinct().count()
+
+
+def test_daily_views_of_a_plain_vault_move_short_keys(spark, sf_dir, no_broadcast):
+    vault = fr.stored_vault(spark, sf_dir)
+    view = instrument_daily_view(vault)
+    assert "unhex(Instrument_Day_LK" in plan(view) and plan(view).count("Exchange hashpartitioning(Instrument_Day_LK") == 2
+    as_stored = instrument_daily_view(dict(vault))  # does not say that it is plain
+    assert "unhex" not in plan(as_stored)
+    assert view.count() > 0 == view.exceptAll(as_stored).count() == as_stored.exceptAll(view).count()
+    laid_out = open_vault(spark, fr.laid_out_vault_base(spark, sf_dir))
+    assert "unhex" not in plan(instrument_daily_view(laid_out)) and "Exchange hashpartitioning(Instrument_Day_LK" not in plan(instrument_daily_view(laid_out))
+
+
+def test_named_daily_view_moves_short_keys_unless_in_buckets(spark, sf_dir, no_broadcast):
+    for name, short in (("cat_job_view_daily", True), ("cat_job_view_bucketed", False)):
+        text = plan(QUERIES[name](spark, sf_dir))
+        assert ("unhex(Instrument_Day_LK" in text) is short
+
+
+def test_an_instrument_of_few_bars_is_sent_to_few_places(spark):
+    links = spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("k"))
+    assert links.select(_piece("k").alias("p")).distinct().count() == 16

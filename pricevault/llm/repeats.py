@@ -3,7 +3,7 @@
 Each task turns its documents into window hashes, keeps the smallest document of each hash, and
 notes at once which of its documents only repeat that one. What remains, one entry for each hash
 and task batch, is packed into one row for each hash bucket and shuffled; a bucket compares its
-entries and lists the hashes of each document that a smaller document holds. The notes are
+entries and lists the hashes of each document that a smaller document holds. The notes are stored,
 then joined to the documents, which are hashed again and cut.
 
 A hot window costs one entry for each task batch, however often it occurs, and buckets hold
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricevault.llm.stored import stored
 from pricevault.llm.units import BUCKET_BASE, split_units, text_slices, unused, without
 
 #: Entries (distinct hashes of a task batch) that a bucket holds at about one window a unit.
@@ -236,7 +237,8 @@ def cut_repeats(docs: DataFrame, *, kind: str, size: int, own: bool, id_col: str
     total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, int(total // (UNIT_BYTES[kind] * BUCKET_ENTRIES)) + 1)
     packed = slim.mapInArrow(_packer(kind, size, buckets), PACKED)
-    notes = packed.groupBy("bucket").applyInArrow(_judge, NOTES)
+    # Stored, so that the windows' shuffle is gone before the texts are moved.
+    notes = stored(packed.groupBy("bucket").applyInArrow(_judge, NOTES), "notes")
     note_id, note_list, salt = (unused(docs.columns, x) for x in ("note_id", "notes", "salt"))
     notes = notes.groupBy(F.col("doc_id").alias(note_id)).agg(F.collect_list("hash").alias(note_list))
     notes = notes.withColumn(f"{salt}_", F.lit(0))

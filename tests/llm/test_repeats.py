@@ -129,3 +129,14 @@ def test_spans_and_empty_table(spark):
     assert found[1].removed_spans == [] and found[2].removed_spans == [[1, 16]] and found[2].text == "start end"
     assert substring_dedup(spark.createDataFrame([], KIND)).collect() == []
     assert line_dedup(spark.createDataFrame([], KIND)).collect() == []
+
+
+def test_windows_are_no_longer_held_when_texts_are_moved(spark):
+    from pricevault.llm.stored import stored
+
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i, i + 40))) for i in range(5)], "doc_id long, text string")
+    cut = substring_dedup(docs)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" not in plan and "FileScan" in plan  # the notes are read back
+    kept = stored(docs.repartition(3, "doc_id"), "packed")
+    assert all(".zstd." in name for name in kept.inputFiles()) and kept.count() == 5

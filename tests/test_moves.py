@@ -173,3 +173,29 @@ def test_named_daily_view_moves_short_keys_unless_in_buckets(spark, sf_dir, no_b
 def test_an_instrument_of_few_bars_is_sent_to_few_places(spark):
     links = spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("k"))
     assert links.select(_piece("k").alias("p")).distinct().count() == 16
+
+
+def minute_bars(spark, *rows):
+    at = datetime.datetime(2024, 1, 2, 10)
+    return spark.createDataFrame([(at, *day(symbol, "2024-01-02", close)[1:]) for symbol, close in rows], MINUTE.bronze.schema)
+
+
+def test_versions_of_a_plain_target_are_moved_by_short_keys(spark, no_broadcast):
+    staged = fr.stage_minute(minute_bars(spark, ("A", 1.0)), 1).drop("Hash_Diff", MINUTE.link.link_key)
+    none = spark.createDataFrame([], MINUTE.sat.table.schema)
+    text = plan(load_sat_versions(none, staged, MINUTE.sat, made_of=MINUTE.link.business_keys))
+    assert "Exchange hashpartitioning(_key" in text and "Exchange hashpartitioning(Instrument_Minute_LK" not in text
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_versions_follow_changes_and_a_repeated_key_is_named(spark, buckets):
+    base, t3 = shared_dir(spark, "versions"), "2024-03-01 00:00:00"
+    run_vault_minute(minute_bars(spark, ("A", 1.0), ("B", 2.0), ("B", 2.0)), Batch(base, 1, T1, buckets=buckets))
+    run_vault_minute(minute_bars(spark, ("A", 3.0), ("B", 2.0), ("C", -0.0)), Batch(base, 2, T2))
+    run_vault_minute(minute_bars(spark, ("A", 1.0), ("C", 0.0)), Batch(base, 3, t3))
+    rows = open_vault(spark, base)["sat_instrument_minute_prices"].collect()
+    found = sorted((r.Close, str(r.Effective_DTS), str(r.End_DTS)) for r in rows)
+    assert found == [(0.0, T2, "None"), (1.0, T1, T2), (1.0, t3, "None"), (2.0, T1, "None"), (3.0, T2, t3)]
+    key = minute_bars(spark, ("A", 1.0)).select(F.md5(F.lit("A|2024-01-02 10:00:00"))).first()[0]
+    with pytest.raises(Exception, match=f"duplicate merge key: {key}"):
+        run_vault_minute(minute_bars(spark, ("A", 5.0), ("A", 6.0)), Batch(base, 4, "2024-04-01 00:00:00"))

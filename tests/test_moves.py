@@ -199,3 +199,15 @@ def test_versions_follow_changes_and_a_repeated_key_is_named(spark, buckets):
     key = minute_bars(spark, ("A", 1.0)).select(F.md5(F.lit("A|2024-01-02 10:00:00"))).first()[0]
     with pytest.raises(Exception, match=f"duplicate merge key: {key}"):
         run_vault_minute(minute_bars(spark, ("A", 5.0), ("A", 6.0)), Batch(base, 4, "2024-04-01 00:00:00"))
+
+
+def test_bars_by_key_get_business_keys_before_prices_move(spark, no_broadcast):
+    base = shared_dir(spark, "by-key")
+    run_vault_daily(daily(spark, ("A", "2023-01-02", 1.0), ("B", "2024-01-02", 2.0)), Batch(base, 1, T1))
+    run_vault_daily(daily(spark, ("A", "2023-01-02", 3.0), ("B", "2024-01-02", 2.0)), Batch(base, 2, T2))
+    vault = open_vault(spark, base)
+    short, as_stored = fr.bars_by_key(vault), fr.bars_by_key(dict(vault))
+    assert plan(short).count("unhex(Instrument_Day_LK") >= 2 and "unhex" not in plan(as_stored)
+    for rows in (short, as_stored):
+        found = sorted((r.Symbol, str(r.Date), r.Close, str(r.Load_DTS)) for r in rows.collect())
+        assert found == [("A", "2023-01-02", 1.0, T1), ("A", "2023-01-02", 3.0, T2), ("B", "2024-01-02", 2.0, T1)]

@@ -211,3 +211,13 @@ def test_bars_by_key_get_business_keys_before_prices_move(spark, no_broadcast):
     for rows in (short, as_stored):
         found = sorted((r.Symbol, str(r.Date), r.Close, str(r.Load_DTS)) for r in rows.collect())
         assert found == [("A", "2023-01-02", 1.0, T1), ("A", "2023-01-02", 3.0, T2), ("B", "2024-01-02", 2.0, T1)]
+
+
+def test_derived_bars_carry_the_price_of_a_day_once_for_each_end(spark, tmp_path):
+    lines = [(7, 2, 1, 30.0), (7, 1, 1, 10.0), (9, 1, 1, 20.0), (1, 1, 2, 5.0)]
+    rows = [(*line, "1995-01-02", 1, 0.0, 0.0) for line in lines]
+    names = "l_orderkey long, l_linenumber long, l_partkey long, l_extendedprice double, l_shipdate string, l_quantity long, l_discount double, l_tax double"
+    spark.createDataFrame(rows, names).write.parquet(str(tmp_path / "lineitem.parquet"))
+    bars = fr.derive_hist(spark, str(tmp_path))
+    assert "min_by" not in plan(bars) and "max_by" not in plan(bars)
+    assert sorted((r.Symbol, r.Open, r.High, r.Low, r.Close, r.Volume) for r in bars.collect()) == [("P1", 10.0, 30.0, 10.0, 20.0, 3), ("P2", 5.0, 5.0, 5.0, 5.0, 1)]

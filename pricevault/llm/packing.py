@@ -27,7 +27,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricevault.llm.pretokens import PieceCache, splitter
+from pricevault.llm.flat_pieces import BLANKS, PATTERN, PieceTable
+from pricevault.llm.pretokens import BELOW_250, PieceCache, splitter
 from pricevault.llm.stored import stored
 from pricevault.llm.units import text_slices
 
@@ -37,6 +38,8 @@ SHARD_TOKENS = 3_000_000
 NEIGHBOURS = 64
 #: Numbers of a document's projection, and sampled documents of a shard (all shards: at least LEAST_SAMPLE).
 DIMENSIONS, SHARD_SAMPLE, LEAST_SAMPLE = 64, 64, 4000
+#: A term has a dense row if more than one in so many documents of a shard hold it; numbers of all such rows (64 MB).
+DENSE_SHARE, DENSE_NUMBERS = 8, 1 << 23
 K1, B = 1.2, 0.75
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -77,20 +80,36 @@ class Ids:
         ranks = merge_ranks(json.loads(definition))
         self.ranked = ranks and tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.cache = PieceCache(self.pieces)
+        self.table = PieceTable(self.flat) if pattern == PATTERN else None
 
     def pieces(self, texts: list[str]) -> list[bytes]:
         if not self.ranked:
             return self.encode(texts)
         return [array("I", self.ranked.encode_ordinary(x)).tobytes() for x in texts]
 
+    def flat(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces, and how many each has.
+
+        A line break parts words and is a piece by itself, so words are merged in one call.
+        """
+        if not self.ranked or any(x.endswith(BLANKS) for x in pieces):
+            found = self.pieces([x.decode() for x in pieces])
+            return np.frombuffer(b"".join(found), "<u4"), np.array([len(x) // 4 for x in found])
+        found = np.array(self.ranked.encode_ordinary(b"\n".join(pieces).decode()), np.uint32)
+        between = found == self.ranked.encode_single_token("\n")
+        return found[~between], np.diff(np.flatnonzero(between), prepend=-1, append=len(found)) - 1
+
     def encode(self, texts: list[str]) -> list[bytes]:
         found = self.whole.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         plain = [not any(token in text for token in self.added) for text in texts]
-        known = iter(self.cache([self.split(x) for x, simple in zip(texts, plain, strict=True) if simple]))
-        return [next(known) if simple else self.encode([x])[0] for x, simple in zip(texts, plain, strict=True)]
+        latin = [self.table is not None and simple and "\0" not in x and bool(BELOW_250.fullmatch(x)) for x, simple in zip(texts, plain, strict=True)]
+        flat = iter(self.table([x for x, low in zip(texts, latin, strict=True) if low]) if any(latin) else ())
+        known = iter(self.cache([self.split(x) for x, simple, low in zip(texts, plain, latin, strict=True) if simple and not low]))
+        kinds = zip(texts, plain, latin, strict=True)
+        return [next(flat) if low else next(known) if simple else self.encode([x])[0] for x, simple, low in kinds]
 
 
 @lru_cache(maxsize=2)
@@ -123,8 +142,7 @@ def document_frequencies(table: DataFrame, vocabulary: int, width: str) -> np.nd
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
             for ids in batch.column(0).to_pylist():
-                seen = np.sort(np.frombuffer(ids, width), kind="stable")
-                total[seen[np.append(True, seen[1:] != seen[:-1])]] += 1
+                total[_terms(np.frombuffer(ids, width))[0]] += 1
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["id", "df"])
 
@@ -137,8 +155,13 @@ def document_frequencies(table: DataFrame, vocabulary: int, width: str) -> np.nd
 def _terms(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ids of a text, ascending, and how often each occurs."""
     ordered = np.sort(ids, kind="stable")
-    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.empty(0, int)
-    return ordered[first], np.diff(np.append(first, len(ordered)))
+    if not len(ordered):
+        return ordered, np.empty(0, np.int64)
+    first = np.flatnonzero(ordered[1:] != ordered[:-1])
+    first += 1
+    often = np.empty(len(first) + 1, np.int64)
+    often[0], often[1:-1], often[-1] = (first[0], first[1:] - first[:-1], len(ordered) - first[-1]) if len(first) else (len(ordered), 0, len(ordered))
+    return np.append(ordered[:1], ordered[first]), often
 
 
 @lru_cache(maxsize=1)
@@ -250,38 +273,68 @@ def dealt(table: DataFrame, weights: np.ndarray, average: float, tokens: int, do
 
 
 class Index:
-    """Inverted index of a shard: for each term, its documents and their BM25 weights."""
+    """Inverted index of a shard: for each term, its documents and their BM25 weights.
+
+    Terms that many documents hold have a row of a dense matrix too, which is added as a whole.
+    """
 
     def __init__(self, texts: list[np.ndarray], weights: np.ndarray, average: float):
-        owners, terms, counts = [], [], []
-        for i, ids in enumerate(texts):
-            found, often = _terms(ids)
-            terms.append(found)
-            counts.append(often)
-            owners.append(np.full(len(found), i, np.int32))
-        self.first = np.concatenate(([0], np.cumsum([len(x) for x in terms])))
-        owner, self.terms, tf = np.concatenate(owners), np.concatenate(terms).astype(np.int64), np.concatenate(counts)
-        length = np.array([len(x) for x in texts])[owner] / average
+        lengths, vocabulary = np.array([len(x) for x in texts], np.int64), len(weights)
+        held = np.repeat(np.arange(len(texts)) * vocabulary, lengths)
+        held += np.concatenate(texts)
+        held.sort()
+        first = np.flatnonzero(np.diff(held, prepend=-1))
+        tf = np.diff(first, append=len(held))
+        owner, self.terms = np.divmod(held[first], vocabulary)
+        del held, first
+        self.first = np.searchsorted(owner, np.arange(len(texts) + 1))
+        length = lengths[owner] / average
         scores = weights[self.terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length))
         order = np.argsort(self.terms, kind="stable")
         self.posted, self.weight = owner[order], scores[order]
-        self.bounds = np.searchsorted(self.terms[order], np.arange(len(weights) + 1))
+        self.bounds = np.searchsorted(self.terms[order], np.arange(vocabulary + 1))
         self.size = len(texts)
+        self.live = np.arange(self.size)
+        count = np.diff(self.bounds)
+        frequent = np.argsort(-count, kind="stable")[: DENSE_NUMBERS // max(1, self.size)]
+        frequent = frequent[count[frequent] * DENSE_SHARE > self.size]
+        self.row = np.full(vocabulary, -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), self.size))
+        for row, term in zip(self.dense, frequent.tolist(), strict=True):
+            part = slice(self.bounds[term], self.bounds[term + 1])
+            row[self.posted[part]] = self.weight[part]
+
+    def narrow(self, free: np.ndarray) -> None:
+        """Drop the documents that are not free from what is searched, once they are a third of it."""
+        keep = free[self.live]
+        if 3 * np.count_nonzero(keep) > 2 * self.size:
+            return
+        kept = keep[self.posted]
+        self.bounds = np.append(0, np.cumsum(kept))[self.bounds]
+        self.posted, self.weight = (np.cumsum(keep) - 1)[self.posted[kept]], self.weight[kept]
+        self.dense, self.live = self.dense[:, keep], self.live[keep]
+        self.size = len(self.live)
 
     def score(self, seed: int) -> np.ndarray:
-        """BM25 of each document for all terms of the seed."""
+        """BM25 of each searched document for all terms of the seed, which need not be searched itself."""
         terms = self.terms[self.first[seed] : self.first[seed + 1]]
-        parts = [slice(a, b) for a, b in zip(self.bounds[terms].tolist(), self.bounds[terms + 1].tolist(), strict=True)]
-        if not parts:
-            return np.zeros(self.size)
-        return np.bincount(np.concatenate([self.posted[p] for p in parts]), np.concatenate([self.weight[p] for p in parts]), self.size)
+        row = self.row[terms]
+        rare = terms[row < 0]
+        parts = [slice(a, b) for a, b in zip(self.bounds[rare].tolist(), self.bounds[rare + 1].tolist(), strict=True)]
+        total = np.zeros(self.size)
+        if parts:
+            total += np.bincount(np.concatenate([self.posted[p] for p in parts]), np.concatenate([self.weight[p] for p in parts]), self.size)
+        for i in row[row >= 0].tolist():
+            np.add(total, self.dense[i], total)
+        return total
 
     def best(self, score: np.ndarray, free: np.ndarray) -> np.ndarray:
         """The free documents of highest score, best first."""
-        found = np.flatnonzero((score > 0) & free)
+        found = np.flatnonzero((score > 0) & free[self.live])
         if len(found) > NEIGHBOURS:
             found = found[np.argpartition(-score[found], NEIGHBOURS)[:NEIGHBOURS]]
-        return found[np.lexsort((found, -score[found]))]
+        return self.live[found[np.lexsort((found, -score[found]))]]
 
     def neighbours(self, seed: int, free: np.ndarray) -> np.ndarray:
         """Free documents that score best for the seed, best first."""
@@ -310,6 +363,8 @@ def fill(texts: list[np.ndarray], index: Index, window: int) -> Iterator[list[tu
             yield taken
             rest = (seed, start + window, end)
             continue
+        if room:
+            index.narrow(free)
         spare, score = [], index.score(seed) if room else None
         while room and not spare:
             found = index.best(score, free).tolist()

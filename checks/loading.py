@@ -35,7 +35,7 @@ from pricevault.plans.jobs import (
     run_vault_daily,
     run_vault_minute,
 )
-from pricevault.plans.vault import load_hub, load_link, load_sat_insert_only
+from pricevault.plans.vault import gathered_feed, load_hub, load_link, load_sat_insert_only
 from pricevault.schemas import (
     COMPANY,
     DAY,
@@ -273,7 +273,9 @@ def win_scd2_history(spark, d):
 
 @query("win_scd2_minute", sql(f"SELECT {MINUTE_VERSION} FROM minute_versions", "minute_versions"))
 def win_scd2_minute(spark, d):
-    feed = reduce(DataFrame.unionByName, _minute_feed(spark, d))
+    bars = fr.minute(spark, d)
+    staged = [fr.stage_minute(fr.restated(bars) if k == 2 else bars, k) for k in LOADS]
+    feed = gathered_feed(reduce(DataFrame.unionByName, staged), SAT_MINUTE_PRICES, LINK_INSTRUMENT_MINUTE.business_keys)
     return scd2_history(feed, ["Instrument_Minute_LK"]).select(*SAT_MINUTE_PRICES.table.columns)
 
 
@@ -289,7 +291,7 @@ def win_scd2_minute(spark, d):
 def win_scd2_daily(spark, d):
     bars = fr.hist(spark, d)
     staged = [fr.stage_daily(bars, 1), fr.stage_daily(fr.restated(bars), 2)]
-    feed = staged[0].unionByName(staged[1]).select(*SAT_DAY_PRICES.table.columns)
+    feed = gathered_feed(staged[0].unionByName(staged[1]), SAT_DAY_PRICES, LINK_INSTRUMENT_DAY.business_keys)
     return scd2_history(feed, ["Instrument_Day_LK"])
 
 

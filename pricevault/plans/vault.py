@@ -46,6 +46,16 @@ def _hashed(staged: DataFrame, spec: SatSpec, columns: list[str], buckets: int,
     return moved.select(*columns)
 
 
+def gathered_feed(feed: DataFrame, spec: SatSpec, made_of: Sequence[str]) -> DataFrame:
+    """A satellite's rows from staged batches, gathered by parent key for a history of them all.
+
+    Only business keys ``made_of`` and attributes are moved; the parent key and the hash-diffs are made where the key's
+    versions are, so that a window by the parent key moves nothing more.
+    """
+    columns = [c for c in spec.table.columns if c in feed.columns]
+    return _hashed(feed.drop("Hash_Diff", spec.parent_key), spec, columns, 0, made_of)
+
+
 def load_hub(target: DataFrame, staged: DataFrame, spec: HubSpec) -> DataFrame:
     """Business keys the hub does not hold yet.
 

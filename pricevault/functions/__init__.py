@@ -1,6 +1,6 @@
 """Column expressions: keys, hashes and derived values."""
 
-from pricevault.functions.keys import hash_diff, hash_diff_json, hash_key, stable_text
+from pricevault.functions.keys import hash_diff, hash_diff_json, hash_key, short_digest, stable_text
 from pricevault.functions.values import (
     canonical,
     movement,
@@ -20,5 +20,6 @@ __all__ = [
     "parse_datetime",
     "price_range",
     "ratio",
+    "short_digest",
     "stable_text",
 ]

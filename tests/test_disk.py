@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 
 from checks import QUERIES
 from checks import frames as fr
+from checks.loading import first_load
+from pricevault import shared_dir
 from pricevault.operators.history import scd2_history
-from pricevault.plans.vault import gathered_feed
-from pricevault.schemas import DAY, HISTORICALS, MINUTE
+from pricevault.operators.skew import spread_join
+from pricevault.operators.views import DAY_PIECES, instrument_daily_view, instrument_view_at
+from pricevault.plans.jobs import Batch, open_vault, run_vault_company, run_vault_daily
+from pricevault.plans.vault import gathered_feed, load_link, load_sat_insert_only
+from pricevault.schemas import DAY, HISTORICALS
 
 T1, T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
 
@@ -47,3 +52,46 @@ def test_a_gathered_feed_gives_the_history_of_staged_rows(spark):
     moved = scd2_history(gathered_feed(staged, DAY.sat, DAY.link.business_keys), ["Instrument_Day_LK"])
     assert moved.schema == whole.schema
     assert whole.count() == 4 and whole.exceptAll(moved).count() == 0 == moved.exceptAll(whole).count()
+
+
+@pytest.mark.parametrize("how", ["inner", "left_anti"])
+def test_known_pieces_need_no_sets(spark, how):
+    facts = spark.createDataFrame([("A", 1), ("A", 2), ("A", 2), ("B", 3), (None, 1), ("C", 0)], "k string, n int")
+    dim = spark.createDataFrame([("A", 10), ("A", 11), (None, 30), ("D", 40)], "k string, v int")
+    renamed = dim.withColumnRenamed("k", "d")
+    plain = facts.join(renamed, F.col("k").eqNullSafe(F.col("d")), how).drop("d")
+    joined = spread_join(facts, dim, "k", F.col("n"), how, pieces=range(4))
+    assert joined.columns == plain.columns and "collect_set" not in plan(joined)
+    assert sorted(map(str, joined.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_names_go_to_all_pieces_of_daily_bars(spark, sf_dir, no_broadcast):
+    for vault in (fr.stored_vault(spark, sf_dir), open_vault(spark, fr.laid_out_vault_base(spark, sf_dir))):
+        for view in (instrument_daily_view(vault), instrument_view_at(vault, DAY, ["2024-01-15 00:00:00"])):
+            assert "collect_set" not in plan(view)
+
+
+def test_a_view_keeps_bars_of_all_years_and_versions(spark):
+    base = shared_dir(spark, "years")
+    dates = [f"{year}-03-01" for year in (1899, 1969, 1970, 1995, 1996, 1997, 1998, 2024)]
+    assert {int(d[:4]) % len(DAY_PIECES) for d in dates} == set(DAY_PIECES)
+    facts = spark.createDataFrame([("A", "a", 1), ("B", "b", 1)], "symbol string, longName string, marketCap long")
+    run_vault_daily(daily(spark, *[("A", d, 1.0) for d in dates]), Batch(base, 1, T1))
+    run_vault_company(facts, Batch(base, 1, T1))
+    run_vault_daily(daily(spark, ("A", dates[0], 2.0), ("B", dates[1], 3.0)), Batch(base, 2, T2))
+    run_vault_company(facts.filter("symbol = 'A'").withColumn("marketCap", F.lit(2).cast("long")), Batch(base, 2, T2))
+    vault = open_vault(spark, base)
+    found = sorted((r.Symbol, str(r.Date), r.longName, r.Close) for r in instrument_daily_view(vault).collect())
+    assert found == [("A", dates[0], "a", 2.0), *[("A", d, "a", 1.0) for d in dates[1:]], ("B", dates[1], "b", 3.0)]
+    assert instrument_daily_view(vault, current_only=False).count() == 2 * 9 + 1
+
+
+def test_a_first_load_is_read_where_its_merges_left_it(spark, sf_dir, no_broadcast):
+    text = plan(QUERIES["view_daily_first_load"](spark, sf_dir))
+    # Prices stay where their merge left them; links move once more, from where joins without broadcasts gave them their date.
+    assert text.count("REPARTITION_BY") == 2 and text.count("Exchange hashpartitioning(Instrument_Day_LK") == 1
+    assert "collect_set" not in text
+    vault, bars = first_load(spark, sf_dir), fr.stage_daily(fr.derive_hist(spark, sf_dir), 1)
+    for spec, load in ((DAY.link, load_link), (DAY.sat, load_sat_insert_only)):
+        whole, loaded = load(fr.empty(spark, spec.table), bars, spec), vault[spec.table.name]
+        assert loaded.schema == whole.schema and whole.count() > 0 == whole.exceptAll(loaded).count() == loaded.exceptAll(whole).count()

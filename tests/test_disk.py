@@ -14,6 +14,7 @@ from pricevault import shared_dir
 from pricevault.operators.history import scd2_history
 from pricevault.operators.skew import spread_join
 from pricevault.operators.views import DAY_PIECES, instrument_daily_view, instrument_view_at
+from pricevault.plans import jobs
 from pricevault.plans.jobs import Batch, open_vault, run_vault_company, run_vault_daily
 from pricevault.plans.vault import gathered_feed, load_link, load_sat_insert_only
 from pricevault.schemas import DAY, HISTORICALS
@@ -95,3 +96,33 @@ def test_a_first_load_is_read_where_its_merges_left_it(spark, sf_dir, no_broadca
     for spec, load in ((DAY.link, load_link), (DAY.sat, load_sat_insert_only)):
         whole, loaded = load(fr.empty(spark, spec.table), bars, spec), vault[spec.table.name]
         assert loaded.schema == whole.schema and whole.count() > 0 == whole.exceptAll(loaded).count() == loaded.exceptAll(whole).count()
+
+
+def test_a_plain_daily_merge_sends_one_digest_of_each_state(spark, monkeypatch, no_broadcast):
+    base, seen, write = shared_dir(spark, "states"), [], jobs.append_log
+
+    def note(df, path, *args, **more):
+        if "Hash_Diff" in df.columns:
+            seen.append(plan(df))
+        return write(df, path, *args, **more)
+
+    monkeypatch.setattr(jobs, "append_log", note)
+    first = daily(spark, ("A", "2023-01-02", 1.0), ("A", "2023-01-02", 1.0), ("A", "2023-01-02", 5.0), ("B", "2024-01-02", None))
+    run_vault_daily(first, Batch(base, 1, T1))
+    run_vault_daily(daily(spark, ("A", "2023-01-02", 5.0), ("A", "2023-01-02", 3.0), ("B", "2024-01-02", None), ("B", "2024-01-03", None)), Batch(base, 2, T2))
+    moved = [line for line in seen[-1].splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) == 2 and "_held" not in seen[-1]  # the batch and the target, by one key
+    assert "concat(Instrument_Day_LK" in seen[-1]
+    states = [(str(r.Close), str(r.Load_DTS)) for r in open_vault(spark, base)["sat_instrument_day_prices"].collect()]
+    assert sorted(states) == [("1.0", T1), ("3.0", T2), ("5.0", T1), ("None", T1), ("None", T2)]
+
+
+def test_a_batch_without_keys_adds_the_states_of_one_with_them(spark):
+    staged = fr.stage_daily(daily(spark, ("A", "2023-01-02", 1.0), ("A", "2023-01-02", 1.0), ("A", "2023-01-03", None), ("B", "2024-01-02", 2.0)), 2)
+    held = load_sat_insert_only(fr.empty(spark, DAY.sat.table), fr.stage_daily(daily(spark, ("A", "2023-01-02", 1.0)), 1), DAY.sat)
+    bare = staged.drop("Hash_Diff", "Instrument_Day_LK")
+    whole = load_sat_insert_only(held, staged, DAY.sat)
+    for rows in (bare, staged.drop("Instrument_Day_LK")):
+        loaded = load_sat_insert_only(held, rows, DAY.sat, made_of=DAY.link.business_keys)
+        assert loaded.schema == whole.schema and sorted(map(str, loaded.collect())) == sorted(map(str, whole.collect()))
+    assert whole.count() == 2
